@@ -6,7 +6,7 @@ from importlib import import_module
 
 from cohortscore.catalog.registry import CHECKS, QUERIES
 
-_MODULES = ("judging",)
+_MODULES = ("judging", "preparing", "modelling")
 
 
 def registered():

@@ -374,10 +374,10 @@ def _(spark, d):
 WITH r AS (SELECT l_extendedprice AS x, row_number() OVER (ORDER BY l_extendedprice) - 1 AS i, count(*) OVER () AS n FROM lineitem)
 , g AS (SELECT k, k / 1000.0::DOUBLE AS q, (k * (n - 1) // 1000) AS lo, (k * (n - 1) % 1000) / 1000.0::DOUBLE AS part
   FROM range(1001) t(k), (SELECT count(*) AS n FROM lineitem))
-SELECT 'l_extendedprice' AS feature, k, q, round(a.x + part * (coalesce(b.x, a.x) - a.x), 4) AS value
+SELECT 'l_extendedprice' AS feature, k, q, round(a.x + part * (coalesce(b.x, a.x) - a.x), 6) AS value
 FROM g JOIN r a ON a.i = lo LEFT JOIN r b ON b.i = lo + 1""")
 def _(spark, d):
-    return quantiles(table(spark, d, "lineitem"), ["l_extendedprice"], 1000).withColumn("value", F.round("value", 4))
+    return quantiles(table(spark, d, "lineitem"), ["l_extendedprice"], 1000).withColumn("value", F.round("value", 6))
 
 
 @query("A32_median", with_scored(LONG + "SELECT m AS feature, round(median(x), 6) AS median FROM long GROUP BY m"))

@@ -64,15 +64,14 @@ def scores_from_json(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
 
 def log_metrics(lines: DataFrame, column: str = "line") -> DataFrame:
     """All validation metrics a log states: (metric, value) beside the line's columns."""
-    found = [
-        F.transform(
-            F.regexp_extract_all(quoted(column), F.lit(pattern), F.lit(1)),
-            lambda text, metric=metric: F.struct(
-                F.lit(metric).alias("metric"), text_to_double(text).alias("value")
-            ),
+
+    def hits_of(metric: str, pattern: str) -> Column:
+        found = F.regexp_extract_all(quoted(column), F.lit(pattern), F.lit(1))
+        return F.transform(
+            found, lambda text: F.struct(F.lit(metric).alias("metric"), text_to_double(text).alias("value"))
         )
-        for metric, pattern in LOG_PATTERNS.items()
-    ]
+
+    found = [hits_of(metric, pattern) for metric, pattern in LOG_PATTERNS.items()]
     others = [quoted(c) for c in lines.columns if c != column]
     hits = lines.select(*others, F.explode(F.concat(*found)).alias("hit"))
     return hits.select(*others, "hit.metric", "hit.value")

@@ -133,3 +133,34 @@ def schema_diff(df: DataFrame, features: Sequence[str]) -> dict[str, list[str]]:
 
 def id_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.lower() in ID_COLUMNS]
+
+
+def attach_scores(df: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+    """Scores that arrive as a table, back to their rows; NULL where none came."""
+    return df.join(scores, key, "left")
+
+
+def lookup(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
+    """Labels of a code table beside each row; unknown codes give NULL.
+
+    Spark broadcasts the code table by its own size check.
+    """
+    return df.join(codes, key, "left")
+
+
+def range_lookup(df: DataFrame, code: Column, ranges: DataFrame, out: str = "label") -> DataFrame:
+    """First matching range (low, high, label, priority) of an integer code.
+
+    The half-open ranges are spelled out to single codes, of which the lowest
+    priority wins, so the lookup is an equi-join instead of a range join.
+    """
+    singles = ranges.select(
+        F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("__code"), "label", "priority"
+    )
+    table = singles.groupBy("__code").agg(F.min_by("label", "priority").alias(out))
+    return df.withColumn("__code", code.try_cast("int")).join(table, "__code", "left").drop("__code")
+
+
+def by_tag(df: DataFrame, tag: str, value: str) -> DataFrame:
+    """Rows of one split, without the tag column."""
+    return df.where(quoted(tag) == value).drop(tag)

@@ -118,9 +118,11 @@ def weight_bounds(balance: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, label: Column | str, features: Sequence[str]) -> DataFrame:
     """(feature, correlation): absolute Pearson correlation, NULL for constants."""
     long = long_scores(df, label, features)
-    both = F.corr("x", F.col("y").cast("double"))
-    varies = F.min("x") < F.max("x")
-    return long.groupBy("feature").agg(F.when(varies, F.abs(both)).alias("correlation"))
+    y = F.col("y").cast("double")
+    spread = F.stddev_pop("x") * F.stddev_pop(y)
+    share = F.abs(F.covar_pop("x", y)) / F.nullif(spread, F.lit(0.0))
+    varies = (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
+    return long.groupBy("feature").agg(F.when(varies, share).alias("correlation"))
 
 
 def quantiles(df: DataFrame, names: Sequence[str], parts: int = 1000) -> DataFrame:

@@ -117,8 +117,6 @@ def membership(names: DataFrame, schema: DataFrame, present: bool) -> DataFrame:
     return names.join(schema, "feature", "left_semi" if present else "left_anti")
 
 
-def list_difference(df: DataFrame, a: Column, b: Column) -> DataFrame:
-    """Arrays of names only in ``a`` and only in ``b``."""
-    return df.select(F.array_except(a, b).alias("only_a"), F.array_except(b, a).alias("only_b"))
-
-
+def list_difference(df: DataFrame, a: Column, b: Column, keep: list[str] = ()) -> DataFrame:
+    """Names only in list ``a`` and only in list ``b``, per row."""
+    return df.select(*keep, F.array_except(a, b).alias("only_a"), F.array_except(b, a).alias("only_b"))
