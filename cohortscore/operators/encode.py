@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import quoted
-from cohortscore.operators.profile import distinct_over, profile_counts
+from cohortscore.operators.profile import profile_counts
 
 MAX_CATEGORIES = 10_000
 
@@ -74,22 +74,23 @@ def fit_one_hot(
 ) -> OneHot:
     """Learn the categories of all columns.
 
-    One grouped count covers the single columns. Only distinct categories reach
-    the driver, and more than ``max_categories`` of them are refused: they
-    become columns of the result.
+    One grouped count covers every column. Only distinct categories reach the
+    driver, and more than ``max_categories`` of them are refused: they become
+    columns of the result.
     """
     model = OneHot(combined={p: list(cs) for p, cs in (combined or {}).items()})
-    if columns:
-        counts = profile_counts(df, columns).where(F.col("value").isNotNull())
-        rows = _bounded(counts, max_categories)
-        for c in columns:
-            mine = sorted((-r["n"], r["value"]) for r in rows if r["column"] == c)
-            model.categories[c] = sorted(v for _, v in mine)
-            if drop_mode and mine:
-                model.dropped[c] = mine[0][1]
+    together = [c for cs in model.combined.values() for c in cs]
+    every = list(dict.fromkeys([*columns, *together]))
+    counts = profile_counts(df, every).where(F.col("value").isNotNull())
+    seen: dict[str, dict[str, int]] = {c: {} for c in every}
+    for row in _bounded(counts, max_categories):
+        seen[row["column"]][row["value"]] = row["n"]
+    for c in columns:
+        model.categories[c] = sorted(seen[c])
+        if drop_mode and seen[c]:
+            model.dropped[c] = min(seen[c], key=lambda v: (-seen[c][v], v))
     for prefix, sources in model.combined.items():
-        rows = _bounded(distinct_over(df, sources), max_categories)
-        model.combined_categories[prefix] = sorted(str(r["value"]) for r in rows)
+        model.combined_categories[prefix] = sorted({v for c in sources for v in seen[c]})
     return model
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import ratio
 from cohortscore.operators.tally import ordered_points, quantile_grid, tally
+from cohortscore.session import settle
 
 # Fixed value: machine epsilon of a double, the clip of the log loss.
 EPSILON = 2.220446049250313e-16
@@ -313,6 +314,7 @@ def tally_metrics(
     """
     x = F.col("x")
     if strategy == "balanced":
+        points = settle(points)  # read several times below
         down = balanced_cutoffs(points).withColumnRenamed("balanced", "t_down")
         up = balanced_cutoffs(points, flipped=True).withColumnRenamed("balanced", "t_up")
         points = points.join(F.broadcast(down.join(up, "feature")), "feature", "left")

@@ -23,6 +23,7 @@ from cohortscore.functions.numeric import finite_or_zero, quoted, to_double
 from cohortscore.operators.profile import class_balance
 from cohortscore.operators.scale import Scaler, fit_scaler
 from cohortscore.operators.split import order_hash, stratified_folds
+from cohortscore.session import settle
 
 # Default boosted-tree settings of the feature ranking.
 RANKING_TREES = {
@@ -194,7 +195,7 @@ def boosted_importance_cv(
     params: Mapping | None = None, seed: int = 42,
 ) -> DataFrame:
     """(feature, gain, fold) of one fit per stratified fold, on the other folds."""
-    folded = stratified_folds(df, id_column, label, folds, seed)
+    folded = settle(stratified_folds(df, id_column, label, folds, seed))
     out = None
     for k in range(folds):
         fit = fit_boosted(
@@ -270,7 +271,7 @@ def tune_boosted(
 ) -> DataFrame:
     """(job_name, objective, params): fold-averaged area of each drawn setting."""
     folded = stratified_folds(df, id_column, label, folds, seed)
-    frame = training_frame(folded, features, label, ["fold"])
+    frame = settle(training_frame(folded, features, label, ["fold"]))
     settings = random_settings(space, jobs, seed)
     trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", seed=seed)
     results = _cross_validate(trees, frame, settings, _param_maps(trees, settings), parallelism)
@@ -282,7 +283,7 @@ def tune_linear(
     jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42,
 ) -> DataFrame:
     folded = stratified_folds(df, id_column, label, folds, seed)
-    frame = training_frame(folded, features, label, ["fold"])
+    frame = settle(training_frame(folded, features, label, ["fold"]))
     settings = random_settings(space, jobs, seed)
     linear = LogisticRegression(labelCol="label", featuresCol="features", weightCol="weight", maxIter=15)
     results = _cross_validate(linear, frame, settings, _param_maps(linear, settings), parallelism)
@@ -294,7 +295,7 @@ def tune_network(
     jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42, max_iter: int = 100,
 ) -> DataFrame:
     folded = stratified_folds(df, id_column, label, folds, seed)
-    frame = training_frame(folded, features, label, ["fold"], scaler=fit_scaler(df, features))
+    frame = settle(training_frame(folded, features, label, ["fold"], scaler=fit_scaler(df, features)))
     settings = random_settings(space, jobs, seed)
     network = MultilayerPerceptronClassifier(
         labelCol="label", featuresCol="features", layers=[len(features), 2], seed=seed,

@@ -8,6 +8,7 @@ row by comparison, without moving it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import quoted
+from cohortscore.session import settle
 
 CELL_DIGITS = 4  # 65,536 cells, filled evenly by the hash
 MAX_CLASSES = 1000
@@ -68,31 +70,37 @@ class Boundaries:
     seed: int
     cuts: dict[str, list[tuple[str, object]]]
 
-    def part(self) -> Column:
-        h = order_hash(quoted(self.id_column), self.seed)
+    def assign(self, df: DataFrame, out: str) -> DataFrame:
+        """Add the part of each row: comparisons only, rows stay where they are."""
+        row_id = quoted(self.id_column)
         group = quoted(self.by).cast("string") if self.by else F.lit("all")
-        chain = None
+        hashed = df.withColumn("__h", order_hash(row_id, self.seed))
+        h = F.col("__h")
+        chain = F.when(F.lit(False), F.lit(0))
         for name, cuts in self.cuts.items():
             passed = F.lit(0)
             for cut_hash, cut_id in cuts:
-                after = (h > cut_hash) | ((h == cut_hash) & (quoted(self.id_column) > F.lit(cut_id)))
+                after = (h > cut_hash) | ((h == cut_hash) & (row_id > F.lit(cut_id)))
                 passed = passed + after.cast("int")
-            hit = group == name
-            chain = F.when(hit, passed) if chain is None else chain.when(hit, passed)
-        return chain if chain is not None else F.lit(0)
+            chain = chain.when(group == name, passed)
+        return hashed.withColumn(out, chain).drop("__h")
 
 
-def class_sizes(df: DataFrame, id_column: str, by: str | None) -> dict[str, int]:
-    group = quoted(by).cast("string") if by else F.lit("all")
-    rows = df.groupBy(group.alias("grp")).agg(F.count("*").alias("n")).where("grp is not null")
-    found = rows.limit(MAX_CLASSES + 1).collect()
+def class_cells(df: DataFrame, id_column: str, by: str | None, seed: int) -> DataFrame:
+    """(grp, cell, n): rows per hash cell of each class; 65,536 cells at most."""
+    keys = _keyed(df, id_column, by, seed)
+    return settle(keys.groupBy("grp", "cell").agg(F.count("*").alias("n")))
+
+
+def class_sizes(cells: DataFrame) -> dict[str, int]:
+    found = cells.groupBy("grp").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {by!r}")
+        raise ValueError(f"more than {MAX_CLASSES} classes")
     return {r["grp"]: r["n"] for r in sorted(found)}
 
 
 def fit_boundaries(
-    df: DataFrame, id_column: str, by: str | None, seed: int, ranks: dict[str, Sequence[int]]
+    df: DataFrame, cells: DataFrame, id_column: str, by: str | None, seed: int, ranks: dict[str, Sequence[int]]
 ) -> Boundaries:
     """Hashes of the rows at the given 1-based ranks of each class's order.
 
@@ -101,24 +109,24 @@ def fit_boundaries(
     wanted = [(g, r) for g, rs in ranks.items() for r in sorted(set(rs)) if r > 0]
     found: dict[tuple[str, int], tuple[str, object]] = {}
     if wanted:
-        keys = _keyed(df, id_column, by, seed)
-        counts = keys.groupBy("grp", "cell").agg(F.count("*").alias("n"))
         upto = Window.partitionBy("grp").orderBy("cell")
-        ends = counts.withColumn("end", F.sum("n").over(upto))
+        ends = cells.withColumn("end", F.sum("n").over(upto))
         targets = df.sparkSession.createDataFrame(wanted, "grp string, rank bigint")
         # A handful of targets against at most 65,536 cells per class.
+        start = F.col("end") - F.col("n")
         homes = (
             ends.join(F.broadcast(targets), "grp")
-            .where((F.col("rank") <= F.col("end")) & (F.col("rank") > F.col("end") - F.col("n")))
-            .select("grp", "cell", "rank", (F.col("rank") - (F.col("end") - F.col("n"))).alias("local"))
+            .where((F.col("rank") <= F.col("end")) & (F.col("rank") > start))
+            .select("grp", "cell", "rank", (F.col("rank") - start).alias("local"))
             .collect()
         )
         places = df.sparkSession.createDataFrame(
             [tuple(r) for r in homes], "grp string, cell string, rank bigint, local bigint"
         )
-        cells = sorted({r["cell"] for r in homes})
+        names = sorted({r["cell"] for r in homes})
         inside = Window.partitionBy("grp", "cell").orderBy("h", "id")
-        near = keys.where(F.col("cell").isin(cells)).withColumn("local", F.row_number().over(inside))
+        keys = _keyed(df, id_column, by, seed)
+        near = keys.where(F.col("cell").isin(names)).withColumn("local", F.row_number().over(inside))
         hits = near.join(F.broadcast(places), ["grp", "cell", "local"]).select("grp", "rank", "h", "id")
         found = {(r["grp"], r["rank"]): (r["h"], r["id"]) for r in hits.collect()}
     # Every hash is greater than the empty text, so rank 0 is passed by all rows.
@@ -129,15 +137,19 @@ def fit_boundaries(
 
 def split_by_share(df: DataFrame, id_column: str, train_share: float, seed: int = 42, out: str = "split") -> DataFrame:
     """The first ``floor(share * n)`` rows of the seeded order are train."""
-    n = class_sizes(df, id_column, None).get("all", 0)
-    k = int(n * Fraction(str(train_share)))
-    cut = fit_boundaries(df, id_column, None, seed, {"all": [k]})
-    return df.withColumn(out, F.when(cut.part() == 0, F.lit("train")).otherwise(F.lit("test")))
+    cells = class_cells(df, id_column, None, seed)
+    k = int(class_sizes(cells).get("all", 0) * Fraction(str(train_share)))
+    cut = fit_boundaries(df, cells, id_column, None, seed, {"all": [k]})
+    return _tagged(cut.assign(df, out), out, "train", "test")
+
+
+def _tagged(df: DataFrame, out: str, first: str, second: str) -> DataFrame:
+    return df.withColumn(out, F.when(F.col(out) == 0, F.lit(first)).otherwise(F.lit(second)))
 
 
 def class_quotas(sizes: dict[str, int], total: int) -> dict[str, int]:
     """Share ``total`` out to classes by size, largest remainders first."""
-    n = sum(sizes.values())
+    n = max(sum(sizes.values()), 1)
     exact = {g: Fraction(total * s, n) for g, s in sizes.items()}
     quota = {g: int(e) for g, e in exact.items()}
     by_remainder = sorted(sizes, key=lambda g: (quota[g] - exact[g], g))
@@ -153,13 +165,12 @@ def stratified_split(
 
     Rows without a label are dropped.
     """
-    sizes = class_sizes(df, id_column, label)
-    n = sum(sizes.values())
-    n_test = -int(-n * Fraction(str(test_share)) // 1)
+    cells = class_cells(df, id_column, label, seed)
+    sizes = class_sizes(cells)
+    n_test = math.ceil(sum(sizes.values()) * Fraction(str(test_share)))
     quota = class_quotas(sizes, n_test)
-    cut = fit_boundaries(df, id_column, label, seed, {g: [q] for g, q in quota.items()})
-    tag = F.when(cut.part() == 0, F.lit("test")).otherwise(F.lit("train"))
-    return df.where(quoted(label).isNotNull()).withColumn(out, tag)
+    cut = fit_boundaries(df, cells, id_column, label, seed, {g: [q] for g, q in quota.items()})
+    return _tagged(cut.assign(df.where(quoted(label).isNotNull()), out), out, "test", "train")
 
 
 def _fold_sizes(n: int, k: int, skip: int = 0) -> list[int]:
@@ -178,9 +189,10 @@ def _ends(sizes: Sequence[int]) -> list[int]:
 
 def k_folds(df: DataFrame, id_column: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Folds 0..k-1: consecutive blocks of the seeded order."""
-    n = class_sizes(df, id_column, None).get("all", 0)
-    cut = fit_boundaries(df, id_column, None, seed, {"all": _ends(_fold_sizes(n, k))})
-    return df.withColumn(out, cut.part())
+    cells = class_cells(df, id_column, None, seed)
+    n = class_sizes(cells).get("all", 0)
+    cut = fit_boundaries(df, cells, id_column, None, seed, {"all": _ends(_fold_sizes(n, k))})
+    return cut.assign(df, out)
 
 
 def stratified_folds(
@@ -192,11 +204,12 @@ def stratified_folds(
     follow on from those of the class before it. Rows without a label are dropped.
     """
     ranks, skip = {}, 0
-    for g, n in class_sizes(df, id_column, label).items():
+    cells = class_cells(df, id_column, label, seed)
+    for g, n in class_sizes(cells).items():
         ranks[g] = _ends(_fold_sizes(n, k, skip))
         skip = (skip + n) % k
-    cut = fit_boundaries(df, id_column, label, seed, ranks)
-    return df.where(quoted(label).isNotNull()).withColumn(out, cut.part())
+    cut = fit_boundaries(df, cells, id_column, label, seed, ranks)
+    return cut.assign(df.where(quoted(label).isNotNull()), out)
 
 
 def seeded_sample(df: DataFrame, id_column: str, n: int, seed: int = 42) -> DataFrame:

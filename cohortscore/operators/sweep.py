@@ -41,22 +41,25 @@ def _sweep(rows: DataFrame, models: Sequence[str], thresholds: Sequence[float])
     grid = sorted(set(thresholds))
     # Bucketizer finds the gap by exact comparison, not by division.
     gaps = Bucketizer(splits=[-INF, *grid, INF], inputCol="x", outputCol="gap").transform(rows)
-    counts = gaps.groupBy("model", "gap").agg(F.sum("y").alias("pos"), F.sum(F.col("n") - F.col("y")).alias("neg"))
-    # Every gap once with zero counts, so that empty gaps appear too.
+    # Every gap once with zero rows, so that empty gaps appear too.
     cuts = ", ".join(f"{t!r}D" for t in grid)
+    zero = F.lit(0).cast("bigint")
     empty = (
-        counts.sparkSession.range(1)
+        rows.sparkSession.range(1)
         .select(F.posexplode(F.expr(f"array(cast(null as double), {cuts})")).alias("gap", "threshold"))
         .select(F.explode(F.array(*[F.lit(m) for m in models])).alias("model"), "gap", "threshold")
-        .select("model", F.col("gap").cast("double").alias("gap"), "threshold")
+        .select("model", F.col("gap").cast("double").alias("gap"), "threshold", zero.alias("n"), zero.alias("y"))
     )
+    no_threshold = F.lit(None).cast("double").alias("threshold")
     slots = (
-        counts.select("model", "gap", F.lit(None).cast("double").alias("threshold"), "pos", "neg")
-        .unionByName(
-            empty.withColumns({"pos": F.lit(0).cast("bigint"), "neg": F.lit(0).cast("bigint")})
-        )
+        gaps.select("model", "gap", no_threshold, "n", "y")
+        .unionByName(empty)
         .groupBy("model", "gap")
-        .agg(F.max("threshold").alias("threshold"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .agg(
+            F.max("threshold").alias("threshold"),
+            F.sum("y").alias("pos"),
+            F.sum(F.col("n") - F.col("y")).alias("neg"),
+        )
     )
     # At most one row per cutoff and model from here on.
     down = Window.partitionBy("model").orderBy(F.desc("gap")).rowsBetween(Window.unboundedPreceding, 0)

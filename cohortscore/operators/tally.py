@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from cohortscore.functions.numeric import quoted, to_double
 from cohortscore.session import settle
 
-CELL_ROWS = 1_000_000  # distinct values one task sorts
+CELL_ROWS = 1_000_000  # distinct values one task should sort
+MAX_CELLS = 4096  # per feature; beyond that the cells grow and their sorts spill
 INF = float("inf")
 
 
@@ -45,17 +46,6 @@ def value_tally(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return tally(df, F.lit(1), features)
 
 
-def class_totals(t: DataFrame) -> DataFrame:
-    """One row per feature: class totals, range and number of distinct values."""
-    return t.groupBy("feature").agg(
-        F.sum("pos").alias("p_total"),
-        F.sum("neg").alias("n_total"),
-        F.min("x").alias("x_min"),
-        F.max("x").alias("x_max"),
-        F.count("x").alias("n_distinct"),
-    )
-
-
 def _value_cells(t: DataFrame, cell_rows: int) -> DataFrame:
     """Number the value ranges so that a (feature, cell) fits one task.
 
@@ -68,9 +58,9 @@ def _value_cells(t: DataFrame, cell_rows: int) -> DataFrame:
     largest = max((r["rows"] for r in sizes), default=0)
     if largest <= cell_rows:
         return t.withColumn("cell", F.lit(0.0))
-    parts = 2 * math.ceil(largest / cell_rows)
+    parts = min(2 * math.ceil(largest / cell_rows), MAX_CELLS)
     shares = [i / parts for i in range(1, parts)]
-    cuts = t.groupBy("feature").agg(F.percentile_approx("x", shares, 100 * parts).alias("cuts")).collect()
+    cuts = t.groupBy("feature").agg(F.percentile_approx("x", shares, 25 * parts).alias("cuts")).collect()
     bounds = sorted({c for row in cuts for c in row["cuts"] if abs(c) < INF})
     return Bucketizer(splits=[-INF, *bounds, INF], inputCol="x", outputCol="cell").transform(t)
 
