@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortscore.session import spread
+
 # How order keys become encounter columns.
 ENCOUNTERS = """
 SELECT
@@ -92,7 +94,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _derive(spark: SparkSession, folder: str, text: str) -> DataFrame:
     used = {t: table(spark, folder, t) for t in TABLES if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+    return spread(spark.sql(text, **used))
 
 
 def encounters(spark: SparkSession, folder: str) -> DataFrame:

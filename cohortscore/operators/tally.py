@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from cohortscore.functions.numeric import quoted, to_double
 from cohortscore.session import settle
 
-CELL_ROWS = 1_000_000  # distinct values one task should sort
+CELL_ROWS = 100_000  # distinct values one task should sort
+FIRST_CELLS = 64
 MAX_CELLS = 4096  # per feature; beyond that the cells grow and their sorts spill
 INF = float("inf")
 
@@ -50,22 +51,32 @@ def _value_cells(t: DataFrame, cell_rows: int) -> DataFrame:
     """Number the value ranges so that a (feature, cell) fits one task.
 
     Counts and approximate quantiles come from one aggregate with one small
-    row per feature. The quantiles become plain numbers here, so every stage
-    that uses the cells sees the same bounds. How good they are affects the
-    size of a cell only, never the result.
+    row per feature; very long features get a second one with finer cuts. The
+    quantiles become plain numbers here, so every stage that uses the cells
+    sees the same bounds. How good they are affects the size of a cell only,
+    never the result.
     """
-    sizes = t.groupBy("feature").agg(F.count("x").alias("rows")).collect()
+    sizes = _cuts(t, FIRST_CELLS)
     largest = max((r["rows"] for r in sizes), default=0)
     if largest <= cell_rows:
         return t.withColumn("cell", F.lit(0.0))
-    parts = min(2 * math.ceil(largest / cell_rows), MAX_CELLS)
-    shares = [i / parts for i in range(1, parts)]
-    cuts = t.groupBy("feature").agg(F.percentile_approx("x", shares, 25 * parts).alias("cuts")).collect()
-    bounds = sorted({c for row in cuts for c in row["cuts"] if abs(c) < INF})
+    wanted = min(2 * math.ceil(largest / cell_rows), MAX_CELLS)
+    if wanted > FIRST_CELLS:
+        sizes = _cuts(t, wanted)
+    step = max(1, FIRST_CELLS // wanted)
+    bounds = sorted({c for row in sizes for c in row["cuts"][::step] if abs(c) < INF})
     return Bucketizer(splits=[-INF, *bounds, INF], inputCol="x", outputCol="cell").transform(t)
 
 
-def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+def _cuts(t: DataFrame, parts: int) -> list:
+    shares = [i / parts for i in range(1, parts)]
+    cuts = F.percentile_approx("x", shares, 25 * parts).alias("cuts")
+    return t.groupBy("feature").agg(F.count("x").alias("rows"), cuts).collect()
+
+
+def ordered_points(
+    t: DataFrame, *, bounded: bool = False, settled: bool = False, cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Running class counts from the highest value down.
 
     Adds to each tally row ``tp`` and ``fp``, the positives and negatives at or
@@ -73,12 +84,13 @@ def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int = CELL
     one window task at scale, so values are cut into cells: a short running sum
     over the cell totals gives each cell its start, and the rows of each cell
     are summed where they are. ``bounded=True`` promises a tally that is small
-    by construction (flags, cutoff grids) and skips the sizing pass.
+    by construction (flags, cutoff grids) and skips the sizing pass;
+    ``settled=True`` says that the tally is a stored table already.
     """
     if bounded:
         t = t.withColumn("cell", F.lit(0.0))
     else:
-        t = _value_cells(settle(t), cell_rows)
+        t = _value_cells(t if settled else settle(t), cell_rows)
     cells = t.groupBy("feature", "cell").agg(
         F.sum("pos").alias("cell_pos"),
         F.sum("neg").alias("cell_neg"),

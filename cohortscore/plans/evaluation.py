@@ -63,7 +63,7 @@ def evaluate(
     )
     models = ["xgb", "nn", "ensemble_avg"]
     counts = settle(tally(scored, F.col("__y"), models))
-    ordered = ordered_points(counts)
+    ordered = ordered_points(counts, settled=True)
     sweep = sweep_tally(counts, models, sorted({*thresholds, confusion_at}))
     points = point_metrics(sweep.where(F.col("threshold").isin(list(thresholds))))
     return Evaluation(
@@ -96,7 +96,7 @@ def export_metrics(
         for t in grid:
             hit = (F.col("model") == m) & (F.col("threshold") == t)
             name = F.when(hit, F.lit(flag_name(m, t))) if name is None else name.when(hit, F.lit(flag_name(m, t)))
-    points = ordered_points(counts).unionByName(ordered_points(flag_tally(flags, name), bounded=True))
+    points = ordered_points(counts, settled=True).unionByName(ordered_points(flag_tally(flags, name), bounded=True))
     patients = df.count()
     table = tally_metrics(points, strategy)
     per_row = F.lit(len(scores) * (len(grid) + 1)) if savings_per_table_row else None

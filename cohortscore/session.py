@@ -23,6 +23,9 @@ def local_session(cpus: int | str = 8, name: str = "cohortscore") -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Generated methods above 8,000 bytes are never compiled by the JVM;
+        # wide recode and dummy projections are better off without fusion then.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -64,3 +67,13 @@ def settle(df: DataFrame) -> DataFrame:
     path = run_folder(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a batch table out over the cores if it comes in fewer pieces.
+
+    For small tables in one file. A table that already fills the cluster is
+    returned as it is, so nothing large is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
