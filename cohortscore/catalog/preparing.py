@@ -210,7 +210,7 @@ FOLD_SQL = """, sizes AS (SELECT readmitted AS g, count(*) AS n FROM scored GROU
 
 @query("S6_write_folds", with_scored(FOLD_SQL + """
 SELECT 'train' AS part, k::INT AS k, count(*) AS n, sum(readmitted)::BIGINT AS pos FROM folded, range(5) t(k) WHERE fold <> k GROUP BY k
-UNION ALL SELECT 'validation', fold, count(*), sum(readmitted) FROM folded GROUP BY fold"""))
+UNION ALL SELECT 'validation', fold, count(*), sum(readmitted)::BIGINT FROM folded GROUP BY fold"""))
 def _(spark, d):
     rows = stratified_folds(scored(spark, d), "id", "readmitted").select("readmitted", "id", "xgb_prob", "fold")
     path = write_folds(rows, run_folder(spark, "folds"))

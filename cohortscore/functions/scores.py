@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import quoted, to_double
 
+# Allowed flag thresholds and the name of a flag column.
 LOWEST_FLAG, HIGHEST_FLAG = 0.05, 1.0
+FLAG_FORMAT = "%s_ge_%03dpct"
 
 
 def ensemble_mean(a: Column, b: Column) -> Column:
@@ -31,7 +33,7 @@ def flag_thresholds(start: float, end: float, step: float, listed: Sequence[floa
 
 
 def flag_name(column: str, threshold: float) -> str:
-    return f"{column}_ge_{round(threshold * 100):03d}pct"
+    return FLAG_FORMAT % (column, round(threshold * 100))
 
 
 def threshold_flags(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortscore.functions.labels import binary_label, complete_label
 from cohortscore.functions.numeric import quoted, to_double
 from cohortscore.functions.scores import (
-    cutoff_label, ensemble_mean, flag_name, flag_thresholds, symmetric_thresholds, to_probability,
+    FLAG_FORMAT, cutoff_label, ensemble_mean, flag_name, flag_thresholds, symmetric_thresholds, to_probability,
 )
 from cohortscore.operators.columns import require_columns
 from cohortscore.operators.cost import baselines, cost_columns, top_tables
@@ -91,11 +91,8 @@ def export_metrics(
     y = binary_label(df, label)
     counts = settle(tally(df, y, scores))
     flags = sweep_tally(counts, scores, grid)
-    name = None
-    for m in scores:
-        for t in grid:
-            hit = (F.col("model") == m) & (F.col("threshold") == t)
-            name = F.when(hit, F.lit(flag_name(m, t))) if name is None else name.when(hit, F.lit(flag_name(m, t)))
+    percent = F.round(F.col("threshold") * 100).cast("int")
+    name = F.format_string(FLAG_FORMAT, F.col("model"), percent)
     points = ordered_points(counts, settled=True).unionByName(ordered_points(flag_tally(flags, name), bounded=True))
     patients = df.count()
     table = tally_metrics(points, strategy)

@@ -67,13 +67,3 @@ def settle(df: DataFrame) -> DataFrame:
     path = run_folder(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a batch table out over the cores if it comes in fewer pieces.
-
-    For small tables in one file. A table that already fills the cluster is
-    returned as it is, so nothing large is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
