@@ -343,14 +343,14 @@ def _(spark, d):
 @query("A29_histogram", """
 WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(l_extendedprice) AS n, avg(l_extendedprice) AS mean FROM lineitem)
 , b AS (SELECT least(floor((l_extendedprice - lo) / (hi - lo) * 1000), 999)::INT AS bin, count(*) AS n FROM lineitem, s GROUP BY 1)
-SELECT 'l_extendedprice' AS "column", i::INT AS bin, round(lo + i * ((hi - lo) / 1000), 3) AS low,
-  round(lo + i * ((hi - lo) / 1000) + (hi - lo) / 1000, 3) AS high, coalesce(b.n, 0) AS n,
+SELECT 'l_extendedprice' AS "column", i::INT AS bin, round(lo + i * ((hi - lo) / 1000), 6) AS low,
+  round(lo + i * ((hi - lo) / 1000) + (hi - lo) / 1000, 6) AS high, coalesce(b.n, 0) AS n,
   round(coalesce(b.n, 0) / (s.n * ((hi - lo) / 1000)), 9) AS density, round(mean, 3) AS mean
 FROM range(1000) r(i) CROSS JOIN s LEFT JOIN b ON b.bin = i""")
 def _(spark, d):
     bins = histogram(table(spark, d, "lineitem"), ["l_extendedprice", "absent"], 1000, on_missing="skip")
     return bins.withColumns(
-        {c: F.round(c, 3) for c in ("low", "high", "mean")} | {"density": F.round("density", 9)}
+        {c: F.round(c, 6) for c in ("low", "high")} | {"mean": F.round("mean", 3), "density": F.round("density", 9)}
     )
 
 
