@@ -25,8 +25,8 @@ def cost_columns(
     are divided by ``savings_denominator`` where given, else by the patients.
     """
     n = patients if patients is not None else F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
-    n = n.cast("double")
-    other = (savings_denominator if savings_denominator is not None else n).cast("double")
+    n = F.nullif(n.cast("double"), F.lit(0.0))
+    other = F.nullif(savings_denominator.cast("double"), F.lit(0.0)) if savings_denominator is not None else n
     total = (F.col("tp") + F.col("fp")).cast("double") * program_cost
     prevented = round_half_even(success_rate * F.col("tp").cast("double"))
     saved = round_half_even(prevented * readmission_cost, 2)

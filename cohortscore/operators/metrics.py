@@ -93,6 +93,11 @@ def _n() -> Column:
     return _d("n_total")
 
 
+def _none_if_zero(value: Column) -> Column:
+    """A divisor that makes the quotient NULL instead of failing."""
+    return F.nullif(value, F.lit(0.0))
+
+
 def _down() -> Side:
     """Positives and negatives at or above x."""
     return _d("tp"), _d("fp")
@@ -105,13 +110,13 @@ def _up() -> Side:
 
 def roc_auc() -> Column:
     """Rank-sum area: a tied pair counts one half."""
-    return F.sum(_d("pos") * (_n() - _down()[1] + _d("neg") / 2)) / F.max(_p() * _n())
+    return F.sum(_d("pos") * (_n() - _down()[1] + _d("neg") / 2)) / _none_if_zero(F.max(_p() * _n()))
 
 
 def average_precision(side: Side | None = None) -> Column:
     """Step sum of precision over the recall gained at each distinct score."""
     hits, misses = side or _down()
-    return F.sum(_d("pos") * hits / (hits + misses)) / F.max(_p())
+    return F.sum(_d("pos") * hits / (hits + misses)) / _none_if_zero(F.max(_p()))
 
 
 def brier(p: Column) -> Column:
@@ -201,7 +206,7 @@ def _cut(x: Column, side: Side) -> Column:
 
 def _youden(x: Column, side: Side) -> Column:
     """Largest tpr - fpr, highest cutoff of ties; flagging nobody scores 0."""
-    j = side[0] / _p() - side[1] / _n()
+    j = side[0] / _none_if_zero(_p()) - side[1] / _none_if_zero(_n())
     best = F.max_by(_cut(x, side), F.struct(j.alias("j"), x.alias("x")))
     nobody = F.struct(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("tp"), F.lit(0.0).alias("fp")
@@ -211,7 +216,7 @@ def _youden(x: Column, side: Side) -> Column:
 
 def _best_f1(x: Column, side: Side) -> Column:
     """Largest F1, lowest cutoff of ties."""
-    precision, recall = side[0] / (side[0] + side[1]), side[0] / _p()
+    precision, recall = side[0] / (side[0] + side[1]), side[0] / _none_if_zero(_p())
     f1 = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)).otherwise(0.0)
     return F.max_by(_cut(x, side), F.struct(f1.alias("f1"), (-x).alias("x")))
 

@@ -25,7 +25,8 @@ def rank_features(gains: DataFrame, gain: str = "gain_cv") -> DataFrame:
     """
     order = Window.orderBy(F.desc(gain), "feature")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    share = F.sum(gain).over(upto) / F.sum(gain).over(Window.partitionBy())
+    total = F.sum(gain).over(Window.partitionBy())
+    share = F.sum(gain).over(upto) / F.nullif(total, F.lit(0.0))
     return gains.select(
         "feature",
         F.col(gain).alias("gain_cv"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortscore.operators.cost import cost_columns
 from cohortscore.operators.metrics import (
     balanced_cutoffs, hard_auc, metrics_vs_all, optimal_cutoffs, pick_cutoffs, point_metrics, pr_curve,
-    ranking_metrics, roc_curve,
+    ranking_metrics, roc_curve, summarize_points,
 )
 from cohortscore.operators.profile import histogram, quantiles
 from cohortscore.operators.sweep import threshold_sweep
@@ -153,7 +153,8 @@ def test_metrics_vs_all_rules(spark):
     assert got["down"]["threshold_used"] == got["up"]["threshold_used"]  # refers to the turned score
     assert got["flag"]["threshold_used"] is None and got["flag"]["n"] == 10
     one_class = spark.createDataFrame([(1, 0.2), (1, 0.4)], "y int, a double")
-    assert metrics_vs_all(one_class, "y", ["a"]).count() == 0
+    for strategy in ("youden", "f1", "fixed", "balanced"):
+        assert metrics_vs_all(one_class, "y", ["a"], strategy).collect() == []
 
 
 def test_missing_scores_are_dropped_pairwise(spark):
@@ -220,3 +221,13 @@ def test_histogram_matches_numpy(spark):
     assert sum(r["density"] * (r["high"] - r["low"]) for r in got) == pytest.approx(1.0)
     with pytest.raises(KeyError):
         histogram(df, ["absent"])
+
+
+def test_one_class_gives_null_areas(spark):
+    for y in (0, 1):
+        df = spark.createDataFrame([(y, 0.2), (y, 0.4)], "y int, a double")
+        points = ordered_points(tally(df, "y", ["a"]))
+        row = summarize_points(points, {"a": "m"}).first()
+        assert row["roc_auc"] is None and row["pr_auc"] is None and row["brier"] is not None
+        assert optimal_cutoffs(points).collect() == []
+        assert all(r["fpr"] is None or r["tpr"] is None or r["threshold"] == math.inf for r in roc_curve(points).collect())

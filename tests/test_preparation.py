@@ -149,6 +149,8 @@ def test_strict_prefix_may_be_empty(spark):
     ranking = rank_features(spark.createDataFrame([("a", 9.0), ("b", 1.0)], "feature string, gain_cv double"))
     assert select_cumulative(ranking, 0.5).count() == 0
     assert [r[0] for r in select_features(ranking, 1).collect()] == ["a"]
+    useless = rank_features(spark.createDataFrame([("a", 0.0), ("b", 0.0)], "feature string, gain_cv double"))
+    assert [r["cum_importance"] for r in useless.collect()] == [None, None]
 
 
 def linear_sample(spark, n=400):
