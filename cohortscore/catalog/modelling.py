@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortscore.catalog.inputs import encounters
-from cohortscore.catalog.registry import query
+from cohortscore.catalog.inputs import encounters, with_encounters
+from cohortscore.catalog.preparing import CLEAN
+from cohortscore.catalog.registry import query, rounded
 from cohortscore.operators.metrics import validation_metrics
 from cohortscore.operators.models import (
     best_settings, boosted_importance, boosted_importance_cv, describe_fit, fit_boosted, fit_linear, fit_network,
@@ -114,11 +115,17 @@ def _(spark, d):
     return scorer.score(test, "nn_prob").select(ID, LABEL, "nn_prob")
 
 
-@query("M10_repeat_positives")
+@query("M10_repeat_positives", with_encounters(CLEAN + """
+, w AS (SELECT sum(1 - readmitted) / greatest(sum(readmitted), 1)::DOUBLE AS w FROM cleaned)
+, c AS (SELECT readmitted, CASE WHEN readmitted = 1 THEN greatest(1, floor(w)::BIGINT + CASE WHEN
+    CAST('0x' || substr(md5('42:' || encounter_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE < w - floor(w) THEN 1 ELSE 0 END) ELSE 1 END AS n
+  FROM cleaned, w)
+, s AS (SELECT sum(CASE WHEN readmitted = 1 THEN n ELSE 0 END)::BIGINT AS pos, sum(CASE WHEN readmitted = 0 THEN n ELSE 0 END)::BIGINT AS neg FROM c)
+SELECT pos, neg, round(neg / greatest(pos, 1)::DOUBLE, 6) AS scale_pos_weight FROM s"""))
 def _(spark, d):
     rows = frame(spark, d)
     weight = class_balance(rows, F.col(LABEL)).first()["scale_pos_weight"]
-    return class_balance(repeat_positives(rows, LABEL, ID, weight), F.col(LABEL))
+    return rounded(class_balance(repeat_positives(rows, LABEL, ID, weight), F.col(LABEL)))
 
 
 @query("M11_tune_network")
