@@ -37,13 +37,25 @@ def binary_label(df: DataFrame, name: str) -> Column:
     return F.when(value.isNotNull(), (value >= 0.5).cast("int"))
 
 
-def label_violations(df: DataFrame, label: Column) -> DataFrame:
-    """One row: rows without a label and rows whose label is neither 0 nor 1."""
+def violation_columns(label: Column) -> list[Column]:
+    """Aggregates: rows without a label, and rows whose label is neither 0 nor 1."""
     y = label.cast("double")
-    return df.agg(
+    return [
         F.count_if(y.isNull()).alias("missing"),
         F.count_if(y.isNotNull() & ~y.isin(0.0, 1.0)).alias("not_binary"),
-    )
+    ]
+
+
+def label_violations(df: DataFrame, label: Column) -> DataFrame:
+    """One row with both counts."""
+    return df.agg(*violation_columns(label))
+
+
+def refuse_incomplete(counts, name: str) -> None:
+    if counts["missing"] or counts["not_binary"]:
+        raise ValueError(
+            f"label {name!r}: {counts['missing']} missing, {counts['not_binary']} non-binary values"
+        )
 
 
 def strict_label(df: DataFrame, name: str, out: str = "label") -> DataFrame:
@@ -58,7 +70,5 @@ def strict_label(df: DataFrame, name: str, out: str = "label") -> DataFrame:
 def complete_label(df: DataFrame, name: str, out: str = "label") -> DataFrame:
     """Add the lenient label; fail if any row is left without a binary one."""
     y = coerce_label(df, name)
-    bad = label_violations(df, y).first()
-    if bad["missing"] or bad["not_binary"]:
-        raise ValueError(f"label {name!r} has missing or non-binary values: {bad.asDict()}")
+    refuse_incomplete(label_violations(df, y).first(), name)
     return df.withColumn(out, y.cast("int"))

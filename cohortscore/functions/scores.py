@@ -88,32 +88,36 @@ def looks_like_probability(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return ranges.withColumn("is_probability", F.coalesce(ok, F.lit(False)))
 
 
-def to_probability(df: DataFrame, names: Sequence[str], suffix: str = "") -> DataFrame:
+def range_columns(values: Sequence[Column]) -> list[Column]:
+    """Aggregates lo0, hi0, lo1, hi1, ...: the ranges of several columns."""
+    lows = [F.min(v).alias(f"lo{i}") for i, v in enumerate(values)]
+    return lows + [F.max(v).alias(f"hi{i}") for i, v in enumerate(values)]
+
+
+def filled_scores(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    return [F.coalesce(to_double(df, c), F.lit(0.0)) for c in names]
+
+
+def to_probability(df: DataFrame, names: Sequence[str], ranges=None) -> DataFrame:
     """Missing scores become 0; a column outside [0, 1] is squashed as a whole.
 
-    The ranges of all columns come from one aggregate over the table; they are
-    one small row, so the projection that follows needs no join.
+    The ranges of all columns come from one aggregate over the table, unless
+    the caller has that row already; the projection that follows needs no join.
     """
-    filled = {c: F.coalesce(to_double(df, c), F.lit(0.0)) for c in names}
-    bounds = df.agg(
-        *[F.min(v).alias(f"lo{i}") for i, v in enumerate(filled.values())],
-        *[F.max(v).alias(f"hi{i}") for i, v in enumerate(filled.values())],
-    ).first()
+    filled = filled_scores(df, names)
+    ranges = ranges or df.agg(*range_columns(filled)).first()
     out = {}
-    for i, (c, v) in enumerate(filled.items()):
-        low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]
+    for i, (c, v) in enumerate(zip(names, filled)):
+        low, high = ranges[f"lo{i}"], ranges[f"hi{i}"]
         inside = low is None or (low >= 0 and high <= 1)
-        out[c + suffix] = v if inside else 1.0 / (1.0 + F.exp(-v))
+        out[c] = v if inside else 1.0 / (1.0 + F.exp(-v))
     return df.withColumns(out)
 
 
 def min_max_scale(df: DataFrame, names: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """(x - min) / (max - min); NULL for a constant column."""
     values = {c: to_double(df, c) for c in names}
-    bounds = df.agg(
-        *[F.min(v).alias(f"lo{i}") for i, v in enumerate(values.values())],
-        *[F.max(v).alias(f"hi{i}") for i, v in enumerate(values.values())],
-    ).first()
+    bounds = df.agg(*range_columns(list(values.values()))).first()
     out = {}
     for i, (c, v) in enumerate(values.items()):
         low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortscore.functions.labels import binary_label, complete_label
+from cohortscore.functions.labels import binary_label, coerce_label, refuse_incomplete, violation_columns
 from cohortscore.functions.numeric import quoted, to_double
 from cohortscore.functions.scores import (
-    FLAG_FORMAT, cutoff_label, ensemble_mean, flag_name, flag_thresholds, symmetric_thresholds, to_probability,
+    FLAG_FORMAT, cutoff_label, ensemble_mean, filled_scores, flag_name, flag_thresholds, range_columns,
+    symmetric_thresholds, to_probability,
 )
 from cohortscore.operators.columns import require_columns
 from cohortscore.operators.cost import baselines, cost_columns, top_tables
@@ -46,17 +47,21 @@ def evaluate(
 ) -> Evaluation:
     """Summary, point metrics, curves and confusion of two scores and their mean.
 
-    Columns not named are detected. The table is read once: everything is
-    derived from the tally of the three scores.
+    Columns not named are detected. The table is read twice: once to check the
+    label and the ranges of the scores, once for the tally of the three scores,
+    from which everything is derived.
     """
     label = label or detect_label(df)
     xgb, nn = xgb or resolve_score(df, "xgb"), nn or resolve_score(df, "nn")
     if label is None or xgb is None or nn is None:
         raise ValueError(f"columns not found: label={label} xgb={xgb} nn={nn}")
     require_columns(df, [label, xgb, nn])
-    checked = complete_label(df.select(quoted(label), quoted(xgb), quoted(nn)), label, "__y")
-    scored = to_probability(checked, [xgb, nn]).select(
-        "__y",
+    base = df.select(quoted(label), quoted(xgb), quoted(nn))
+    y, scores = coerce_label(base, label), [xgb, nn]
+    facts = base.agg(*violation_columns(y), *range_columns(filled_scores(base, scores))).first()
+    refuse_incomplete(facts, label)
+    scored = to_probability(base, scores, facts).select(
+        y.cast("int").alias("__y"),
         quoted(xgb).alias("xgb"),
         quoted(nn).alias("nn"),
         ensemble_mean(quoted(xgb), quoted(nn)).alias("ensemble_avg"),
