@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, mixing
+from cohortscore.llm import chat, exact, mixing, packing
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), with_ids=False).drop("ids")
+
+
 _MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(concat('mix:', doc_id)) AS key,
