@@ -27,7 +27,8 @@ def _place(text: Column, row_id: Column, salts: int) -> list[Column]:
     return [
         F.substring(text, 1, SPLITTER_CHARS).alias("_lead"),
         F.xxhash64(text).alias("_hash"),
-        F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int").alias("_salt"),
+        # Never null, or a filter for it would part the two uses of one exchange.
+        F.coalesce(F.pmod(F.xxhash64(row_id), F.lit(salts)), F.lit(0)).cast("int").alias("_salt"),
     ]
 
 
