@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, mixing, packing
+from cohortscore.llm import chat, exact, mixing, packing, simhash
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -126,3 +126,8 @@ FROM normal WINDOW w AS (PARTITION BY norm)
 @query("op6_exact_dedup", _EXACT_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return exact.copy_groups(table(spark, folder, "documents"), keep="largest")
+
+
+@query("op8_simhash_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"))
