@@ -19,6 +19,8 @@ from cohortscore.session import settle
 CELL_DIGITS = 3
 #: Most epochs that a source may be repeated.
 MAX_EPOCHS = 3
+#: Sources up to which their cuts, some 100 bytes each, are broadcast; salts of a source beyond that.
+BROADCAST_SOURCES, SALTS = 100_000, 64
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
 
@@ -124,6 +126,20 @@ def source_cuts(keyed: DataFrame, targets: DataFrame, cell_digits: int = CELL_DI
     )
 
 
+def _with_cuts(rows: DataFrame, source, cuts: DataFrame) -> DataFrame:
+    """``rows`` with the cut of their source, without moving a large source to one task.
+
+    Cuts are broadcast if there are few sources, which is counted. With more,
+    each cut is repeated for every salt and rows are joined by source and salt.
+    """
+    cuts = settle(cuts)
+    if cuts.count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(cuts), source.eqNullSafe(F.col("t")))
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS))
+    spread = cuts.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.join(spread, source.eqNullSafe(F.col("t")) & (salt == F.col("salt")))
+
+
 def _taken():
     part = (
         F.when(F.col("key") < F.col("cut_key"), F.col("size"))
@@ -155,7 +171,7 @@ def mix(
     """
     keyed = settle(_keyed(docs, id_column, text_column, source_column, seed))
     cuts = source_cuts(keyed, source_targets(keyed, weights, max_epochs))
-    return keyed.join(cuts, F.col("source").eqNullSafe(F.col("t"))).select(
+    return _with_cuts(keyed, F.col("source"), cuts).select(
         "doc_id", "source", "size", "source_size", "target", _taken().alias("taken")
     )
 
@@ -172,8 +188,7 @@ def mixed_rows(
     """The mix itself, with the columns of ``docs``: a row for each time a document is taken.
 
     The last time may be a part, whose text ends after the words taken. Cases
-    as in ``mix``. Cuts are one row per source, so texts are joined with them
-    in place of being shuffled wherever Spark finds that table small.
+    as in ``mix``.
     """
     keyed = settle(_keyed(docs, id_column, text_column, source_column, seed))
     cuts = source_cuts(keyed, source_targets(keyed, weights, max_epochs))
@@ -184,7 +199,7 @@ def mixed_rows(
         word_count(text).alias("size"),
         F.col(f"`{source_column}`").alias("_source"),
     )
-    taken = rows.join(cuts, F.col("_source").eqNullSafe(F.col("t"))).select("_row", "size", _taken().alias("taken"))
+    taken = _with_cuts(rows, F.col("_source"), cuts).select("_row", "size", _taken().alias("taken"))
     # How many words each time: the size for every whole time, then what is left.
     times = F.transform(
         F.sequence(F.lit(0), (F.ceil(F.col("taken") / F.col("size")) - 1).cast("int")),
