@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, mixing, packing, simhash
+from cohortscore.llm import chat, exact, mixing, packing, simhash, substrings
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -30,6 +30,39 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), with_ids=False).drop("ids")
 
 
+_SUBSTRING_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM split
+), windows AS (
+  SELECT doc_id, pos, word, CASE WHEN pos <= n - 12 THEN string_agg(word, ' ') OVER next END AS seq
+  FROM words WINDOW next AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), firsts AS (
+  SELECT seq, min(doc_id) AS first_id FROM windows WHERE seq IS NOT NULL GROUP BY seq
+), lost AS (
+  SELECT w.doc_id, w.pos, w.word, coalesce(f.first_id < w.doc_id, false) AS lost
+  FROM windows w LEFT JOIN firsts f ON w.seq = f.seq
+), covered AS (
+  SELECT doc_id, pos, word, max(CASE WHEN lost THEN 1 ELSE 0 END) OVER prev AS gone
+  FROM lost WINDOW prev AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW)
+), done AS (
+  SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept
+  FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN done USING (doc_id)
+"""
+
+
+@query("op3_substring_dedup", _SUBSTRING_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    done = substrings.remove_repeats(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(concat('mix:', doc_id)) AS key,
