@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, mixing, packing, simhash, substrings
+from cohortscore.llm import chat, exact, language, mixing, packing, simhash, substrings
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -30,6 +30,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), with_ids=False).drop("ids")
 
 
+@query("op2_language_id")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 _SUBSTRING_SQL = r"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
