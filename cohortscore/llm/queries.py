@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, language, mixing, packing, simhash, substrings
+from cohortscore.llm import chat, exact, language, mixing, packing, simhash, substrings, vectors
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -166,6 +166,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return exact.copy_groups(table(spark, folder, "documents"), keep="largest")
 
 
+@query("op7_embedding_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op8_simhash_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
