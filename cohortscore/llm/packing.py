@@ -9,6 +9,7 @@ pieces that only its last windows are not full.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ WINDOW = 1024
 #: Short pieces of a block, on average.
 BLOCK_PIECES = 4096
 #: Encoded words that a worker keeps.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
 
@@ -45,6 +46,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
+        # Spark runs as many tasks as there are cores; threads of their own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -123,8 +126,8 @@ def cut_pieces(
             [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
         )
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 rows = []
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc, code in zip(part.column(0).to_pylist(), encoder.encode(texts)):
