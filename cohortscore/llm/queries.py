@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, language, mixing, packing, simhash, substrings, vectors
+from cohortscore.llm import chat, exact, language, mixing, packing, pages, simhash, substrings, vectors
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -174,3 +174,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_simhash_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
+
+
+@query("op9_html_extraction")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_pages(table(spark, folder, "pages"))
