@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, language, mixing, packing, pages, simhash, substrings, vectors
+from cohortscore.llm import chat, exact, language, licenses, mixing, packing, pages, simhash, substrings, vectors
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -179,3 +179,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_html_extraction")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(table(spark, folder, "pages"))
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
