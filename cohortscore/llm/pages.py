@@ -2,9 +2,10 @@
 
 First every page is read alone: its containers, named by a generalised path of
 tags and classes, get a score from the text they hold outside links and
-boilerplate. Scores are summed per host and path in Spark, and the path with
-the most wins. Then each page is read again and the text under its host's
-winning path is taken; a page without that path takes its own best container.
+boilerplate, and the page votes for the best one. Spark counts the votes per
+host and path, and the path with most wins. Then each page is read again and
+the text under its host's winning path is taken; a page without that path takes
+its own best container.
 """
 
 from __future__ import annotations
@@ -174,13 +175,17 @@ def score_containers(page: str | None) -> dict[str, int]:
     return {path: int(s) for path, s in scores.items() if s >= 1}
 
 
+def best_container(scores: dict[str, int]) -> str | None:
+    """The path with the largest score, the first by name of equals."""
+    return min(scores, key=lambda path: (-scores[path], path), default=None)
+
+
 def main_text(page: str | None, path: str | None) -> str:
     """Blocks under ``path``, or under the page's own best container if it has none there, joined by line breaks."""
     blocks = list(read_blocks(page))
     kept = [text for paths, text, _ in blocks if path in paths]
     if not kept and blocks:
-        scores = score_containers(page)
-        own = min(scores, key=lambda p: (-scores[p], p)) if scores else None
+        own = best_container(score_containers(page))
         kept = [text for paths, text, linked in blocks if (own in paths if own else not linked)]
     return "\n".join(kept)
 
@@ -190,14 +195,16 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _score_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _vote_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums: dict[tuple[str, str], list[int]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for path, score in score_containers(page).items():
+            scores = score_containers(page)
+            path = best_container(scores)
+            if path is not None:
                 both = sums.setdefault((host, path), [0, 0])
                 both[0] += 1
-                both[1] += score
+                both[1] += scores[path]
         rows = [(host, path, n, s) for (host, path), (n, s) in sums.items()]
         columns = zip(*rows) if rows else [()] * 4
         kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
@@ -205,13 +212,13 @@ def _score_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def winning_paths(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """host, path, votes, score: the path with the highest score of each host, the first by name of equals."""
+    """host, path, votes, score: the path with most votes of each host; of equals by score, then by name."""
     rows = pages.select(host_of(F.col(f"`{url_column}`")).alias("host"), F.col(f"`{html_column}`").alias("html"))
-    voted = rows.mapInArrow(_score_task, "host string, path string, votes long, score long")
+    voted = rows.mapInArrow(_vote_task, "host string, path string, votes long, score long")
     sums = voted.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
-    best = F.min(F.struct((-F.col("score")).alias("minus"), "path", "votes"))
+    best = F.min(F.struct((-F.col("votes")).alias("n"), (-F.col("score")).alias("s"), "path"))
     return sums.groupBy("host").agg(best.alias("b")).select(
-        "host", F.col("b.path").alias("path"), F.col("b.votes").alias("votes"), (-F.col("b.minus")).alias("score")
+        "host", F.col("b.path").alias("path"), (-F.col("b.n")).alias("votes"), (-F.col("b.s")).alias("score")
     )
 
 
