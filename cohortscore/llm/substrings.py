@@ -9,8 +9,9 @@ sorts the window hashes of some thousand documents, keeps of each hash one
 entry with its smallest document there, and sends the entries of a hash range
 as one compressed row to the bucket of that range. What the other documents
 lose to that one is known at once and passes through. A hash of any frequency
-is thus one entry per task. The bucket puts the entries together and answers,
-per document, the hashes it loses. Only these go back to the documents.
+is thus one entry per task. The bucket puts the entries together and answers
+with the entries that lose, in one row per group of documents. Only these go
+back to the documents, which are grouped by their id.
 """
 
 from __future__ import annotations
@@ -117,17 +118,31 @@ def first_documents(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, n
     return hashes[head], least, hashes[lost], docs[lost]
 
 
-def lost_by_document(hashes: np.ndarray, docs: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """The hashes that each document loses, as bytes."""
+def lost_rows(hashes: np.ndarray, docs: np.ndarray, groups: int) -> Iterator[tuple[int, bytes]]:
+    """Entries sorted by hash as one packed row per group of documents."""
+    if len(docs):
+        group = docs % groups
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order])) + 1
+        packer = zstandard.ZstdCompressor(level=1)
+        for some in np.split(order, cuts):
+            yield int(group[some[0]]), pack_entries(hashes[some], docs[some], packer)
+
+
+def by_document(packed_rows: list[bytes]) -> dict[int, np.ndarray]:
+    """The hashes that each document loses."""
+    if not packed_rows:
+        return {}
+    both = [unpack_entries(row) for row in packed_rows]
+    hashes, docs = (np.concatenate(side) for side in zip(*both))
     order = np.argsort(docs, kind="stable")
     hashes, docs = hashes[order], docs[order]
-    cuts = np.flatnonzero(docs[1:] != docs[:-1]) + 1
-    for some in np.split(np.arange(len(docs)), cuts) if len(docs) else ():
-        yield int(docs[some[0]]), hashes[some].tobytes()
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(docs)) + 1))
+    return dict(zip(docs[starts].tolist(), np.split(hashes, starts[1:])))
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("data", pa.binary())])
-_LOST = pa.schema([("lost_id", pa.int64()), ("data", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int32()), ("docs", pa.int32()), ("data", pa.binary())])
+_LOST = pa.schema([("docs", pa.int32()), ("data", pa.binary())])
 
 
 def _batches(rows: list[tuple], schema: pa.Schema, at_once: int = 2_000) -> Iterator[pa.RecordBatch]:
@@ -136,8 +151,8 @@ def _batches(rows: list[tuple], schema: pa.Schema, at_once: int = 2_000) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _send(buckets: int, window: int, chunk_windows: int):
-    """Task over (doc_id, text): rows (bucket, null, entries) and (bucket, doc_id, hashes it loses)."""
+def _send(buckets: int, groups: int, window: int, chunk_windows: int):
+    """Task over (doc_id, text): rows (bucket, null, entries) and (any bucket, group of documents, entries that lose)."""
 
     def chunk(hashes: list[np.ndarray], docs: list[int]) -> Iterator[pa.RecordBatch]:
         h = np.concatenate(hashes)
@@ -152,7 +167,7 @@ def _send(buckets: int, window: int, chunk_windows: int):
             for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
             if j > i
         ]
-        sent += [(doc % buckets, doc, data) for doc, data in lost_by_document(lost_h, lost_d)]
+        sent += [(group % buckets, group, data) for group, data in lost_rows(lost_h, lost_d, groups)]
         yield from _batches(sent, _SENT)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,48 +195,40 @@ def _send(buckets: int, window: int, chunk_windows: int):
     return send
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task over a bucket's rows, sorted by bucket: (lost_id, hashes)."""
+def _answer(groups: int):
+    """Task over buckets' rows, sorted by bucket: (group of documents, entries that lose)."""
 
     def settle_bucket(entries: list[bytes]) -> Iterator[pa.RecordBatch]:
         if entries:
-            both = [unpack_entries(e) for e in entries]
-            _, _, h, d = first_documents(np.concatenate([h for h, _ in both]), np.concatenate([d for _, d in both]))
-            yield from _batches(list(lost_by_document(h, d)), _LOST)
-
-    entries: list[bytes] = []
-    current = None
-    for batch in batches:
-        passed = []
-        for bucket, doc, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if bucket != current:
-                yield from settle_bucket(entries)
-                entries, current = [], bucket
-            if doc is None:
-                entries.append(data)
-            else:
-                passed.append((doc, data))
-        yield from _batches(passed, _LOST)
-    yield from settle_bucket(entries)
-
-
-def lost_windows(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    window: int = WINDOW_WORDS,
-    chunk_windows: int = CHUNK_WINDOWS,
-    bucket_bytes: int = BUCKET_BYTES,
-) -> DataFrame:
-    """(lost_id, data): hashes, 8 bytes each, of windows that document lost_id loses to a smaller one."""
-    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-    rows = rows.where(F.col("doc_id").isNotNull())
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(1 << 30, size // bucket_bytes + 1)
-    sent = rows.mapInArrow(_send(buckets, window, chunk_windows), "bucket int, doc_id long, data binary")
-    return (
-        sent.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_answer, "lost_id long, data binary")
-    )
+            hashes, docs = (np.concatenate(side) for side in zip(*map(unpack_entries, entries)))
+            _, _, hashes, docs = first_documents(hashes, docs)
+            yield from _batches(list(lost_rows(hashes, docs, groups)), _LOST)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries: list[bytes] = []
+        current = None
+        for batch in batches:
+            passed = []
+            for bucket, group, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if bucket != current:
+                    yield from settle_bucket(entries)
+                    entries, current = [], bucket
+                if group is None:
+                    entries.append(data)
+                else:
+                    passed.append((group, data))
+            yield from _batches(passed, _LOST)
+        yield from settle_bucket(entries)
+
+    return answer
+
+
+def next_prime(n: int) -> int:
+    """The least prime of ``n`` or more; ids of any stride spread over so many groups."""
+    n = max(2, n)
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
 
 
 def removal_intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -234,25 +241,35 @@ def removal_intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
 
 
 def _remove(window: int):
+    """Task over (group, text or entries that lose), sorted so that a group's entries come before its documents."""
     out = pa.schema(
         [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, powers = WordHashes(), Powers()
+        lost: dict[int, np.ndarray] = {}
+        entries: list[bytes] = []
+        current = None
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 if len(known) > CACHED_WORDS:
                     known.clear()
                 rows = []
-                for doc, text, lost in zip(*(part.column(i).to_pylist() for i in range(3))):
+                for group, data, doc, text in zip(*(part.column(i).to_pylist() for i in range(4))):
+                    if group != current:
+                        current, entries, lost = group, [], {}
+                    if data is not None:
+                        entries.append(data)
+                        continue
+                    if entries:
+                        lost, entries = by_document(entries), []
                     words = words_of(text)
                     spans = []
-                    if lost:
-                        gone = np.frombuffer(b"".join(lost), dtype=np.uint64)
+                    if doc in lost:
                         hashes = window_hashes(words, known, powers, window)
-                        spans = removal_intervals(np.flatnonzero(np.isin(hashes, gone)), window)
+                        spans = removal_intervals(np.flatnonzero(np.isin(hashes, lost[doc])), window)
                     kept, end = [], 0
                     for start, stop in spans:
                         kept += words[end:start]
@@ -283,13 +300,34 @@ def remove_repeats(
     alike and not against each other. A row without doc_id neither loses words
     nor takes them from others. Other columns are ignored, an empty table
     gives no rows.
+
+    ``bucket_bytes`` of text, whose hashes a task holds at once, and
+    ``chunk_windows`` should grow together with the executors' memory: with
+    more of both, a task sends fewer and longer rows.
     """
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-    lost = lost_windows(docs, id_column, text_column, window, chunk_windows, bucket_bytes)
-    lost = lost.groupBy("lost_id").agg(F.collect_list("data").alias("lost"))
-    joined = rows.join(lost, F.col("doc_id") == F.col("lost_id"), "left").select("doc_id", "text", "lost")
-    return joined.mapInArrow(
-        _remove(window),
-        "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start:long,stop:long>>",
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = size // bucket_bytes + 1
+    groups = next_prime(max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    sent = rows.where(F.col("doc_id").isNotNull()).mapInArrow(
+        _send(buckets, groups, window, chunk_windows), "bucket int, docs int, data binary"
+    )
+    lost = (
+        sent.repartitionById(buckets, F.col("bucket"))
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_answer(groups), "docs int, data binary")
+    )
+    none = F.lit(None)
+    both = lost.select("docs", "data", none.cast("long").alias("doc_id"), none.cast("string").alias("text")).unionAll(
+        rows.select(
+            F.coalesce(F.pmod("doc_id", F.lit(groups)), F.lit(0)).cast("int"), none.cast("binary"), "doc_id", "text"
+        )
+    )
+    return (
+        both.repartitionById(groups, F.col("docs"))
+        .sortWithinPartitions("docs", F.col("data").isNull())
+        .mapInArrow(
+            _remove(window),
+            "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start:long,stop:long>>",
+        )
     )
-
