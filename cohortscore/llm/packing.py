@@ -10,6 +10,7 @@ pieces that only its last windows are not full.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,10 +26,12 @@ WINDOW = 1024
 #: Short pieces of a block, on average.
 BLOCK_PIECES = 4096
 #: Encoded words that a worker keeps.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 900_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+
 
 def default_tokenizer() -> str:
     from public_tokenizers import path
@@ -56,14 +59,13 @@ class WordEncoder:
         #: Codes of words that begin a line, and of words after a space.
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        #: Codes of what follows a word's letters.
+        self.tails: dict[str, bytes] = {}
 
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        new = list(words - known.keys())
-        if len(known) + len(new) > self.cached:
-            known.clear()
-            new = list(words)
+    def _encode_words(self, known: dict[str, bytes], words: set[str], before: str) -> None:
         # Many words a call, a line break between them, as calls cost more than words.
-        groups = [new[at : at + 256] for at in range(0, len(new), 256)]
+        words = list(words)
+        groups = [words[at : at + 256] for at in range(0, len(words), 256)]
         joined = ["\n".join([before + w for w in group]) for group in groups]
         for group, code in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(code.ids, dtype="<u4")
@@ -73,6 +75,21 @@ class WordEncoder:
                 known[word] = data[4 * start : 4 * end]
                 start = end + 1
 
+    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
+        new = words - known.keys()
+        if len(known) + len(new) > self.cached:
+            known.clear()
+            new = set(words)
+        if len(self.tails) > self.cached // 8:
+            self.tails.clear()
+        # The splitting pattern always cuts after the letters that begin a word.
+        letters = {w: m.end() for w in new if (m := _LETTERS.match(w)) and m.end() < len(w) and m[0].isalpha()}
+        whole = new - letters.keys() | {w[:n] for w, n in letters.items()}
+        self._encode_words(known, whole - known.keys(), before)
+        self._encode_words(self.tails, {w[n:] for w, n in letters.items()} - self.tails.keys(), "")
+        for word, n in letters.items():
+            known[word] = known[word[:n]] + self.tails[word[n:]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split, whole = [], []
         first: set[str] = set()
