@@ -13,7 +13,7 @@ from cohortscore.functions.scores import (
 )
 from cohortscore.operators.cost import baselines, cost_columns, top_tables
 from cohortscore.operators.metrics import (
-    balanced_cutoffs, brier, hard_auc, log_loss, metrics_vs_all, normalized_confusion, optimal_cutoffs,
+    balanced_cutoffs, hard_auc, mean_losses, metrics_vs_all, normalized_confusion, optimal_cutoffs,
     pick_cutoffs, point_metrics, pr_curve, ranking_metrics, rate_metrics, roc_curve, sort_metrics,
     summary_metrics, validation_metrics,
 )
@@ -271,8 +271,7 @@ def _(spark, d):
 @query("A20_brier", with_scored(LONG + """
 SELECT m AS feature, round(avg((x - y) * (x - y)), 6) AS brier FROM long GROUP BY m"""))
 def _(spark, d):
-    points = ordered_points(tally(with_mean(scored(spark, d)), Y, THREE))
-    return rounded(points.groupBy("feature").agg(brier(F.col("x")).alias("brier")))
+    return rounded(mean_losses(with_mean(scored(spark, d)), Y, THREE).select("feature", "brier"))
 
 
 @query("A21_log_loss", with_scored(LONG + """
@@ -281,9 +280,7 @@ SELECT m AS feature, round(avg(-(y * ln(greatest(2.220446049250313e-16::DOUBLE,
   + (1 - y) * ln(greatest(2.220446049250313e-16::DOUBLE, least(1 - 2.220446049250313e-16::DOUBLE, 1 - p))))), 5) AS log_loss
 FROM s GROUP BY m"""))
 def _(spark, d):
-    points = ordered_points(tally(with_mean(scored(spark, d)), Y, THREE))
-    scaled = (F.col("x") - F.col("x_min")) / (F.col("x_max") - F.col("x_min"))
-    return rounded(points.groupBy("feature").agg(log_loss(scaled).alias("log_loss")), 5)
+    return rounded(mean_losses(with_mean(scored(spark, d)), Y, THREE, scaled=True).select("feature", "log_loss"), 5)
 
 
 @query("A22_roc_curve", with_scored(LONG + POINTS + """
@@ -420,20 +417,24 @@ def _(spark, d):
 
 
 @query("W6_balanced_threshold", with_scored(LONG + POINTS + """
-, few AS (SELECT m, x AS t FROM pts WHERE nd <= 1000)
-, rk AS (SELECT m, x, row_number() OVER (PARTITION BY m ORDER BY x) - 1 AS i, count(*) OVER (PARTITION BY m) AS n
-  FROM long WHERE m IN (SELECT m FROM pts WHERE nd > 1000))
+SELECT m AS feature, round(arg_min(x, {'g': round(abs((tp + fp) / (p + q) - p / (p + q)), 12), 't': x}), 6) AS balanced FROM pts GROUP BY m"""))
+def _(spark, d):
+    points = ordered_points(tally(with_mean(scored(spark, d)), Y, THREE))
+    return rounded(balanced_cutoffs(points))
+
+
+@query("W6_balanced_quantile", with_scored(LONG + POINTS + """
+, rk AS (SELECT m, x, row_number() OVER (PARTITION BY m ORDER BY x) - 1 AS i, count(*) OVER (PARTITION BY m) AS n FROM long)
 , ps AS (SELECT m, k, (k * (n - 1) // 1000) AS lo, (k * (n - 1) % 1000) / 1000.0::DOUBLE AS part
   FROM (SELECT m, max(n) AS n FROM rk GROUP BY m), range(1001) t(k))
-, qs AS (SELECT ps.m, a.x + part * (coalesce(b.x, a.x) - a.x) AS t FROM ps JOIN rk a ON a.m = ps.m AND a.i = lo
+, cand AS (SELECT DISTINCT ps.m, a.x + part * (coalesce(b.x, a.x) - a.x) AS t FROM ps JOIN rk a ON a.m = ps.m AND a.i = lo
   LEFT JOIN rk b ON b.m = ps.m AND b.i = lo + 1)
-, cand AS (SELECT m, t FROM few UNION SELECT m, t FROM qs)
 , rate AS (SELECT c.m, c.t, abs(sum(CASE WHEN l.x >= c.t THEN 1 ELSE 0 END) / count(*)::DOUBLE - avg(l.y)) AS gap
   FROM cand c JOIN (SELECT m, x, y FROM long) l ON l.m = c.m GROUP BY c.m, c.t)
 SELECT m AS feature, round(arg_min(t, {'g': round(gap, 12), 't': t}), 6) AS balanced FROM rate GROUP BY m"""))
 def _(spark, d):
     points = ordered_points(tally(with_mean(scored(spark, d)), Y, THREE))
-    return rounded(balanced_cutoffs(points))
+    return rounded(balanced_cutoffs(points, quantiles=1000))
 
 
 @query("W7_fixed_or_median", """

@@ -700,6 +700,16 @@ def _(spark, d):
     return parse_responses(spark.sql(text))
 
 
+@query("F27_missing_predictions", """
+SELECT event_id AS batch_id, NULL::INTEGER AS pos, NULL::DOUBLE AS score, event_id % 2 = 0 AS complete FROM events WHERE event_id % 4 <> 3
+UNION ALL SELECT event_id, 0, user_id + 0.25::DOUBLE, event_id % 2 = 1 FROM events WHERE event_id % 4 = 3""")
+def _(spark, d):
+    kind, text = F.col("event_id") % 4, F.col("user_id").cast("string")
+    raw = F.when(kind == 0, '{"predictions": []}').when(kind == 1, "").when(kind == 3, F.concat(text, F.lit(".25")))
+    rows = F.when(F.col("event_id") % 2 == 0, 0).otherwise(1)
+    return parse_responses(table(spark, d, "events").select(F.col("event_id").alias("batch_id"), rows.alias("n_rows"), raw.alias("raw")))
+
+
 @query("F28_scores_from_json", """
 SELECT event_id, 0 AS pos, value AS score FROM events UNION ALL SELECT event_id, 1, CAST(json_extract_string(props, '$.k') AS DOUBLE) FROM events""")
 def _(spark, d):

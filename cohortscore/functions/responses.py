@@ -35,14 +35,16 @@ def response_values(raw: Column) -> Column:
 def parse_responses(responses: DataFrame) -> DataFrame:
     """(batch_id, n_rows, raw) to (batch_id, pos, score, complete).
 
-    ``complete`` tells whether the response held exactly ``n_rows`` numbers.
+    ``complete`` tells whether the response held exactly ``n_rows`` numbers. A
+    missing or empty response keeps one row, without position and score.
     """
     values = responses.select("batch_id", "n_rows", response_values(F.col("raw")).alias("values"))
+    values = values.withColumn("values", F.coalesce("values", F.array().cast("array<double>")))
     complete = (F.size("values") == F.col("n_rows")) & ~F.exists("values", lambda v: v.isNull())
     return values.select(
         "batch_id",
         F.coalesce(complete, F.lit(False)).alias("complete"),
-        F.posexplode("values").alias("pos", "score"),
+        F.posexplode_outer("values").alias("pos", "score"),
     )
 
 
@@ -51,7 +53,7 @@ def require_complete(parsed: DataFrame) -> DataFrame:
     broken = parsed.where(~F.col("complete")).select("batch_id").distinct().limit(5).collect()
     if broken:
         raise ValueError(f"responses with a wrong number of scores: {[r[0] for r in broken]}")
-    return parsed.select("batch_id", "pos", "score")
+    return parsed.where(F.col("pos").isNotNull()).select("batch_id", "pos", "score")
 
 
 def scores_from_json(df: DataFrame, column: str, keys: list[str]) -> DataFrame:

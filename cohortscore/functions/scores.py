@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ def threshold_flags(
 
 def symmetric_thresholds(center: float, spread: float, step: float, digits: int) -> list[float]:
     """Grid of ``center`` plus/minus ``spread``, rounded, descending."""
-    half = int(spread / step)
+    half = int(Fraction(str(spread)) / Fraction(str(step)))
     return [round(center + i * step, digits) for i in range(half, -half - 1, -1)]
 
 

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import ratio
-from cohortscore.operators.tally import ordered_points, quantile_grid, tally
+from cohortscore.operators.tally import long_scores, ordered_points, quantile_grid, tally
 from cohortscore.session import settle
 
 # Fixed value: machine epsilon of a double, the clip of the log loss.
 EPSILON = 2.220446049250313e-16
-MANY_VALUES, QUANTILES = 1000, 1000
 
 
 def _d(name: str) -> Column:
@@ -130,6 +129,27 @@ def log_loss(p: Column) -> Column:
     return F.sum(-_d("pos") * F.ln(clip(p)) - _d("neg") * F.ln(clip(1 - p))) / F.max(_p() + _n())
 
 
+def mean_losses(df: DataFrame, label: Column | str, features: Sequence[str], scaled: bool = False) -> DataFrame:
+    """(feature, brier, log_loss): plain means over the rows, no order needed.
+
+    ``scaled`` first brings each feature to 0..1 by its least and largest value.
+    """
+    rows = long_scores(df, label, features)
+    x, y = F.col("x"), F.col("y").cast("double")
+    if scaled:
+        span = rows.groupBy("feature").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+        rows = rows.join(F.broadcast(span), "feature")  # one row per feature
+        x = (x - F.col("low")) / _none_if_zero(F.col("high") - F.col("low"))
+
+    def clip(v):
+        return F.greatest(F.lit(EPSILON), F.least(F.lit(1.0 - EPSILON), v))
+
+    return rows.groupBy("feature").agg(
+        F.avg((x - y) * (x - y)).alias("brier"),
+        F.avg(-y * F.ln(clip(x)) - (1 - y) * F.ln(clip(1 - x))).alias("log_loss"),
+    )
+
+
 def _both_classes() -> Column:
     return F.max((F.col("p_total") > 0) & (F.col("n_total") > 0))
 
@@ -240,32 +260,32 @@ def optimal_cutoffs(points: DataFrame) -> DataFrame:
     )
 
 
-def balanced_cutoffs(points: DataFrame, flipped: bool = False) -> DataFrame:
+def balanced_cutoffs(points: DataFrame, flipped: bool = False, quantiles: int | None = None) -> DataFrame:
     """Cutoff whose flagged share is nearest the share of positives.
 
-    Candidates are the distinct scores, or 1,001 quantiles once there are more
-    than a thousand; the lowest of ties wins. ``flipped`` ranks by -x.
+    Candidates are all distinct scores, or, if ``quantiles`` is given, the
+    values at that many equal steps; the lowest of ties wins. ``flipped`` ranks
+    by -x.
     """
     n = F.col("p_total") + F.col("n_total")
     share = (_p() / n.cast("double")).alias("share")
-    few = points.where(F.col("n_distinct") <= MANY_VALUES)
-    many = points.where(F.col("n_distinct") > MANY_VALUES)
     side = _up() if flipped else _down()
     sign = F.lit(-1.0 if flipped else 1.0)
-    direct = few.select(
-        "feature", (F.col("x") * sign).alias("t"), ((side[0] + side[1]) / n).alias("flagged"), share
-    )
-    grid = quantile_grid(many, QUANTILES)
-    shares = many.groupBy("feature").agg(F.max(_p() / n.cast("double")).alias("share"))
-    # Turning the sign turns the order: x at or below the value is then flagged.
-    flagged = (F.col("n") - F.col("above") if flipped else F.col("at_or_above")) / F.col("n")
-    fine = grid.join(F.broadcast(shares), "feature").select(
-        "feature", (F.col("value") * sign).alias("t"), flagged.alias("flagged"), "share"
-    )
+    if quantiles is None:
+        candidates = points.select(
+            "feature", (F.col("x") * sign).alias("t"), ((side[0] + side[1]) / n).alias("flagged"), share
+        )
+    else:
+        grid = quantile_grid(points, quantiles)
+        shares = points.groupBy("feature").agg(F.max(_p() / n.cast("double")).alias("share"))
+        # Turning the sign turns the order: x at or below the value is then flagged.
+        flagged = (F.col("n") - F.col("above") if flipped else F.col("at_or_above")) / F.col("n")
+        candidates = grid.join(F.broadcast(shares), "feature").select(
+            "feature", (F.col("value") * sign).alias("t"), flagged.alias("flagged"), "share"
+        )
     gap = F.abs(F.col("flagged") - F.col("share"))
     return (
-        direct.unionByName(fine)
-        .groupBy("feature")
+        candidates.groupBy("feature")
         .agg(F.min_by("t", F.struct(gap.alias("gap"), F.col("t").alias("t"))).alias("balanced"))
     )
 

@@ -98,7 +98,8 @@ def class_balance(df: DataFrame, label: Column) -> DataFrame:
 def class_weights(df: DataFrame, label: Column) -> DataFrame:
     """(label, weight) = rows / (2 x rows of the class); empty unless two classes."""
     counts = df.where(label.isNotNull()).groupBy(label.alias("label")).agg(F.count("*").alias("n"))
-    every = Window.partitionBy()  # one row per class
+    counts = counts.orderBy("label").limit(3)  # three labels tell that there are not two
+    every = Window.partitionBy()
     weighed = counts.select(
         "label",
         (F.sum("n").over(every) / (2.0 * F.col("n"))).alias("weight"),
@@ -188,11 +189,12 @@ def histogram(df: DataFrame, names: Sequence[str], bins: int = 1000, on_missing:
 
 def binary_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(column, is_binary): values are 0/1 up to six decimals, three at most."""
-    t = value_tally(df, names)
     x = F.col("x")
     near = (F.abs(x) <= 5e-7) | (F.abs(x - 1) <= 5e-7)
-    return t.groupBy(F.col("feature").alias("column")).agg(
-        (F.bool_and(near) & (F.count("x") <= 3)).alias("is_binary")
+    # All other values are one group, so few rows leave a task whatever the column holds.
+    values = long_scores(df, F.lit(1), names).groupBy("feature", F.when(near, x).alias("v")).count()
+    return values.groupBy(F.col("feature").alias("column")).agg(
+        (F.bool_and(F.col("v").isNotNull()) & (F.count("v") <= 3)).alias("is_binary")
     )
 
 

@@ -24,7 +24,8 @@ MAX_CLASSES = 1000
 
 
 def order_hash(id_column: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), id_column.cast("string")))
+    """The place of an id in the seeded order; rows without id share one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_column.cast("string"), F.lit(""))))
 
 
 def _keyed(df: DataFrame, id_column: str, by: str | None, seed: int) -> DataFrame:
@@ -39,7 +40,8 @@ def _keyed(df: DataFrame, id_column: str, by: str | None, seed: int) -> DataFram
 def seeded_positions(df: DataFrame, id_column: str, by: str | None = None, seed: int = 42, out: str = "pos") -> DataFrame:
     """Add the 1-based position of each row in the seeded order of its class.
 
-    For use where the position itself is wanted. The window works on one cell
+    For use where the position itself is wanted. Rows without id, or without
+    class, are kept: a missing class is one of its own. The window works on one cell
     of one class at a time; cell starts come from a running sum over counts.
     """
     group = quoted(by).cast("string") if by else F.lit("all")
@@ -47,16 +49,17 @@ def seeded_positions(df: DataFrame, id_column: str, by: str | None = None, seed:
     rows = df.select("*", group.alias("__grp"), h.alias("__h")).withColumn(
         "__cell", F.substring("__h", 1, CELL_DIGITS)
     )
-    counts = _keyed(df, id_column, by, seed).groupBy("grp", "cell").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("grp").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("__grp", "__cell").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("__grp").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        F.col("grp").alias("__grp"),
-        F.col("cell").alias("__cell"),
+        F.col("__grp").alias("__g"),
+        F.col("__cell").alias("__c"),
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"),
     )
     inside = Window.partitionBy("__grp", "__cell").orderBy("__h", quoted(id_column))
     ranked = rows.withColumn("__rank", F.row_number().over(inside))
-    return ranked.join(starts, ["__grp", "__cell"]).select(
+    same = F.col("__grp").eqNullSafe(F.col("__g")) & (F.col("__cell") == F.col("__c"))
+    return ranked.join(starts, same).select(
         *[quoted(c) for c in df.columns], (F.col("__start") + F.col("__rank")).alias(out)
     )
 
@@ -80,7 +83,9 @@ class Boundaries:
         for name, cuts in self.cuts.items():
             passed = F.lit(0)
             for cut_hash, cut_id in cuts:
-                after = (h > cut_hash) | ((h == cut_hash) & (row_id > F.lit(cut_id)))
+                # A missing id comes first among those of its hash.
+                later = row_id.isNotNull() if cut_id is None else F.coalesce(row_id > F.lit(cut_id), F.lit(False))
+                after = (h > cut_hash) | ((h == cut_hash) & later)
                 passed = passed + after.cast("int")
             chain = chain.when(group == name, passed)
         return hashed.withColumn(out, chain).drop("__h")

@@ -11,18 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import quoted, to_double
 from cohortscore.session import settle
 
-CELL_ROWS = 100_000  # distinct values one task should sort
-FIRST_CELLS = 64
-MAX_CELLS = 4096  # per feature; beyond that the cells grow and their sorts spill
-INF = float("inf")
-
 
 def long_scores(df: DataFrame, label: Column | str, features: Sequence[str]) -> DataFrame:
     """(y, feature, x): one row per value, missing values and labels left out."""
@@ -47,50 +41,40 @@ def value_tally(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return tally(df, F.lit(1), features)
 
 
-def _value_cells(t: DataFrame, cell_rows: int) -> DataFrame:
-    """Number the value ranges so that a (feature, cell) fits one task.
+def placed(t: DataFrame, cell_rows: int | None = None) -> DataFrame:
+    """The tally, stored in the order of feature and value, with the ``cell`` of each row.
 
-    Counts and approximate quantiles come from one aggregate with one small
-    row per feature; very long features get a second one with finer cuts. The
-    quantiles become plain numbers here, so every stage that uses the cells
-    sees the same bounds. How good they are affects the size of a cell only,
-    never the result.
+    Rows are range-partitioned over all features at once and a cell is the
+    partition a row is in, so cells hold about as many rows as each other, and
+    their number is that of the shuffle partitions, or follows from
+    ``cell_rows``. A feature meets a new cell only where its values or the
+    partition end: there are no more (feature, cell) pairs than cells and
+    features together.
     """
-    sizes = _cuts(t, FIRST_CELLS)
-    largest = max((r["rows"] for r in sizes), default=0)
-    if largest <= cell_rows:
-        return t.withColumn("cell", F.lit(0.0))
-    wanted = min(2 * math.ceil(largest / cell_rows), MAX_CELLS)
-    if wanted > FIRST_CELLS:
-        sizes = _cuts(t, wanted)
-    step = max(1, FIRST_CELLS // wanted)
-    bounds = sorted({c for row in sizes for c in row["cuts"][::step] if abs(c) < INF})
-    return Bucketizer(splits=[-INF, *bounds, INF], inputCol="x", outputCol="cell").transform(t)
-
-
-def _cuts(t: DataFrame, parts: int) -> list:
-    shares = [i / parts for i in range(1, parts)]
-    cuts = F.percentile_approx("x", shares, 25 * parts).alias("cuts")
-    return t.groupBy("feature").agg(F.count("x").alias("rows"), cuts).collect()
-
-
-def ordered_points(
-    t: DataFrame, *, bounded: bool = False, settled: bool = False, cell_rows: int = CELL_ROWS
-) -> DataFrame:
+    keys = ["feature", "x"]
+    if cell_rows is None:
+        ranged = t.repartitionByRange(*keys)
+    else:
+        t = settle(t)
+        ranged = t.repartitionByRange(max(1, math.ceil(t.count() / cell_rows)), *keys)
+    return settle(ranged.withColumn("cell", F.spark_partition_id()))
+
+
+def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int | None = None) -> DataFrame:
     """Running class counts from the highest value down.
 
     Adds to each tally row ``tp`` and ``fp``, the positives and negatives at or
     above ``x``, and the feature's totals. A global order cannot be summed in
-    one window task at scale, so values are cut into cells: a short running sum
-    over the cell totals gives each cell its start, and the rows of each cell
-    are summed where they are. ``bounded=True`` promises a tally that is small
-    by construction (flags, cutoff grids) and skips the sizing pass;
-    ``settled=True`` says that the tally is a stored table already.
+    one window task at scale, so the rows are placed in cells: a short running
+    sum over the cell totals gives each cell its start, and the rows of each
+    cell are summed where they are. ``bounded=True`` promises a tally that is
+    small by construction (flags, cutoff grids) and stays in one cell; a tally
+    that ``placed`` has stored already is used as it is.
     """
     if bounded:
-        t = t.withColumn("cell", F.lit(0.0))
-    else:
-        t = _value_cells(t if settled else settle(t), cell_rows)
+        t = t.withColumn("cell", F.lit(0))
+    elif "cell" not in t.columns:
+        t = placed(t, cell_rows)
     cells = t.groupBy("feature", "cell").agg(
         F.sum("pos").alias("cell_pos"),
         F.sum("neg").alias("cell_neg"),
@@ -123,7 +107,7 @@ def ordered_points(
         F.sum("pos").over(inside).alias("pos_here"),
         F.sum("neg").over(inside).alias("neg_here"),
     )
-    # ``starts`` holds one row per column and cell: columns x cells, a few thousand.
+    # ``starts`` has no more rows than there are cells and features together.
     return local.join(F.broadcast(starts), ["feature", "cell"]).select(
         "feature",
         "x",

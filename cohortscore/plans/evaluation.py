@@ -21,7 +21,7 @@ from cohortscore.operators.metrics import (
 )
 from cohortscore.operators.profile import detect_label, histogram, resolve_score
 from cohortscore.operators.sweep import flag_tally, sweep_tally, threshold_sweep
-from cohortscore.operators.tally import ordered_points, tally
+from cohortscore.operators.tally import ordered_points, placed, tally
 from cohortscore.session import settle
 
 # Cutoffs of the point report and of the cutoff search.
@@ -67,8 +67,8 @@ def evaluate(
         ensemble_mean(quoted(xgb), quoted(nn)).alias("ensemble_avg"),
     )
     models = ["xgb", "nn", "ensemble_avg"]
-    counts = settle(tally(scored, F.col("__y"), models))
-    ordered = ordered_points(counts, settled=True)
+    counts = placed(tally(scored, F.col("__y"), models))
+    ordered = ordered_points(counts)
     sweep = sweep_tally(counts, models, sorted({*thresholds, confusion_at}))
     points = point_metrics(sweep.where(F.col("threshold").isin(list(thresholds))))
     return Evaluation(
@@ -94,11 +94,11 @@ def export_metrics(
     """
     grid = flag_thresholds(start, end, step)
     y = binary_label(df, label)
-    counts = settle(tally(df, y, scores))
+    counts = placed(tally(df, y, scores))
     flags = sweep_tally(counts, scores, grid)
     percent = F.round(F.col("threshold") * 100).cast("int")
     name = F.format_string(FLAG_FORMAT, F.col("model"), percent)
-    points = ordered_points(counts, settled=True).unionByName(ordered_points(flag_tally(flags, name), bounded=True))
+    points = ordered_points(counts).unionByName(ordered_points(flag_tally(flags, name), bounded=True))
     patients = df.count()
     table = tally_metrics(points, strategy)
     per_row = F.lit(len(scores) * (len(grid) + 1)) if savings_per_table_row else None
@@ -161,8 +161,7 @@ def cutoff_table(
 ) -> DataFrame:
     """Every cutoff of every score, and both baselines; ``scores``: column to name.
 
-    One pass over the table. The baselines follow from the class totals, which
-    any cutoff's counts add up to.
+    The baselines count every labelled row, also those without a score.
     """
     grid = list(grid or symmetric_thresholds(*SEARCH_GRID))
     y = quoted(label) if isinstance(label, str) else label
@@ -171,11 +170,7 @@ def cutoff_table(
         F.col("__y"), list(scores.values()), grid,
     )
     swept = settle(swept)  # models x cutoffs rows
-    totals = (
-        swept.where(F.col("threshold") == max(grid))
-        .select((F.col("tp") + F.col("fn")).alias("pos"), (F.col("tn") + F.col("fp")).alias("neg"))
-        .agg(F.max("pos").alias("pos"), F.max("neg").alias("neg"))
-    )
+    totals = df.agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     flat = baselines(totals).withColumn(
         "threshold", F.when(F.col("model") == "all_prediction", F.lit(1.0)).otherwise(F.lit(0.0))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,36 +87,47 @@ def read_table_any(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format(ending if ending in ("json", "orc") else "parquet").load(path)
 
 
+def _headers(spark: SparkSession, folder: str, pattern: str) -> dict[str, str]:
+    """The first line that is not blank of each file, by file name; one scan for all files."""
+    lines = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True).text(folder)
+    starts = lines.select(
+        "value",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    ).where((F.col("block") == 0) & (F.trim("value") != ""))
+    found = starts.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect()
+    return {r["file"]: r["header"] for r in found}
+
+
 def read_many(spark: SparkSession, folder: str, same_header: bool = False) -> DataFrame:
     """All ``*.csv`` files of a folder as one table of text columns.
 
-    Files are read together per distinct header and the groups united by
-    column name. ``same_header=True`` skips looking at the headers. Files
-    without a header line are left out with a warning.
+    The header lines of all files come from one scan; files are read together
+    per distinct header and the groups united by column name.
+    ``same_header=True`` skips looking at the headers. Files that cannot be
+    read, or have no header line, are left out with a warning; a file that
+    breaks off later stops the job.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    pattern = "*.csv"
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     paths = sorted(r["path"] for r in listing.select("path").collect())
     if not paths:
         raise FileNotFoundError(f"no CSV files in {folder}")
     if same_header:
-        return (
-            spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-            .option("ignoreCorruptFiles", True).csv(folder)
-        )
-    groups: dict[tuple[str, ...], list[str]] = {}
+        return spark.read.option("header", True).option("pathGlobFilter", pattern).csv(folder)
+    headers = _headers(spark, folder, pattern)
+    groups: dict[str, list[str]] = {}
     for path in paths:
-        first = spark.read.text(path).limit(1).collect()
-        header = tuple(spark.read.option("header", True).csv(path).columns) if first else ()
-        if header:
-            groups.setdefault(header, []).append(path)
-        else:
+        name = path.rsplit("/", 1)[-1]
+        header = headers.get(name, headers.get(quote(name)))
+        if header is None:
             log.warning("skipping unreadable file %s", path)
+        else:
+            groups.setdefault(header, []).append(path)
     if not groups:
         raise FileNotFoundError(f"no readable CSV files in {folder}")
-    tables = [
-        spark.read.option("header", True).option("ignoreCorruptFiles", True).csv(files)
-        for files in groups.values()
-    ]
+    tables = [spark.read.option("header", True).csv(files) for files in groups.values()]
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table, allowMissingColumns=True)

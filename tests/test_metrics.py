@@ -127,7 +127,7 @@ def test_balanced_over_quantiles_both_ways(spark):
         rate = np.array([(scores >= t).mean() for t in grid])
         gaps = np.round(np.abs(rate - y.mean()), 12)
         want = grid[int(np.argmin(gaps))]
-        got = balanced_cutoffs(points, flipped).first()["balanced"]
+        got = balanced_cutoffs(points, flipped, quantiles=1000).first()["balanced"]
         assert got == pytest.approx(want, abs=2e-3)
         assert abs((scores >= got).mean() - y.mean()) <= gaps.min() + 1e-3
 
@@ -231,3 +231,30 @@ def test_one_class_gives_null_areas(spark):
         assert row["roc_auc"] is None and row["pr_auc"] is None and row["brier"] is not None
         assert optimal_cutoffs(points).collect() == []
         assert all(r["fpr"] is None or r["tpr"] is None or r["threshold"] == math.inf for r in roc_curve(points).collect())
+
+
+def test_cells_are_no_more_than_partitions_and_columns(spark):
+    from cohortscore.operators.tally import placed
+
+    names = [f"c{k}" for k in range(50)]
+    df = spark.range(300).select((F.col("id") % 2).cast("int").alias("y"), *[(F.col("id") * (k + 1) % 97).cast("double").alias(c) for k, c in enumerate(names)])
+    stored = placed(tally(df, "y", names), cell_rows=200)
+    pairs, cells = stored.select("feature", "cell").distinct().count(), stored.select("cell").distinct().count()
+    assert cells > 5 and pairs <= cells + len(names)
+
+
+def test_balanced_is_exact_above_any_number_of_values(spark):
+    rows, df = sample(spark, 3000, 10**6, 8)
+    y, s = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    cuts, tp, fp = brute_curve(y, s)
+    gap = np.abs((tp + fp) / len(y) - y.mean())[::-1]
+    assert balanced_cutoffs(ordered_points(tally(df, "y", ["a"]))).first()["balanced"] == cuts[::-1][np.argmin(gap)]
+
+
+def test_baselines_count_patients_without_a_score(spark):
+    from cohortscore.plans.evaluation import cutoff_table
+
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (0, None)], "y int, p double")
+    table = cutoff_table(df, "y", {"p": "p"}, [0.4, 0.5])
+    everyone = table.where("Type_of_assessment = 'all_prediction'").first()
+    assert list(everyone.asDict().values()).count(2) == 2  # true and false positives

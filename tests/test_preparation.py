@@ -214,3 +214,43 @@ def test_stream_scores_like_batch(spark):
     assert spark.read.parquet(f"{out}/s").count() == 300
     both = score_models(rows, {"linear": scorer, "nn": None})
     assert both.where("nn_prob IS NOT NULL").count() == 0 and both.where("linear_prob IS NULL").count() == 0
+
+
+def test_missing_ids_and_classes_are_kept(spark):
+    df = labelled(spark, 200).select(
+        F.when(F.col("id") % 50 != 0, F.col("id")).alias("id"), F.when(F.col("id") % 40 != 1, F.col("y")).alias("y")
+    )
+    positions = seeded_positions(df, "id", "y")
+    assert positions.count() == 200
+    for y, n in df.groupBy("y").count().collect():
+        mine = positions.where(F.col("y").eqNullSafe(F.lit(y)))
+        assert sorted(r["pos"] for r in mine.collect()) == list(range(1, n + 1))
+    known = df.where("y IS NOT NULL").count()
+    folds = stratified_folds(df, "id", "y")
+    assert folds.count() == known and folds.where("fold IS NULL").count() == 0
+    sizes = [r["count"] for r in folds.groupBy("fold").count().collect()]
+    assert max(sizes) - min(sizes) <= 4  # the four rows without id stay together
+    assert k_folds(df, "id", 4).where("fold IS NULL").count() == 0
+    train = split_by_share(df, "id", 0.8).where("split = 'train'").count()
+    assert abs(train - 160) <= 4
+
+
+def test_read_many_takes_few_jobs(spark, tmp_path):
+    for k in range(500):
+        (tmp_path / f"part {k:03d}.csv").write_text(f"x,{'y' if k % 2 else 'z'}\n{k},{k}\n")
+    spark.sparkContext.setJobGroup("many", "read_many")
+    table = read_many(spark, str(tmp_path))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("many")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 10 and table.columns[0] == "x" and table.count() == 500
+
+
+def test_missing_responses_keep_a_row(spark):
+    from cohortscore.functions.responses import parse_responses, require_complete
+
+    raw = [(1, 1, '{"predictions": []}'), (2, 2, ""), (3, 1, None), (4, 1, "0.5"), (5, 0, "")]
+    parsed = parse_responses(spark.createDataFrame(raw, "batch_id int, n_rows int, raw string"))
+    assert sorted((r["batch_id"], r["complete"]) for r in parsed.collect()) == [(1, False), (2, False), (3, False), (4, True), (5, True)]
+    with pytest.raises(ValueError):
+        require_complete(parsed)
+    assert require_complete(parsed.where("batch_id > 3")).count() == 1
