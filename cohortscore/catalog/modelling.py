@@ -1,11 +1,17 @@
-"""Queries that fit, tune and apply models; their rows are checked, not their values."""
+"""Queries that fit, tune and apply models.
+
+Learners have no counterpart in SQL, so checks hold what does not depend on
+them: which rows are scored and that scores are probabilities, counts per
+split, closed forms, and the shape of rankings and searches.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortscore.catalog.inputs import encounters, with_encounters
-from cohortscore.catalog.preparing import CLEAN
+from cohortscore.catalog.preparing import CLEAN, STRATIFIED
 from cohortscore.catalog.registry import query, rounded
 from cohortscore.operators.metrics import validation_metrics
 from cohortscore.operators.models import (
@@ -39,6 +45,50 @@ SEARCHES = {
 }
 
 
+# The encounters under the names that the SQL of the stratified split uses.
+HOLDOUT = CLEAN + ", scored AS (SELECT encounter_id AS id, readmitted FROM cleaned)" + STRATIFIED + """
+, tagged AS (SELECT id AS encounter_id, readmitted, CASE WHEN r <= q THEN 'test' ELSE 'train' END AS split
+  FROM ranked JOIN full_quota ON g = readmitted)
+"""
+HELD_SCORES = HOLDOUT + "SELECT encounter_id, readmitted, true AS is_probability FROM tagged WHERE split = 'test'"
+
+
+def judged(df, *scores):
+    """Id, label, and whether all scores are probabilities."""
+    good = F.lit(True)
+    for c in scores:
+        good = good & F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False))
+    return df.select(ID, LABEL, good.alias("is_probability"))
+
+
+def ranked_well(df, gain):
+    """One row: features, positions that are 1..n, gains that never rise and are not negative."""
+    before = F.lag(gain).over(Window.partitionBy().orderBy("position"))  # one row per feature
+    steps = df.select("position", gain, (F.coalesce(before, F.col(gain)) >= F.col(gain)).alias("falls"))
+    return steps.agg(
+        F.count("*").alias("features"),
+        (F.countDistinct("position") == F.max("position")).alias("positions"),
+        F.bool_and(F.col("falls") & (F.col(gain) >= 0)).alias("falling"),
+    )
+
+
+RANKED = f"SELECT {len(FEATURES)}::BIGINT AS features, true AS positions, true AS falling"
+
+
+def searched(results, jobs):
+    """One row: jobs, objectives in 0..1, whether the best settings are those of the largest objective."""
+    best = best_jobs(results).select(F.max("objective").alias("o")).first()["o"]
+    return results.agg(
+        F.count("*").alias("jobs"),
+        F.bool_and(F.col("objective").between(0.0, 1.0)).alias("areas"),
+        (F.max("objective") == F.lit(best)).alias("best_is_largest"),
+    )
+
+
+def searches(jobs):
+    return f"SELECT {jobs}::BIGINT AS jobs, true AS areas, true AS best_is_largest"
+
+
 def engineered(spark, d):
     return engineer(encounters(spark, d), [ID])[0]
 
@@ -52,15 +102,16 @@ def holdout(spark, d):
     return tagged.where("split = 'train'").drop("split"), tagged.where("split = 'test'").drop("split")
 
 
-@query("M1_gain_importance")
+@query("M1_gain_importance", RANKED)
 def _(spark, d):
-    return rank_features(boosted_importance(frame(spark, d), FEATURES, LABEL, FEW_TREES).withColumnRenamed("gain", "gain_cv"))
+    gains = boosted_importance(frame(spark, d), FEATURES, LABEL, FEW_TREES).withColumnRenamed("gain", "gain_cv")
+    return ranked_well(rank_features(gains), "gain_cv")
 
 
-@query("M2_gain_importance_cv")
+@query("M2_gain_importance_cv", RANKED)
 def _(spark, d):
     per_fold = boosted_importance_cv(frame(spark, d), FEATURES, LABEL, ID, 5, FEW_TREES)
-    return rank_features(average_importances(per_fold))
+    return ranked_well(rank_features(average_importances(per_fold)), "gain_cv")
 
 
 @query("M4_forest_importance")
@@ -96,23 +147,25 @@ def _(spark, d):
     return spark.createDataFrame(pca_scores(frame(spark, d), FEATURES, scaled=True), "feature string, importance_value double")
 
 
-@query("M8_weighted_trees")
+@query("M8_weighted_trees", with_encounters(HELD_SCORES))
 def _(spark, d):
-    tagged = stratified_split(frame(spark, d), ID, LABEL).withColumn("held", F.col("split") == "test").drop("split")
-    scorer = fit_boosted(tagged, FEATURES, LABEL, {"maxIter": 10, "maxDepth": 3}, validation="held")
-    return scorer.score(tagged.where("held"), "xgb_prob").select(ID, LABEL, "xgb_prob")
+    train, test = holdout(spark, d)
+    # Rows that decide when to stop come from the training part.
+    stopping = stratified_split(train, ID, LABEL, seed=43).withColumn("held", F.col("split") == "test").drop("split")
+    scorer = fit_boosted(stopping, FEATURES, LABEL, {"maxIter": 10, "maxDepth": 3}, validation="held")
+    return judged(scorer.score(test, "xgb_prob"), "xgb_prob")
 
 
-@query("M9_tune_trees")
+@query("M9_tune_trees", searches(3))
 def _(spark, d):
-    return tune_boosted(frame(spark, d), FEATURES, LABEL, ID, TREE_RANGES, jobs=3, folds=3)
+    return searched(tune_boosted(frame(spark, d), FEATURES, LABEL, ID, TREE_RANGES, jobs=3, folds=3), 3)
 
 
-@query("M10_network")
+@query("M10_network", with_encounters(HELD_SCORES))
 def _(spark, d):
     train, test = holdout(spark, d)
     scorer = fit_network(train, FEATURES, LABEL, ID, 8, 2, params={"maxIter": 20})
-    return scorer.score(test, "nn_prob").select(ID, LABEL, "nn_prob")
+    return judged(scorer.score(test, "nn_prob"), "nn_prob")
 
 
 @query("M10_repeat_positives", with_encounters(CLEAN + """
@@ -128,38 +181,46 @@ def _(spark, d):
     return rounded(class_balance(repeat_positives(rows, LABEL, ID, weight), F.col(LABEL)))
 
 
-@query("M11_tune_network")
+@query("M11_tune_network", searches(2))
 def _(spark, d):
-    return tune_network(frame(spark, d), FEATURES, LABEL, ID, NETWORK_RANGES, jobs=2, folds=3, max_iter=10)
+    return searched(tune_network(frame(spark, d), FEATURES, LABEL, ID, NETWORK_RANGES, jobs=2, folds=3, max_iter=10), 2)
 
 
-@query("M12_tune_linear")
+@query("M12_tune_linear", searches(3))
 def _(spark, d):
-    return tune_linear(frame(spark, d), FEATURES, LABEL, ID, LINEAR_RANGES, jobs=3, folds=3)
+    return searched(tune_linear(frame(spark, d), FEATURES, LABEL, ID, LINEAR_RANGES, jobs=3, folds=3), 3)
 
 
-@query("M13_refit_best")
+@query("M13_refit_best", with_encounters(HELD_SCORES))
 def _(spark, d):
     train, test = holdout(spark, d)
     results = tune_linear(train, FEATURES, LABEL, ID, LINEAR_RANGES, jobs=3, folds=3)
     best = best_jobs(results)
     scorer = fit_linear(train, FEATURES, LABEL, best_settings(best))
-    return scorer.score(test, "linear_prob").select(ID, LABEL, "linear_prob")
+    return judged(scorer.score(test, "linear_prob"), "linear_prob")
 
 
-@query("M14_batch_score")
+@query("M14_batch_score", with_encounters(HELD_SCORES))
 def _(spark, d):
     train, test = holdout(spark, d)
     scorer = fit_boosted(train, FEATURES, LABEL, FEW_TREES)
-    return scorer.score(test.drop("change")).select(ID, "predicted_proba")
+    return judged(scorer.score(test.drop("change")), "predicted_proba")
 
 
-@query("M15_run_modes")
+@query("M15_run_modes", with_encounters(HOLDOUT + """
+SELECT mode, encounter_id, mode <> 'nn' AS xgb, mode <> 'xgb' AS nn FROM tagged, (VALUES ('both'), ('xgb'), ('nn')) m(mode) WHERE split = 'test'"""))
 def _(spark, d):
     train, test = holdout(spark, d)
-    scorers = {"xgb": fit_boosted(train, FEATURES, LABEL, FEW_TREES), "nn": None}
-    both = score_models(test, scorers).select(F.lit("both").alias("mode"), ID, "xgb_prob", "nn_prob")
-    return both.unionByName(score_models(test, scorers, "nn").select(F.lit("nn").alias("mode"), ID, "xgb_prob", "nn_prob"))
+    scorers = {
+        "xgb": fit_boosted(train, FEATURES, LABEL, FEW_TREES),
+        "nn": fit_network(train, FEATURES, LABEL, ID, 4, 1, params={"maxIter": 10}),
+    }
+
+    def run(mode):
+        given = [F.coalesce(F.col(f"{m}_prob").between(0.0, 1.0), F.lit(False)).alias(m) for m in scorers]
+        return score_models(test, scorers, mode).select(F.lit(mode).alias("mode"), ID, *given)
+
+    return run("both").unionByName(run("xgb")).unionByName(run("nn"))
 
 
 @query("S18_artifacts")
@@ -184,18 +245,19 @@ def _(spark, d):
     )
 
 
-@query("L3_full_train")
+@query("L3_full_train", with_encounters(HELD_SCORES))
 def _(spark, d):
     train, test = holdout(spark, d)
     scorers = full_train(train, FEATURES, LABEL, ID, searches=SEARCHES)
-    return score_models(test, scorers).select(ID, LABEL, "xgb_prob", "nn_prob")
+    return judged(score_models(test, scorers), "xgb_prob", "nn_prob")
 
 
-@query("L3_network_only")
+@query("L3_network_only", with_encounters(HELD_SCORES))
 def _(spark, d):
     train, test = holdout(spark, d)
     scorers = full_train(train, FEATURES, LABEL, ID, models=["nn"], searches=SEARCHES)
-    return score_models(test, scorers).select(ID, LABEL, "xgb_prob", "nn_prob")
+    alone = score_models(test, scorers).where("xgb_prob IS NULL")
+    return judged(alone, "nn_prob")
 
 
 @query("L4_score_holdout")
@@ -222,13 +284,17 @@ def _(spark, d):
     )
 
 
-@query("L10_smoke_scores")
+@query("L10_smoke_scores", with_encounters(CLEAN + "SELECT count(*) AS n, true AS probabilities, 1::BIGINT AS different FROM cleaned"))
 def _(spark, d):
     rows = frame(spark, d)
-    return smoke_scores(fit_linear(rows, FEATURES, LABEL), rows)
+    scores = smoke_scores(fit_linear(rows, FEATURES, LABEL), rows)
+    p = F.col("predicted_proba")
+    return scores.agg(
+        F.count("*").alias("n"), F.bool_and(p.between(0.0, 1.0)).alias("probabilities"), F.countDistinct(p).alias("different")
+    )
 
 
-@query("R1_score_stream")
+@query("R1_score_stream", with_encounters(HOLDOUT + "SELECT encounter_id, readmitted, true AS equals_batch FROM tagged WHERE split = 'test'"))
 def _(spark, d):
     train, test = holdout(spark, d)
     scorer = fit_boosted(train, FEATURES, LABEL, FEW_TREES)
@@ -237,4 +303,6 @@ def _(spark, d):
     out = run_folder(spark, "stream")
     stream = score_stream(arriving(spark, arrivals, test.schema), scorer, "xgb_prob")
     write_scores(stream, f"{out}/scores", f"{out}/progress").awaitTermination()
-    return spark.read.parquet(f"{out}/scores").select(ID, LABEL, "xgb_prob")
+    batch = scorer.score(test, "batch_prob").select(F.col(ID).alias("id"), "batch_prob")
+    both = spark.read.parquet(f"{out}/scores").join(batch, F.col(ID) == F.col("id"), "left")
+    return both.select(ID, LABEL, (F.col("xgb_prob") == F.col("batch_prob")).alias("equals_batch"))

@@ -6,6 +6,7 @@ import json
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -13,16 +14,16 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import finite_or_zero, quoted, to_double
+from cohortscore.operators.metrics import ranking_metrics
 from cohortscore.operators.profile import class_balance
-from cohortscore.operators.scale import Scaler, fit_scaler
+from cohortscore.operators.scale import MeanFill, Scaler, fit_mean_fill, fit_scaler
 from cohortscore.operators.split import order_hash, stratified_folds
+from cohortscore.operators.tally import ordered_points, tally
 from cohortscore.session import settle
 
 # Default boosted-tree settings of the feature ranking.
@@ -46,14 +47,21 @@ LINEAR_SPACE = {
 }
 
 
-def feature_vector(df: DataFrame, features: Sequence[str], scaler: Scaler | None = None) -> Column:
-    """Features in list order as one vector; absent, missing and non-finite are 0."""
+def feature_vector(
+    df: DataFrame, features: Sequence[str], scaler: Scaler | None = None, fill: MeanFill | None = None
+) -> Column:
+    """Features in list order as one vector.
+
+    Absent and non-finite values are 0, missing ones the mean of ``fill``, or 0.
+    """
+    means = dict(zip(fill.columns, fill.means)) if fill else {}
     values = []
     for i, c in enumerate(features):
         if c not in df.columns:
             values.append(F.lit(0.0))
             continue
-        v = F.coalesce(finite_or_zero(to_double(df, c)), F.lit(0.0))
+        x = to_double(df, c)
+        v = F.when(x.isNull(), F.lit(means.get(c, 0.0))).otherwise(F.coalesce(finite_or_zero(x), F.lit(0.0)))
         if scaler is not None and scaler.kind != "none":
             v = (v - scaler.shift[i]) / (scaler.scale[i] or 1.0)
         values.append(v)
@@ -61,14 +69,15 @@ def feature_vector(df: DataFrame, features: Sequence[str], scaler: Scaler | None
 
 
 def training_frame(
-    df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = (), scaler: Scaler | None = None
+    df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = (), scaler: Scaler | None = None,
+    fill: MeanFill | None = None,
 ) -> DataFrame:
     """(label, features, weight, kept columns); positives weigh neg / pos."""
     y = to_double(df, label)
     weight = class_balance(df, y).first()["scale_pos_weight"]
     return df.where(y.isNotNull()).select(
         y.alias("label"),
-        feature_vector(df, features, scaler).alias("features"),
+        feature_vector(df, features, scaler, fill).alias("features"),
         F.when(y == 1, F.lit(float(weight))).otherwise(1.0).alias("weight"),
         *[quoted(c) for c in keep],
     )
@@ -83,14 +92,21 @@ class Scorer:
     model: object
     scaler: Scaler | None = None
     params: dict = field(default_factory=dict)
+    fill: MeanFill | None = None
 
     def score(self, df: DataFrame, out: str = "predicted_proba") -> DataFrame:
         """Add the probability of the positive class; rows keep their columns."""
-        ready = df.withColumn("features", feature_vector(df, self.features, self.scaler))
-        scored = self.model.transform(ready)
-        return scored.select(
-            *[quoted(c) for c in df.columns], vector_to_array("probability")[1].alias(out)
-        )
+        ready = df.withColumn("__features", feature_vector(df, self.features, self.scaler, self.fill))
+        scored = _positive(self.model, ready, "__features", "__positive")
+        kept = [quoted(c) for c in df.columns if c != out]
+        return scored.select(*kept, F.col("__positive").alias(out))
+
+
+def _positive(model, df: DataFrame, features: str, out: str) -> DataFrame:
+    """Add the probability of the positive class as ``out``, and no other column."""
+    own = model.copy()
+    own.setFeaturesCol(features).setPredictionCol("").setRawPredictionCol("").setProbabilityCol("__probability")
+    return own.transform(df).withColumn(out, vector_to_array("__probability")[1]).drop("__probability")
 
 
 def score_models(df: DataFrame, scorers: Mapping[str, Scorer | None], mode: str = "both") -> DataFrame:
@@ -160,18 +176,22 @@ def fit_network(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, hidden: int = 128, depth: int = 2,
     scaler: str = "standard", balance: bool = True, params: Mapping | None = None, seed: int = 42, name: str = "nn",
 ) -> Scorer:
-    """Multilayer perceptron on scaled features, classes balanced by repetition."""
-    fitted = fit_scaler(df, features, scaler)
+    """Multilayer perceptron on scaled features, classes balanced by repetition.
+
+    Missing values take the mean of the training rows.
+    """
+    fill = fit_mean_fill(df, features)
+    fitted = fit_scaler(fill.transform(df), features, scaler)
     if balance:
         weight = class_balance(df, to_double(df, label)).first()["scale_pos_weight"]
         df = repeat_positives(df, label, id_column, max(1.0, weight), seed)
-    train = training_frame(df, features, label, scaler=fitted)
+    train = training_frame(df, features, label, scaler=fitted, fill=fill)
     layers = [len(features), *[hidden] * depth, 2]
     network = MultilayerPerceptronClassifier(
         labelCol="label", featuresCol="features", layers=layers, seed=seed, **dict(params or {})
     )
     described = {"hidden": hidden, "depth": depth, "scaler": scaler, **dict(params or {})}
-    return Scorer(name, list(features), network.fit(train), fitted, described)
+    return Scorer(name, list(features), network.fit(train), fitted, described, fill)
 
 
 # ---- importances -----------------------------------------------------------
@@ -247,16 +267,39 @@ def _param_maps(estimator, settings: Sequence[Mapping]) -> list[dict]:
     return maps
 
 
-def _cross_validate(estimator, frame: DataFrame, settings: Sequence[Mapping], maps, parallelism: int) -> list[dict]:
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, foldCol="fold",
-        numFolds=frame.select(F.max("fold")).first()[0] + 1, parallelism=parallelism,
-    )
-    fitted = search.fit(frame)
+def _cross_validate(
+    estimator, folded: DataFrame, features: Sequence[str], label: str, id_column: str, settings: Sequence[Mapping],
+    maps, parallelism: int, network: bool = False,
+) -> list[dict]:
+    """Fold-averaged precision-recall area of each setting, exact from a tally.
+
+    Means, scaling and class balance are learned on each fold's training rows.
+    All settings of a fold are judged in one pass; nothing is fitted but what
+    is judged. A fold with one class counts for no setting.
+    """
+    areas: list[list[float]] = [[] for _ in settings]
+    names = [f"p{i}" for i in range(len(settings))]
+    for k in range(folded.select(F.max("fold")).first()[0] + 1):
+        train, held = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
+        fill = scaler = None
+        if network:
+            fill = fit_mean_fill(train, features)
+            scaler = fit_scaler(fill.transform(train), features)
+            weight = class_balance(train, to_double(train, label)).first()["scale_pos_weight"]
+            train = repeat_positives(train, label, id_column, max(1.0, weight))
+        frame = settle(training_frame(train, features, label, scaler=scaler, fill=fill))
+        with ThreadPool(parallelism) as pool:
+            models = pool.map(lambda chosen: estimator.fit(frame, chosen), maps)  # noqa: B023
+        scored = training_frame(held, features, label, scaler=scaler, fill=fill)
+        for name, model in zip(names, models):
+            scored = _positive(model, scored, "features", name)
+        found = ranking_metrics(ordered_points(tally(scored, "label", names))).collect()
+        for row in found:
+            if row["pr_auc"] is not None:
+                areas[names.index(row["feature"])].append(row["pr_auc"])
     return [
-        {"job_name": f"job-{i:03d}", "objective": float(m), "params": {k: str(v) for k, v in one.items()}}
-        for i, (m, one) in enumerate(zip(fitted.avgMetrics, settings))
+        {"job_name": f"job-{i:03d}", "objective": sum(a) / len(a) if a else None, "params": {k: str(v) for k, v in one.items()}}
+        for i, (a, one) in enumerate(zip(areas, settings))
     ]
 
 
@@ -269,12 +312,13 @@ def tune_boosted(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, space: Mapping = TREE_SPACE,
     jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42,
 ) -> DataFrame:
-    """(job_name, objective, params): fold-averaged area of each drawn setting."""
-    folded = stratified_folds(df, id_column, label, folds, seed)
-    frame = settle(training_frame(folded, features, label, ["fold"]))
+    """(job_name, objective, params): fold-averaged precision-recall area of each drawn setting."""
+    folded = settle(stratified_folds(df, id_column, label, folds, seed))
     settings = random_settings(space, jobs, seed)
     trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", seed=seed)
-    results = _cross_validate(trees, frame, settings, _param_maps(trees, settings), parallelism)
+    results = _cross_validate(
+        trees, folded, features, label, id_column, settings, _param_maps(trees, settings), parallelism
+    )
     return results_frame(df.sparkSession, results)
 
 
@@ -282,11 +326,12 @@ def tune_linear(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, space: Mapping = LINEAR_SPACE,
     jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42,
 ) -> DataFrame:
-    folded = stratified_folds(df, id_column, label, folds, seed)
-    frame = settle(training_frame(folded, features, label, ["fold"]))
+    folded = settle(stratified_folds(df, id_column, label, folds, seed))
     settings = random_settings(space, jobs, seed)
     linear = LogisticRegression(labelCol="label", featuresCol="features", weightCol="weight", maxIter=15)
-    results = _cross_validate(linear, frame, settings, _param_maps(linear, settings), parallelism)
+    results = _cross_validate(
+        linear, folded, features, label, id_column, settings, _param_maps(linear, settings), parallelism
+    )
     return results_frame(df.sparkSession, results)
 
 
@@ -294,8 +339,7 @@ def tune_network(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, space: Mapping = NETWORK_SPACE,
     jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42, max_iter: int = 100,
 ) -> DataFrame:
-    folded = stratified_folds(df, id_column, label, folds, seed)
-    frame = settle(training_frame(folded, features, label, ["fold"], scaler=fit_scaler(df, features)))
+    folded = settle(stratified_folds(df, id_column, label, folds, seed))
     settings = random_settings(space, jobs, seed)
     network = MultilayerPerceptronClassifier(
         labelCol="label", featuresCol="features", layers=[len(features), 2], seed=seed,
@@ -307,7 +351,9 @@ def tune_network(
         chosen = {network.layers: layers, network.blockSize: int(one["blockSize"])}
         chosen[network.stepSize] = float(one["stepSize"])
         maps.append(chosen)
-    results = _cross_validate(network, frame, settings, maps, parallelism)
+    results = _cross_validate(
+        network, folded, features, label, id_column, settings, maps, parallelism, network=True
+    )
     return results_frame(df.sparkSession, results)
 
 
@@ -328,6 +374,7 @@ def best_settings(results: DataFrame) -> dict:
 
 def describe_fit(scorer: Scorer, metrics: Mapping[str, float], weights: Mapping | None = None) -> str:
     """The training artifacts of a fit as JSON text."""
+    # The names of the artifacts' fields.
     scaling = {"type": "none"} if scorer.scaler is None else json.loads(scorer.scaler.to_json())
     return json.dumps(
         {
@@ -335,6 +382,7 @@ def describe_fit(scorer: Scorer, metrics: Mapping[str, float], weights: Mapping
             "validation_aucpr": metrics.get("validation_aucpr"),
             "feature_names": scorer.features,
             "normalization": scaling,
+            "imputation": {"columns": scorer.fill.columns, "means": scorer.fill.means} if scorer.fill else None,
             "class_weight": {str(k): float(v) for k, v in (weights or {}).items()},
             "hyperparams": {k: str(v) for k, v in scorer.params.items()},
         }
