@@ -23,6 +23,7 @@ from cohortscore.operators.profile import (
 from cohortscore.operators.sweep import threshold_sweep
 from cohortscore.operators.tally import ordered_points, tally
 from cohortscore.plans.evaluation import (
+    export_metrics,
     assess_cutoffs, best_cases, best_rows, best_saving, cutoff_table, evaluate, export, first_best,
 )
 
@@ -705,6 +706,15 @@ def _(spark, d):
     return export_table(spark, d)
 
 
+@query("L7_export_metrics_per_table_row", with_scored(EXPORT_LONG + vs_sql(PICK_YOUDEN) + f"""
+, long_ends AS (SELECT count(*)::DOUBLE AS n_rows FROM full_table)
+SELECT full_table.*, {cost_sql(other="n_rows")} FROM full_table, long_ends"""))
+def _(spark, d):
+    base = with_mean(scored(spark, d))
+    out = export_metrics(base, "readmitted", THREE, savings_per_table_row=True)
+    return rounded(out.withColumn("log_loss", F.round("log_loss", 5)))
+
+
 @query("L7_export_confusion", with_scored(EXPORT + """
 SELECT feature, tn, fp, fn, tp, round(tn::DOUBLE / n, 6) AS tn_share, round(fp::DOUBLE / n, 6) AS fp_share,
   round(fn::DOUBLE / n, 6) AS fn_share, round(tp::DOUBLE / n, 6) AS tp_share

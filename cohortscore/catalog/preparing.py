@@ -21,6 +21,7 @@ from cohortscore.functions.recode import (
 )
 from cohortscore.functions.responses import log_metrics, parse_responses, scores_from_json
 from cohortscore.operators.columns import (
+    missing_columns,
     align_to_schema, apply_selected_features, attach_scores, by_tag, complete_rows, conform_columns, drop_columns,
     keep_unless, lookup, move_to_front, non_finite_count, prepare_frame, range_lookup, rename_columns, schema_diff,
     select_numeric, select_ranked,
@@ -40,7 +41,7 @@ from cohortscore.operators.split import (
 from cohortscore.operators.sweep import threshold_sweep
 from cohortscore.plans.engineering import DUMMY_COLUMNS, clean_encounters, engineer, fit_encoder
 from cohortscore.plans.evaluation import evaluate
-from cohortscore.session import run_folder
+from cohortscore.session import run_folder, settle
 from cohortscore.sources.features import (
     feature_list, follow_pointers, headerless_list, latest_list, list_difference, membership, resolve_list,
     text_list, write_feature_list,
@@ -1120,6 +1121,20 @@ def _(spark, d):
     return clean_encounters(enc(spark, d), ["encounter_id"])
 
 
+@query("L1_clean_encounters_by_script", with_encounters(CLEAN + """
+SELECT c.* REPLACE (CASE e.admission_type_id WHEN 6 THEN 5 WHEN 8 THEN 6 ELSE e.admission_type_id END AS admission_type_id)
+FROM cleaned c JOIN encounters e USING (encounter_id)"""))
+def _(spark, d):
+    return clean_encounters(enc(spark, d), ["encounter_id"], simultaneous=True)
+
+
+@query("P16_missing_columns", "SELECT unnest(['o_total', 'weight']) AS missing, count(*) AS n FROM orders GROUP BY 1")
+def _(spark, d):
+    orders = table(spark, d, "orders")
+    names = missing_columns(orders, ["o_orderkey", "o_total", "o_totalprice", "weight"])
+    return orders.groupBy().count().select(F.explode(F.array(*[F.lit(c) for c in names])).alias("missing"), F.col("count").alias("n"))
+
+
 @query("L1_data_engineering", with_encounters(CLEAN + LONG3 + HOT8 + f"""
 , every AS (SELECT encounter_id, 'diagnosis_' || v AS a FROM three WHERE v IS NOT NULL
   UNION SELECT encounter_id, c || '_' || v FROM eight WHERE v IS NOT NULL AND (c, v) NOT IN (SELECT (c, v) FROM mode8))
@@ -1128,8 +1143,10 @@ def _(spark, d):
 SELECT encounter_id, {", ".join(BASE_COLUMNS)}, coalesce(active, '') AS active, CASE WHEN r <= floor(0.8::DECIMAL(3, 1) * n) THEN 'train' ELSE 'test' END AS split
 FROM cleaned JOIN pos USING (encounter_id) LEFT JOIN hot USING (encounter_id)"""))
 def _(spark, d):
-    model_table, encoder = engineer(enc(spark, d), ["encounter_id"])
-    tagged = split_by_share(model_table, "encounter_id", 0.8)
+    cleaned = settle(clean_encounters(enc(spark, d), ["encounter_id"]))
+    encoder = fit_encoder(cleaned)
+    split = split_by_share(cleaned, "encounter_id", 0.8)  # before the columns become many
+    tagged = cast_all_int(encoder.transform(split), ["encounter_id", "split"])
     return tagged.select("encounter_id", *BASE_COLUMNS, active(encoder.columns()).alias("active"), "split")
 
 

@@ -15,8 +15,12 @@ NOT_FEATURES = ["label", "y", "id", "patient_id"]
 ID_COLUMNS = {"encounter_id", "patient_nbr", "id"}
 
 
+def missing_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
+    return [c for c in names if c not in df.columns]
+
+
 def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    missing = [c for c in names if c not in df.columns]
+    missing = missing_columns(df, names)
     if missing:
         raise KeyError(f"{len(missing)} columns missing, first: {missing[:10]}")
     return df

@@ -90,7 +90,8 @@ def export_metrics(
     The scores are tallied once. A flag is a cut of its score, so its counts
     come from the sweep over that tally, not from the table. Per-patient
     figures divide by all rows of the table, labelled or not;
-    ``savings_per_table_row`` divides the savings by the number of metric rows.
+    ``savings_per_table_row`` divides the savings by the number of metric rows
+    there are, which is fewer where a score gives none.
     """
     grid = flag_thresholds(start, end, step)
     y = binary_label(df, label)
@@ -101,7 +102,7 @@ def export_metrics(
     points = ordered_points(counts).unionByName(ordered_points(flag_tally(flags, name), bounded=True))
     patients = df.count()
     table = tally_metrics(points, strategy)
-    per_row = F.lit(len(scores) * (len(grid) + 1)) if savings_per_table_row else None
+    per_row = F.count(F.lit(1)).over(Window.partitionBy()) if savings_per_table_row else None  # one row per metric
     return cost_columns(table, F.lit(patients), per_row)
 
 
