@@ -24,6 +24,8 @@ DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 128 << 10, 1_500, 6
 #: Least relative difference between the two smallest sums.
 MARGIN = 0.001
 UNKNOWN = "und"
+#: Places that hashes are spread over.
+_PLACES = 1 << 52
 
 #: ASCII characters other than letters become spaces, bytes of other characters stay.
 _LETTERS = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
@@ -51,7 +53,9 @@ def learn(
 
     Of each label the ``sample_texts`` rows with the smallest hash of their id
     are taken, ``sample_chars`` characters each: so much at most comes to the
-    driver for a label. Rows with null text or label are not learned from.
+    driver for a label. Rows are counted first, so that a task drops those whose
+    hash is too large to be among them. Rows with null text or label are not
+    learned from.
     """
     row_id = F.col(f"`{id_column}`")
     labelled = docs.where(
@@ -59,10 +63,13 @@ def learn(
     ).select(
         F.col(f"`{lang_column}`").alias("lang"),
         F.substring(F.col(f"`{text_column}`"), 1, sample_chars).alias("text"),
-        F.xxhash64(row_id).alias("at"),
+        (F.xxhash64(row_id).bitwiseAND(F.lit(_PLACES - 1)) / F.lit(float(_PLACES))).alias("at"),
     )
+    # Four times the sample is expected below this bound, and never much less.
+    bounds = labelled.groupBy("lang").agg((F.lit(4.0 * sample_texts) / F.count(F.lit(1))).alias("bound"))
+    near = labelled.join(bounds.withColumnRenamed("lang", "label"), F.col("lang") == F.col("label")).where("at < bound")
     first = F.row_number().over(W.partitionBy("lang").orderBy("at", "text"))
-    sample = labelled.withColumn("n", first).where(F.col("n") <= sample_texts)
+    sample = near.withColumn("n", first).where(F.col("n") <= sample_texts)
     found: dict[str, list[bytes]] = {}
     for row in sample.orderBy("lang", "n").select("lang", "text").collect():
         found.setdefault(row["lang"], []).append(normal(row["text"]))
