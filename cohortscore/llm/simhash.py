@@ -230,5 +230,6 @@ def drop_near_copies(
     kept = rows.join(
         least, F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fingerprint") == F.col("fp"))
     )
-    one = W.partitionBy("doc_id", "fingerprint").orderBy(F.xxhash64(F.to_json("_row")))
+    order = F.xxhash64(*[F.col("_row").getField(c).cast("string") for c in docs.columns])
+    one = W.partitionBy("doc_id", "fingerprint").orderBy(order)
     return unpacked(kept.select("*", F.row_number().over(one).alias("_nth")).where("_nth = 1"))
