@@ -139,7 +139,9 @@ def radius_links(
     """Links (a, b) between the distinct longs ``fingerprint`` of ``prints`` that connect all within the radius.
 
     Not every pair is returned: in each tree, members that hang together link
-    to one of them. Components are those of all pairs.
+    to one of them. Components are those of all pairs, whatever ``blocks`` and
+    ``tree_size`` are; with more blocks shards are more and smaller, as wanted
+    for more fingerprints.
     """
     fp = F.col("fingerprint")
     shards = F.explode(

@@ -186,6 +186,10 @@ def near_vectors(
     n_links counts other rows linked directly, component_id is the smallest
     vec_id reachable, kept says that it is the row's own.
 
+    Each further hash divides a bucket by twice the width, so ``hashes`` should
+    grow with the logarithm of the rows, and ``tables`` or ``probes`` with it to
+    keep the recall; ``block`` bounds a task's memory.
+
     Vectors that are null, empty or zero, or that hold null, NaN or infinity,
     link with nothing. So do rows without vec_id, whose component_id is null and
     which are kept. Rows that repeat vec_id and vector are copies of each other
