@@ -137,7 +137,8 @@ class Classifier:
         best, *others = sorted(self.languages, key=lambda lang: (sizes[lang], lang))
         if not others:
             return best, 1.0
-        return best, min(1.0, max(0.0, 1 - sizes[best] / sizes[others[0]]))
+        following = sizes[others[0]]
+        return best, min(1.0, max(0.0, 1 - sizes[best] / following)) if following > 0 else 0.0
 
 
 def predictor(dictionaries: dict[str, bytes], block_bytes: int = BLOCK_BYTES, level: int = LEVEL):
