@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _test_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def local_session(cpus: int | str = 8, name: str = "cohortscore") -> SparkSession:
@@ -55,7 +58,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for one run's files."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Run folders made inside are removed at the end, so write results before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -79,9 +79,14 @@ def read_encounters(spark: SparkSession, path, none_as_null: bool = False) -> Da
     return raw.select(*out)
 
 
-def read_table_any(spark: SparkSession, path: str) -> DataFrame:
-    """A table at any path Spark can reach, its format told by the name."""
+def read_table_any(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A table at any path Spark can reach, its format told by the name.
+
+    A CSV file is read once with a ``schema``, and twice to find one without.
+    """
     ending = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if ending == "csv" and schema is not None:
+        return spark.read.option("header", True).schema(schema).csv(path)
     if ending == "csv":
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
     return spark.read.format(ending if ending in ("json", "orc") else "parquet").load(path)

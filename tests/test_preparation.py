@@ -254,3 +254,15 @@ def test_missing_responses_keep_a_row(spark):
     with pytest.raises(ValueError):
         require_complete(parsed)
     assert require_complete(parsed.where("batch_id > 3")).count() == 1
+
+
+def test_scratch_removes_stored_tables(spark):
+    from pathlib import Path
+
+    from cohortscore.session import scratch, settle
+
+    with scratch(spark):
+        stored = settle(spark.range(5))
+        (file,) = {Path(f.removeprefix("file:")).parent for f in stored.inputFiles()}
+        assert stored.count() == 5 and Path(str(file).replace("//", "")).exists()
+    assert not Path(str(file).replace("//", "")).exists()
