@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ WINDOW = 1024
 #: Short pieces of a block, on average.
 BLOCK_PIECES = 4096
 #: Encoded words that a worker keeps.
-CACHED_WORDS = 900_000
+CACHED_WORDS = 1_500_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
 
@@ -118,6 +119,12 @@ class WordEncoder:
         ]
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which serves one task after another."""
+    return WordEncoder(path)
+
+
 def cut_pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -138,13 +145,13 @@ def cut_pieces(
     step = 4 * window
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         schema = pa.schema(
             [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
         )
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 rows = []
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc, code in zip(part.column(0).to_pylist(), encoder.encode(texts)):
