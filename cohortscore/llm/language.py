@@ -67,7 +67,9 @@ def learn(
     )
     # Four times the sample is expected below this bound, and never much less.
     bounds = labelled.groupBy("lang").agg((F.lit(4.0 * sample_texts) / F.count(F.lit(1))).alias("bound"))
-    near = labelled.join(bounds.withColumnRenamed("lang", "label"), F.col("lang") == F.col("label")).where("at < bound")
+    # One row per label, of which the driver holds a whole dictionary below.
+    bounds = F.broadcast(bounds.withColumnRenamed("lang", "label"))
+    near = labelled.join(bounds, F.col("lang") == F.col("label")).where("at < bound")
     first = F.row_number().over(W.partitionBy("lang").orderBy("at", "text"))
     sample = near.withColumn("n", first).where(F.col("n") <= sample_texts)
     found: dict[str, list[bytes]] = {}
