@@ -27,7 +27,7 @@ WINDOW = 1024
 #: Short pieces of a block, on average.
 BLOCK_PIECES = 4096
 #: Encoded words that a worker keeps.
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 1_100_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
 
