@@ -173,10 +173,10 @@ def radius_links(
     return trees.select("tree", "others").mapInArrow(link, "a long, b long")
 
 
-def _groups(prints: DataFrame, radius: int, blocks: int, tree_size: int) -> DataFrame:
-    """fingerprint, component_id (smallest doc_id reachable) of rows (doc_id, fingerprint)."""
+def class_groups(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """fingerprint, component_id (smallest doc_id reachable) of rows (doc_id, fingerprint) by links of fingerprints."""
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    roots = components(radius_links(classes, radius, blocks, tree_size))
+    roots = components(links)
     placed = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
@@ -184,6 +184,23 @@ def _groups(prints: DataFrame, radius: int, blocks: int, tree_size: int) -> Data
     return placed.join(least, "component").select("fingerprint", "component_id")
 
 
+def _groups(prints: DataFrame, radius: int, blocks: int, tree_size: int) -> DataFrame:
+    return class_groups(prints, radius_links(prints.select("fingerprint").distinct(), radius, blocks, tree_size))
+
+
+def keep_firsts(columns: list[str], rows: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of packed ``rows`` one with the smallest doc_id of each group, with the packed columns."""
+    firsts = prints.join(groups, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Rows that share the smallest id may have several fingerprints; the least of them stays.
+    least = firsts.groupBy("component_id").agg(F.min("fingerprint").alias("fp"))
+    kept = rows.join(
+        least, F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fingerprint") == F.col("fp"))
+    )
+    order = F.xxhash64(*[F.col("_row").getField(c).cast("string") for c in columns])
+    one = W.partitionBy("doc_id", "fingerprint").orderBy(order)
+    return unpacked(kept.select("*", F.row_number().over(one).alias("_nth")).where("_nth = 1"))
+
+
 def near_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -225,13 +242,4 @@ def drop_near_copies(
         packed(docs, F.col(f"`{id_column}`").alias("doc_id"), fingerprints(F.col(f"`{text_column}`")).alias("fingerprint"))
     )
     prints = rows.select("doc_id", "fingerprint")
-    groups = _groups(prints, radius, blocks, tree_size)
-    firsts = prints.join(groups, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Rows that share the smallest id may have several fingerprints; the least of them stays.
-    least = firsts.groupBy("component_id").agg(F.min("fingerprint").alias("fp"))
-    kept = rows.join(
-        least, F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fingerprint") == F.col("fp"))
-    )
-    order = F.xxhash64(*[F.col("_row").getField(c).cast("string") for c in docs.columns])
-    one = W.partitionBy("doc_id", "fingerprint").orderBy(order)
-    return unpacked(kept.select("*", F.row_number().over(one).alias("_nth")).where("_nth = 1"))
+    return keep_firsts(docs.columns, rows, prints, _groups(prints, radius, blocks, tree_size))

@@ -5,13 +5,15 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
 import xxhash
+import corpus_pipeline
 from cases import awkward_rows, documents
 
-from cohortscore.llm import exact, language, licenses, mixing, packing, simhash, substrings
+from cohortscore.llm import exact, language, licenses, mixing, packing, simhash, similar, substrings
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -351,6 +353,49 @@ def test_simhash_of_an_empty_table(empty):
     assert simhash.near_groups(empty).count() == simhash.drop_near_copies(empty).count() == 0
 
 
+def five_words(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("part", [1_000_000, 60])
+def test_similar_texts_are_dropped(spark, awkward, part):
+    dice = random.Random(8)
+    rows = []
+    for _ in range(12):
+        words = [f"w{dice.randrange(400)}" for _ in range(200)]
+        for changes in (0, 1, 2, 3, 4, 5, 8, 12):
+            text = list(words)
+            for at in dice.sample(range(200), changes):
+                text[at] = "other"
+            rows.append((len(rows) + 100, " ".join(text), "en", "a"))
+    sets = [five_words(t) for _, t, *_ in rows]
+    pairs = [(a, b) for a, b in combinations(range(len(rows)), 2) if jaccard(sets[a], sets[b]) >= 0.8]
+    far = [p for p in pairs if (fingerprint_by_hand(rows[p[0]][1]) ^ fingerprint_by_hand(rows[p[1]][1])).bit_count() > 4]
+    assert far, "pairs that the digest's radius does not link"
+    for given, table in ((rows, documents(spark, rows)), (awkward_rows(), awkward)):
+        want = reach([five_words(t) for _, t, *_ in given], [d for d, *_ in given], lambda a, b: jaccard(a, b) >= 0.8)
+        kept = similar.drop_similar(table, part_shingles=part)
+        assert kept.columns == table.columns
+        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, set(want)))
+
+
+def test_similar_texts_of_an_empty_table(empty):
+    assert similar.drop_similar(empty).count() == 0
+
+
+def test_pipeline_stage_drops_what_is_similar(spark):
+    words = [f"w{k}" for k in range(100)]
+    other = words[:50] + ["other"] + words[51:]
+    more = words[:20] + ["more"] + words[21:]
+    docs = documents(spark, [(1, " ".join(words), "en", "a"), (2, " ".join(other), "en", "a"), (3, " ".join(more), "en", "a")])
+    assert [r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()] == [1]
+
+
 # Licenses --------------------------------------------------------------------
 
 
