@@ -227,6 +227,14 @@ def padded_length(fill: int, window: int) -> int:
     return fill if fill & (fill - 1) == 0 else window
 
 
+def put_together(ids: list[bytes], which: list[int], offsets: list[int], fill: list[int]) -> list[bytearray]:
+    """The sequences, each with its pieces' ids at their offsets."""
+    sequences = [bytearray(4 * n) for n in fill]
+    for piece, w, offset in zip(ids, which, offsets):
+        sequences[w][4 * offset : 4 * offset + len(piece)] = piece
+    return sequences
+
+
 def place_pieces(pieces: DataFrame, window: int = WINDOW, block_pieces: int = BLOCK_PIECES) -> DataFrame:
     """``pieces`` (doc_id, start, length and more) with sequence_id, offset and sequence_length.
 
@@ -234,7 +242,8 @@ def place_pieces(pieces: DataFrame, window: int = WINDOW, block_pieces: int = BL
     whose number follows from the count of pieces, and packed there. ``pieces``
     must be stored, so that a task that runs again deals the same. In a block
     ties go by doc_id, start and checksum. Repeated rows are packed each on its
-    own.
+    own. Where there are ``ids``, those returned and their ``ids_crc32`` are read
+    back from the sequence put together.
     """
     extra = [c for c in pieces.columns if c not in ("sequence_id", "offset", "sequence_length")]
     short = pieces.where(F.col("length") < window)
@@ -251,14 +260,20 @@ def place_pieces(pieces: DataFrame, window: int = WINDOW, block_pieces: int = BL
         out["sequence_id"] = [2 * (w * blocks + number) for w in which]
         out["offset"] = offsets
         out["sequence_length"] = [padded_length(fill[w], window) for w in which]
+        if "ids" in out.columns and out["ids"].notna().all():
+            sequences = put_together(out["ids"].tolist(), which, offsets, fill)
+            # From here on a piece is what its sequence has at its place.
+            out["ids"] = [bytes(sequences[w][4 * o : 4 * (o + n)]) for w, o, n in zip(which, offsets, out["length"])]
+            out["ids_crc32"] = [zlib.crc32(ids) for ids in out["ids"]]
         return out
 
     types = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in extra) + ", sequence_id long, offset long, sequence_length long"
     dealt = short.withColumn("_block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)))
     packed_rows = dealt.groupBy("_block").applyInPandas(pack, schema)
+    crc = {"ids_crc32": F.coalesce(F.crc32("ids"), "ids_crc32")} if {"ids", "ids_crc32"} <= set(extra) else {}
     alone = full.select(
-        *extra,
+        *[crc.get(c, F.col(c)).alias(c) for c in extra],
         (2 * F.monotonically_increasing_id() + 1).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
         F.lit(window).cast("long").alias("sequence_length"),

@@ -27,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query("op1_packing")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"), with_ids=False).drop("ids")
+    return packing.pack_documents(table(spark, folder, "documents")).drop("ids")
 
 
 @query("op2_language_id")

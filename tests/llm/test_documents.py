@@ -13,7 +13,7 @@ import xxhash
 import corpus_pipeline
 from cases import awkward_rows, documents
 
-from cohortscore.llm import exact, language, licenses, mixing, packing, simhash, similar, substrings
+from cohortscore.llm import exact, language, licenses, mixing, packing, queries, simhash, similar, substrings
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -170,6 +170,23 @@ def test_packing_can_be_repeated(awkward):
     assert rows() == rows()
 
 
+def test_registered_packing_keeps_and_checks_the_ids(spark, tmp_path):
+    docs = documents(spark, [(k, f"text {k} " * (k * 40 + 1), "en", "a") for k in range(20)])
+    want = Counter()
+    for doc, ids in packed_ids([tuple(r)[:2] for r in docs.collect()]):
+        for start in range(0, len(ids), packing.WINDOW):
+            want[doc, start, zlib.crc32(np.array(ids[start : start + packing.WINDOW], "<u4").tobytes())] += 1
+    pieces = corpus_pipeline.packed(spark, docs, "").collect()
+    assert Counter((p.doc_id, p.start, zlib.crc32(p.ids)) for p in pieces) == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op1_packing"](spark, str(tmp_path)).collect()
+    assert Counter((p.doc_id, p.start, p.ids_crc32) for p in got) == want
+    # A sequence that is put together wrongly shows in the checksum.
+    pieces = spark.createDataFrame([(1, 0, 2, b"abcdefgh", 0, 2), (2, 0, 4, b"a" * 16, 0, 4)], packing._PIECES)
+    placed = packing.place_pieces(pieces, window=4).collect()
+    assert all(p.ids_crc32 == zlib.crc32(p.ids) for p in placed)
+
+
 def test_best_fit_equals_a_plain_search():
     dice = random.Random(3)
     for window in (1, 2, 7, 64, 1000, 1024):
