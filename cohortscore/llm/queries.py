@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, language, licenses, mixing, packing, pages, simhash, substrings, vectors
+from cohortscore.llm import chat, exact, language, licenses, mixing, packing, pages, pieces, search, simhash, substrings, vectors
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -184,3 +184,49 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_license_scan")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode_texts(table(spark, folder, "documents"))
+    done = encoded.select("doc_id", "ids", pieces.decode_ids(F.col("ids")).alias("decoded"))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+_SEARCH_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), total AS (
+  SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM words
+), occurrences AS (
+  SELECT doc_id, len(t) AS n, unnest(t) AS term FROM words
+), postings AS (
+  SELECT doc_id, term, any_value(n)::BIGINT AS n, count(*) AS tf FROM occurrences GROUP BY doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, total GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), total GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_ranked_search", _SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
