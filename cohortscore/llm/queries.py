@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscore.llm import chat, exact, language, licenses, mixing, packing, pages, pieces, search, simhash, substrings, vectors
+from cohortscore.llm import (
+    chat,
+    exact,
+    language,
+    licenses,
+    mixing,
+    packing,
+    pages,
+    phrases,
+    pieces,
+    search,
+    simhash,
+    substrings,
+    vectors,
+)
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -230,3 +244,46 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 @query("op12_ranked_search", _SEARCH_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k AS n, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, range(1, 5) AS ks(k) WHERE len(w) >= k
+), counts AS (
+  SELECT lang, n, phrase, count(*) AS f FROM grams GROUP BY lang, n, phrase HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS total FROM words GROUP BY lang
+), cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+  FROM counts, range(1, 4) AS ks(k) WHERE n >= 2 AND k < n
+), scored AS (
+  SELECT c.*, h.f AS l, t.f AS r, CAST((2000000::HUGEINT * a) // (h.f::HUGEINT + t.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts h ON c.lang = h.lang AND c.head = h.phrase JOIN counts t ON c.lang = t.lang AND c.tail = t.phrase
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covers AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, f, array_to_string(string_split(phrase, ' ')[s:s + m - 1], ' ') AS phrase
+    FROM counts, range(2, 4) AS ms(m), range(1, 4) AS ss(s) WHERE m < n AND s + m - 1 <= n
+  ) GROUP BY lang, phrase
+), kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN covers c ON s.lang = c.lang AND s.phrase = c.phrase
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, total AS n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op13_phrase_mining", _PHRASE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, folder, "documents"))
