@@ -20,19 +20,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Segments that a worker keeps at least; it holds up to twice as many.
-KEPT_SEGMENTS = 350_000
+KEPT_SEGMENTS = 120_000
 #: Longer segments are encoded each time.
 KEPT_LENGTH = 48
 #: Pair tests that a worker keeps.
-KEPT_PAIRS = 1_000_000
-#: Characters of the texts of one output batch, about.
-BATCH_CHARS = 2_000_000
+KEPT_PAIRS = 200_000
+#: UTF-8 bytes of the texts of one output batch, about; one longer text is a batch of its own.
+BATCH_BYTES = 4_000_000
+
+#: Segments of one table, and characters that it covers beside the mark: ASCII and Latin letters.
+_TABLE_SEGMENTS, _COMMON = 20_000, 0x100
+#: Pair tests that the table looks up, as a power of two.
+_PAIR_SLOTS = 20
 
 _MARK = "▁"
+#: Cuts a text where no token reaches across; texts that have it, or marks, or runs of spaces, go one by one.
+_CUT = "\x1f"
+_ODD = f"  |^ |{_CUT}|{_MARK}"
 _NEVER = 1 << 60
 
 # Fixed values of the model format: piece kinds and the number of the byte-pair model type.
@@ -94,9 +103,10 @@ class PieceModel:
 
         # Tokens are the pieces that are their own encoding, and every character of the alphabet.
         self.tokens: list[str] = []
-        self.ids: list[np.ndarray] = []
-        self.lasts: list[list[tuple[str, int]]] = []  # what ends a token as it grows, and the rank that ends it
-        self.firsts: list[list[tuple[str, int]]] = []  # what begins it
+        self.ids: list[bytes] = []  # as little-endian 32-bit
+        # What ends, and what begins, a token as it grows; known of tokens that were tested.
+        self.lasts: dict[int, list[tuple[str, int]]] = {}
+        self.firsts: dict[int, list[tuple[str, int]]] = {}
         self.steady: list[bool] = []  # whether its merges go from better to worse ranks
         automaton = ahocorasick.Automaton()
         for piece in sorted(self.alphabet | self.ranks.keys()):
@@ -105,10 +115,8 @@ class PieceModel:
                 continue
             made = [self.ranks[a + b] for a, b in merges]
             self.steady.append(all(a <= b for a, b in zip(made, made[1:])))
-            self.lasts.append(self._growth(piece, -1, merges))
-            self.firsts.append(self._growth(piece, 0, merges))
             automaton.add_word(piece, len(self.tokens))
-            self.ids.append(np.array([ids[piece]] if piece in ids else self.foreign(piece), dtype="<i4"))
+            self.ids.append(np.array([ids[piece]], dtype="<i4").tobytes() if piece in ids else self.foreign(piece))
             self.tokens.append(piece)
         automaton.make_automaton()
         self.automaton = automaton
@@ -117,29 +125,32 @@ class PieceModel:
         self.cut_at_marks = not any(_MARK in piece.lstrip(_MARK) for piece in self.ranks)
         self.pairs: dict[int, bool] = {}
 
-    def _growth(self, piece: str, side: int, merges: list[tuple[str, str]]) -> list[tuple[str, int]]:
-        """The part at one end of ``piece`` (0 or -1) after each merge that touches it, with the rank that ends it."""
+    def growth(self, token: int, side: int, known: dict[int, list[tuple[str, int]]]) -> list[tuple[str, int]]:
+        """The part at one end of a token (0 or -1) after each merge that touches it, with the rank that ends it."""
+        if token in known:
+            return known[token]
+        piece = self.tokens[token]
         now, steps, parts = piece[side], [], list(piece)
-        for a, b in merges:
+        for a, b in merged(piece, self.ranks)[1]:
             at = next(i for i, pair in enumerate(zip(parts, parts[1:])) if pair == (a, b))
             rank = self.ranks[a + b]
             if at == (len(parts) - 2 if side else 0):
                 steps.append((now, rank))
                 now = a + b
             parts[at : at + 2] = [a + b]
-        return [*steps, (now, _NEVER)]
+        known[token] = [*steps, (now, _NEVER)]
+        return known[token]
 
-    def foreign(self, character: str) -> list[int]:
+    def foreign(self, character: str) -> bytes:
         """Ids of a character that is no piece: its bytes, or the unknown id."""
-        if not self.fallback:
-            return [self.unknown]
-        return [self.bytes[b] for b in character.encode("utf-8", "surrogatepass")]
+        found = [self.bytes[b] for b in character.encode("utf-8", "surrogatepass")] if self.fallback else [self.unknown]
+        return np.array(found, dtype="<i4").tobytes()
 
     def side_by_side(self, a: int, b: int) -> bool:
         """Whether the encoding of both tokens' text is these two tokens: no merge reaches across before they are whole."""
         if not (self.steady[a] and self.steady[b]):
             return merged(self.tokens[a] + self.tokens[b], self.ranks)[0] == [self.tokens[a], self.tokens[b]]
-        ends, starts, ranks = self.lasts[a], self.firsts[b], self.ranks
+        ends, starts, ranks = self.growth(a, -1, self.lasts), self.growth(b, 0, self.firsts), self.ranks
         i = j = 0
         while True:
             (left, left_end), (right, right_end) = ends[i], starts[j]
@@ -188,12 +199,128 @@ class PieceModel:
         while at:
             token = last[at]
             if token < 0:
-                found.append(np.array(self.foreign(text[at - 1]), dtype="<i4"))
+                found.append(self.foreign(text[at - 1]))
                 at -= 1
             else:
                 found.append(self.ids[token])
                 at -= lengths[token]
-        return b"".join([ids.tobytes() for ids in reversed(found)])
+        found.reverse()
+        return b"".join(found)
+
+
+class SegmentTable:
+    """The same table of last tokens for many short segments at a time, a column for each.
+
+    It covers tokens of the characters below ``_COMMON`` and the mark, whose
+    automaton is small enough to hold every step of every state.
+    """
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        single = {t for t, ids in zip(model.tokens, model.ids) if len(t) == 1 and len(ids) == 4}
+        common = sorted(c for c in single if ord(c) < _COMMON or c == _MARK)
+        self.kinds = np.full(ord(_MARK) + 1, -1, dtype=np.int32)
+        self.kinds[[ord(c) for c in common]] = np.arange(len(common))
+        number = {c: k for k, c in enumerate(common)}
+        # States in order of depth, each with its parent, its last character and the token that it is.
+        states: list[dict[int, int]] = [{}]
+        token_at = [-1]
+        for token, text in enumerate(model.tokens):
+            if number.keys() >= set(text):
+                at = 0
+                for c in text:
+                    step = states[at].get(number[c])
+                    if step is None:
+                        step = states[at][number[c]] = len(states)
+                        states.append({})
+                        token_at.append(-1)
+                    at = step
+                token_at[at] = token
+        self.steps = np.zeros((len(states), len(common)), dtype=np.min_scalar_type(len(states)))
+        self.longest = np.array(token_at, dtype=np.int32)
+        self.shorter = np.full(len(model.tokens), -1, dtype=np.int32)
+        fail, level = np.zeros(len(states), dtype=np.int32), [0]
+        while level:
+            below = []
+            for at in level:
+                up = fail[at]
+                if at:
+                    self.steps[at] = self.steps[up]
+                    if self.longest[at] >= 0:
+                        self.shorter[self.longest[at]] = self.longest[up]
+                    else:
+                        self.longest[at] = self.longest[up]
+                for kind, step in states[at].items():
+                    fail[step] = self.steps[at, kind] if at else 0
+                    self.steps[at, kind] = step
+                    below.append(step)
+            level = below
+        self.lengths = np.array(model.lengths, dtype=np.int64)
+        self.ids = np.array([int.from_bytes(ids[:4], "little") for ids in model.ids], dtype="<i4")
+        self.keys = np.full(1 << _PAIR_SLOTS, -1, dtype=np.int64)
+        self.fits = np.zeros(1 << _PAIR_SLOTS, dtype=bool)
+
+    def fit(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Pair tests, looked up in a table by a hash of the pair; a pair that is not there is tested."""
+        keys = before.astype(np.int64) << 32 | tokens
+        slots = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PAIR_SLOTS)).view(np.int64)
+        new = self.keys[slots] != keys
+        if new.any():
+            for key in np.unique(keys[new]).tolist():
+                slot = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 64 - _PAIR_SLOTS
+                self.keys[slot], self.fits[slot] = key, self.model.goes_with(key >> 32, key & 0xFFFFFFFF)
+            good = self.fits[slots]
+            for i in np.flatnonzero(self.keys[slots] != keys).tolist():  # two pairs of one slot
+                good[i] = self.model.goes_with(int(before[i]), int(tokens[i]))
+            return good
+        return self.fits[slots]
+
+    def encode(self, segments: list[str]) -> list[bytes | None]:
+        """Ids of each segment; None where it has a character beyond the table."""
+        sizes = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+        points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kinds = self.kinds[np.minimum(points, len(self.kinds) - 1)]
+        kinds[points >= len(self.kinds)] = -1
+        begins = np.cumsum(sizes) - sizes
+        foreign = np.concatenate(([0], np.cumsum(kinds < 0)))
+        fine = np.flatnonzero((foreign[begins + sizes] == foreign[begins]) & (sizes > 0))
+        found: list[bytes | None] = [None] * len(segments)
+        if not len(fine):
+            return found
+        order = fine[np.argsort(-sizes[fine], kind="stable")]
+        sizes, begins = sizes[order], begins[order]
+        last = np.full((int(sizes[0]) + 1, len(order)), -1, dtype=np.int32)
+        state = np.zeros(len(order), dtype=np.int32)
+        reach = np.searchsorted(-sizes, -np.arange(len(last)), side="right")  # segments of that length or more
+        for end in range(1, len(last)):
+            todo = np.arange(reach[end])
+            state = self.steps[state[: len(todo)], kinds[begins[: len(todo)] + end - 1]]
+            token = self.longest[state]
+            while len(todo):
+                start = end - self.lengths[token]
+                before = last[start, todo]
+                good = start == 0
+                inner = np.flatnonzero(~good)
+                good[inner] = self.fit(before[inner], token[inner])
+                last[end, todo[good]] = token[good]
+                todo, token = todo[~good], self.shorter[token[~good]]
+        steps, at, who = [], sizes.copy(), np.arange(len(order))
+        counts = np.zeros(len(order), dtype=np.int64)
+        while len(who):
+            token = last[at[who], who]
+            steps.append((who, token))
+            counts[who] += 1
+            at[who] -= self.lengths[token]
+            who = who[at[who] > 0]
+        ends = np.cumsum(counts)
+        ids = np.empty(int(ends[-1]), dtype="<i4")
+        for k, (who, token) in enumerate(steps):
+            ids[ends[who] - 1 - k] = self.ids[token]
+        data, start = ids.tobytes(), 0
+        for i, end in zip(order.tolist(), (4 * ends).tolist()):
+            found[i] = data[start:end]
+            start = end
+        return found
 
 
 class PieceEncoder:
@@ -201,44 +328,90 @@ class PieceEncoder:
 
     def __init__(self, path: str, kept: int = KEPT_SEGMENTS):
         self.model = PieceModel(path)
-        letters = "".join(re.escape(c) for c in sorted(self.model.alphabet - {_MARK}))
+        alphabet = self.model.alphabet
+        letters = "".join(re.escape(c) for c in sorted(alphabet - {_MARK}))
         word = f"[{letters}]+" if letters else "(?!)"
         self.segments = re.compile(f"{_MARK}*{word}|{_MARK}+|[^{_MARK}{letters}]+") if self.model.cut_at_marks else None
+        # Texts whose spaces stand alone can be cut by replacing characters, many texts at a time.
+        self.plain = self.model.cut_at_marks and self.model.marks_only and "\n" not in alphabet and self.model.fallback
+        self.table = SegmentTable(self.model)
         self.kept = kept
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, segment: str) -> bytes:
-        code = self.old.get(segment)
+    def code(self, segment: str) -> bytes:
+        """Ids of a segment, kept for the next time."""
+        code = self.new.get(segment)
         if code is None:
-            code = self.model.encode_segment(segment)
+            code = self.old.get(segment)
+            if code is None:
+                code = self.model.encode_segment(segment)
+            self._keep(segment, code)
+        return code
+
+    def _keep(self, segment: str, code: bytes) -> None:
         if len(segment) <= KEPT_LENGTH:
             if len(self.new) >= self.kept:
                 # What was not asked for since the last turn is forgotten.
                 self.old, self.new = self.new, {}
             self.new[segment] = code
-        return code
+
+    def codes(self, segments: list[str]) -> list[bytes]:
+        """Ids of distinct segments; those not kept are encoded together."""
+        found = list(map(self.new.get, segments))
+        lost = [i for i, code in enumerate(found) if code is None]
+        for i in lost:
+            found[i] = self.old.get(segments[i])
+        new = [i for i in lost if found[i] is None and len(segments[i]) <= KEPT_LENGTH]
+        for at in range(0, len(new), _TABLE_SEGMENTS):
+            some = new[at : at + _TABLE_SEGMENTS]
+            for i, code in zip(some, self.table.encode([segments[i] for i in some])):
+                found[i] = code
+        for i in lost:
+            if found[i] is None:
+                found[i] = self.model.encode_segment(segments[i])
+            self._keep(segments[i], found[i])
+        return found
 
     def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian 32-bit integers; null and empty texts have none."""
+        """Ids of one text as little-endian 32-bit integers; null and empty texts have none."""
         if not text:
             return b""
         normal = self.model.normal(text)
         if self.segments is None:
             code = self.model.encode_segment(normal)
         else:
-            get = self.new.get
-            found = self.segments.findall(normal)
-            codes = [get(s) for s in found]
-            if None in codes:
-                codes = [self._learn(s) if c is None else c for s, c in zip(found, codes)]
-            code = b"".join(codes)
+            code = b"".join(map(self.code, self.segments.findall(normal)))
         if not self.model.fallback:
             ids = np.frombuffer(code, dtype="<i4")
             again = (ids[1:] == self.model.unknown) & (ids[:-1] == self.model.unknown)
             code = ids[np.concatenate(([True], ~again))].tobytes() if len(ids) else code
         return code
 
+    def encode_many(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of many texts; each distinct segment of them is looked up once."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD) if self.plain else pc.equal(texts, texts)
+        alone = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        codes = [self.encode(texts[i].as_py()) for i in alone.tolist()]
+        marked = pc.replace_substring(pc.if_else(odd, "", texts), " ", _CUT + _MARK)
+        marked = pc.replace_substring(marked, "\n", f"{_CUT}\n{_CUT}")
+        some = pc.greater(pc.binary_length(marked), 0)
+        split = pc.split_pattern(pc.if_else(some, pc.binary_join_element_wise(_MARK, marked, ""), ""), _CUT)
+        encoded = split.flatten().dictionary_encode()
+        known = self.codes(encoded.dictionary.to_pylist()) + codes
+        pool = np.frombuffer(b"".join(known), dtype="<i4")
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        starts = np.cumsum(lengths) - lengths
+        # The texts that were encoded alone come as one segment each, in their places.
+        words = encoded.indices.to_numpy().astype(np.int64)
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        words[offsets[alone]] = np.arange(len(known) - len(codes), len(known))
+        taken = lengths[words]
+        ends = np.cumsum(taken)
+        ids = pool[np.repeat(starts[words] - (ends - taken), taken) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends))[offsets], pa.int32()), pa.array(ids, pa.int32()))
+
 
 @lru_cache(maxsize=1)
 def piece_encoder(path: str) -> PieceEncoder:
@@ -246,12 +419,25 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+@lru_cache(maxsize=1)
+def piece_decoder(path: str):
+    """The library's processor of this Python worker."""
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=path)
+
+
+def decoded_texts(ids: pa.ListArray, processor) -> pa.Array:
+    return pa.array([processor.decode(row.values.to_pylist()) if row.is_valid else "" for row in ids], pa.string())
+
+
 def encode_texts(
-    docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False
 ) -> DataFrame:
     """One row per input row: doc_id, ids (array of int), as the library's encoder gives them.
 
-    No begin or end ids. Null and empty texts have no ids. Repeated rows and ids
+    With ``decoded`` also the text that the library's ``decode`` makes of the
+    ids, in the same pass. No begin or end ids. Null and empty texts have no ids. Repeated rows and ids
     are encoded each; a null doc_id is kept; columns other than id and text are
     ignored; an empty table gives no rows. Nothing is shuffled: a row's result
     depends on its text alone.
@@ -262,20 +448,20 @@ def encode_texts(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
         for batch in batches:
-            codes, first, chars = [], 0, 0
-            for at, text in enumerate(batch.column(1)):
-                text = text.as_py() or ""
-                codes.append(encoder.encode(text))
-                chars += len(text)
-                if chars >= BATCH_CHARS or at + 1 == batch.num_rows:
-                    ends = np.cumsum([0] + [len(c) // 4 for c in codes], dtype=np.int64)
-                    ids = pa.array(np.frombuffer(b"".join(codes), dtype="<i4"), pa.int32())
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(codes)), lists], names=["doc_id", "ids"])
-                    codes, first, chars = [], at + 1, 0
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                before = int(sizes[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(sizes, before + BATCH_BYTES, side="right")))
+                part = batch.slice(at, to - at)
+                columns = [part.column(0), encoder.encode_many(part.column(1))]
+                if decoded:
+                    columns.append(decoded_texts(columns[1], encoder.model.processor))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
+                at = to
 
     narrow = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-    return narrow.mapInArrow(task, f"doc_id {kind}, ids array<int>")
+    return narrow.mapInArrow(task, f"doc_id {kind}, ids array<int>" + (", decoded string" if decoded else ""))
 
 
 def decode_ids(ids: Column, model: str | None = None) -> Column:
@@ -284,8 +470,7 @@ def decode_ids(ids: Column, model: str | None = None) -> Column:
 
     @F.arrow_udf("string")
     def decoded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decode = piece_encoder(path).model.processor.decode
         for part in parts:
-            yield pa.array([decode(row.values.to_pylist()) if row.values is not None else "" for row in part], pa.string())
+            yield decoded_texts(part, piece_decoder(path))
 
     return decoded(ids)

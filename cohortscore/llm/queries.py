@@ -202,8 +202,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op11_sentencepiece")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = pieces.encode_texts(table(spark, folder, "documents"))
-    done = encoded.select("doc_id", "ids", pieces.decode_ids(F.col("ids")).alias("decoded"))
+    done = pieces.encode_texts(table(spark, folder, "documents"), decoded=True)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
