@@ -284,9 +284,23 @@ def _(spark, d):
     return rounded(mean_losses(with_mean(scored(spark, d)), Y, THREE, scaled=True).select("feature", "log_loss"), 5)
 
 
-@query("A22_roc_curve", with_scored(LONG + POINTS + """
-SELECT m AS feature, x AS threshold, round(fp / q, 6) AS fpr, round(tp / p, 6) AS tpr FROM pts
-UNION ALL SELECT DISTINCT m, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM pts""").replace("x AS threshold", "round(x, 6) AS threshold"))
+ALL_CORNERS = "SELECT *, true AS stays FROM pts"
+CORNERS = """SELECT *, row_number() OVER down = 1 OR lead(pos) OVER down IS NULL OR lead(pos) OVER down <> pos OR lead(neg) OVER down <> neg AS stays
+  FROM pts WINDOW down AS (PARTITION BY m ORDER BY x DESC)"""
+
+
+def roc_sql(corners):
+    return with_scored(LONG + POINTS + f""", corners AS ({corners})
+SELECT m AS feature, round(x, 6) AS threshold, round(fp / q, 6) AS fpr, round(tp / p, 6) AS tpr FROM corners WHERE stays
+UNION ALL SELECT DISTINCT m, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM pts""")
+
+
+@query("A22_roc_curve_all_points", roc_sql(ALL_CORNERS))
+def _(spark, d):
+    return rounded(roc_curve(ordered_points(tally(with_mean(scored(spark, d)), Y, THREE)), drop_collinear=False))
+
+
+@query("A22_roc_curve", roc_sql(CORNERS))
 def _(spark, d):
     return rounded(roc_curve(ordered_points(tally(with_mean(scored(spark, d)), Y, THREE))))
 

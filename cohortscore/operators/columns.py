@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortscore.functions.numeric import finite_or_zero, quoted, to_double
+from cohortscore.operators.keys import SMALL_ROWS, lookup_join
+from cohortscore.session import settle
 
 # Columns a serving frame never scores.
 NOT_FEATURES = ["label", "y", "id", "patient_id"]
@@ -152,17 +154,61 @@ def lookup(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     return df.join(codes, key, "left")
 
 
-def range_lookup(df: DataFrame, code: Column, ranges: DataFrame, out: str = "label") -> DataFrame:
-    """First matching range (low, high, label, priority) of an integer code.
+#: Added to codes and bounds, so that they are not negative; they lie within it at either side of 0.
+_CODE_BIAS = 1 << 62
 
-    The half-open ranges are spelled out to single codes, of which the lowest
-    priority wins, so the lookup is an equi-join instead of a range join.
+
+def dyadic_blocks(low: Column, high: Column) -> Column:
+    """The half-open range [low, high) of non-negative longs as (level, block): block numbers of size 2^level.
+
+    Each level adds one block at either side at most, so a range of width w
+    has no more than 2 log2(w) + 2 blocks.
+    """
+    state = F.struct(low.alias("low"), high.alias("high"), F.array().cast("array<struct<level:int,block:bigint>>").alias("blocks"))
+
+    def step(s: Column, level: Column) -> Column:
+        open_ = s["low"] < s["high"]
+        odd_low, odd_high = open_ & (s["low"] % 2 == 1), open_ & (s["high"] % 2 == 1)
+        up = F.when(odd_low, s["low"] + 1).otherwise(s["low"])
+        down = F.when(odd_high, s["high"] - 1).otherwise(s["high"])
+        at_low = F.struct(level.alias("level"), s["low"].alias("block"))
+        at_high = F.struct(level.alias("level"), down.alias("block"))
+        none = F.array().cast("array<struct<level:int,block:bigint>>")
+        added = F.concat(
+            s["blocks"], F.when(odd_low, F.array(at_low)).otherwise(none), F.when(odd_high, F.array(at_high)).otherwise(none)
+        )
+        return F.struct(F.shiftright(up, 1).alias("low"), F.shiftright(down, 1).alias("high"), added.alias("blocks"))
+
+    # Where low has reached high nothing is added any more.
+    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), state, step)["blocks"]
+
+
+def range_lookup(
+    df: DataFrame, code: Column, ranges: DataFrame, out: str = "label", small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """First matching range (low, high, label, priority) of an integer code, however wide the ranges are.
+
+    The half-open ranges fall into blocks of powers of two and each distinct
+    code asks for the blocks around it, at the levels that ranges have, so the
+    lookup is an equi-join. Of the ranges that hold a code the lowest priority
+    wins, of equals the least label. Ranges whose high is not above their low
+    hold nothing. Codes that are missing or no integers have no label and are
+    not shuffled. Codes and bounds lie within 2^62 of 0. Frequent codes never meet in one task: distinct codes
+    are looked up, and the answers joined back with the frequent ones broadcast.
     """
-    singles = ranges.select(
-        F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("__code"), "label", "priority"
+    low, high = (F.col(c).cast("long") + _CODE_BIAS for c in ("low", "high"))
+    blocks = settle(
+        ranges.where(high > low).select(F.explode(dyadic_blocks(low, high)).alias("b"), "label", "priority").groupBy(
+            "b.level", "b.block"
+        ).agg(F.min(F.struct("priority", "label")).alias("r"))
     )
-    table = singles.groupBy("__code").agg(F.min_by("label", "priority").alias(out))
-    return df.withColumn("__code", code.try_cast("int")).join(table, "__code", "left").drop("__code")
+    levels = [r["level"] for r in blocks.select("level").distinct().orderBy("level").collect()]  # 63 at most
+    rows = df.withColumn("__code", code.try_cast("long") + _CODE_BIAS)
+    codes = rows.where(F.col("__code").isNotNull()).select("__code").distinct()
+    asked = codes.select("__code", F.explode(F.array(*[F.lit(level) for level in levels]).cast("array<int>")).alias("level"))
+    asked = asked.withColumn("block", F.expr("shiftright(__code, level)"))
+    answers = settle(asked.join(blocks, ["level", "block"]).groupBy("__code").agg(F.min("r")["label"].alias(out)))
+    return lookup_join(rows, answers, ["__code"], small_rows).drop("__code")
 
 
 def by_tag(df: DataFrame, tag: str, value: str) -> DataFrame:

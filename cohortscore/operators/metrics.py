@@ -192,8 +192,17 @@ def validation_metrics(points: DataFrame) -> DataFrame:
 # ---- curves and optimal cutoffs -------------------------------------------
 
 
-def roc_curve(points: DataFrame) -> DataFrame:
-    """(feature, threshold, fpr, tpr), with the start point at infinity."""
+def roc_curve(points: DataFrame, drop_collinear: bool = True) -> DataFrame:
+    """(feature, threshold, fpr, tpr), with the start point at infinity.
+
+    Points inside a straight line of equal steps, where the next lower score
+    adds as many positives and negatives as the point itself did, are left out
+    unless ``drop_collinear`` is false; the highest and the lowest score stay.
+    """
+    if drop_collinear:
+        first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        turns = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
+        points = points.where(first | F.col("next_pos").isNull() | turns)
     curve = points.select(
         "feature", F.col("x").alias("threshold"), ratio(_down()[1], _n(), None).alias("fpr"), ratio(_down()[0], _p(), None).alias("tpr")
     )

@@ -3,7 +3,8 @@
 Rows are ordered by the md5 of seed and id. A split needs no sort of the table:
 counting rows per leading hash digits finds the few cells in which a boundary
 falls, only those cells are ranked, and the boundary hashes then assign every
-row by comparison, without moving it.
+row by comparison. Quotas and boundaries are tables with a row per class, so
+there may be as many classes as there are rows.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import quoted
+from cohortscore.operators.keys import SMALL_ROWS, lookup_join, prefix_sums
 from cohortscore.session import settle
 
 CELL_DIGITS = 4  # 65,536 cells, filled evenly by the hash
-MAX_CLASSES = 1000
 
 
 def order_hash(id_column: Column, seed: int) -> Column:
@@ -28,193 +29,203 @@ def order_hash(id_column: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_column.cast("string"), F.lit(""))))
 
 
+def _class(by: str | None) -> Column:
+    return quoted(by).cast("string") if by else F.lit("all")
+
+
 def _keyed(df: DataFrame, id_column: str, by: str | None, seed: int) -> DataFrame:
-    group = quoted(by).cast("string") if by else F.lit("all")
-    keys = df.select(group.alias("grp"), quoted(id_column).alias("id"))
+    keys = df.select(_class(by).alias("grp"), quoted(id_column).alias("id"))
     keys = keys.where(F.col("grp").isNotNull())
     return keys.withColumn("h", order_hash(F.col("id"), seed)).withColumn(
         "cell", F.substring("h", 1, CELL_DIGITS)
     )
 
 
-def seeded_positions(df: DataFrame, id_column: str, by: str | None = None, seed: int = 42, out: str = "pos") -> DataFrame:
+def seeded_positions(
+    df: DataFrame, id_column: str, by: str | None = None, seed: int = 42, out: str = "pos", small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """Add the 1-based position of each row in the seeded order of its class.
 
     For use where the position itself is wanted. Rows without id, or without
-    class, are kept: a missing class is one of its own. The window works on one cell
-    of one class at a time; cell starts come from a running sum over counts.
+    class, are kept: a missing class is one of its own. Rows of one id are
+    ordered by a hash of all their columns, so that many of them, like rows
+    without id, spread over the range partitions of the whole order.
     """
-    group = quoted(by).cast("string") if by else F.lit("all")
-    h = order_hash(quoted(id_column), seed)
-    rows = df.select("*", group.alias("__grp"), h.alias("__h")).withColumn(
-        "__cell", F.substring("__h", 1, CELL_DIGITS)
-    )
-    counts = rows.groupBy("__grp", "__cell").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("__grp").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("__grp").alias("__g"),
-        F.col("__cell").alias("__c"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"),
-    )
-    inside = Window.partitionBy("__grp", "__cell").orderBy("__h", quoted(id_column))
-    ranked = rows.withColumn("__rank", F.row_number().over(inside))
-    same = F.col("__grp").eqNullSafe(F.col("__g")) & (F.col("__cell") == F.col("__c"))
-    return ranked.join(starts, same).select(
-        *[quoted(c) for c in df.columns], (F.col("__start") + F.col("__rank")).alias(out)
+    rows = settle(
+        df.select(
+            "*", _class(by).alias("__grp"), order_hash(quoted(id_column), seed).alias("__h"),
+            F.xxhash64(*[quoted(c).cast("string") for c in df.columns]).alias("__row"),
+        )
     )
+    order = [F.col("__grp"), F.col("__h"), quoted(id_column), F.col("__row")]
+    placed = prefix_sums(rows, order, F.lit(1), "__before", small_rows)
+    sizes = settle(rows.groupBy("__grp").agg(F.count("*").alias("__n")))
+    firsts = settle(prefix_sums(sizes, [F.col("__grp")], F.col("__n"), "__first", small_rows).drop("__n"))
+    # A missing class comes first in the order, so it starts at nothing.
+    joined = lookup_join(placed, firsts, ["__grp"], small_rows)
+    position = F.col("__before") - F.coalesce("__first", F.lit(0)) + 1
+    return joined.select(*[quoted(c) for c in df.columns], position.alias(out))
 
 
 @dataclass
 class Boundaries:
-    """Per class: ascending (hash, id) pairs; a row's part is the number it passes."""
+    """Per class (``grp``) the ascending ``cuts`` (hash, id): a row's part is the number of those it passes."""
 
     id_column: str
     by: str | None
     seed: int
-    cuts: dict[str, list[tuple[str, object]]]
+    table: DataFrame
+    small_rows: int = SMALL_ROWS
 
     def assign(self, df: DataFrame, out: str) -> DataFrame:
-        """Add the part of each row: comparisons only, rows stay where they are."""
+        """Add the part of each row. Where boundaries are few, rows stay where they are."""
         row_id = quoted(self.id_column)
-        group = quoted(self.by).cast("string") if self.by else F.lit("all")
-        hashed = df.withColumn("__h", order_hash(row_id, self.seed))
-        h = F.col("__h")
-        chain = F.when(F.lit(False), F.lit(0))
-        for name, cuts in self.cuts.items():
-            passed = F.lit(0)
-            for cut_hash, cut_id in cuts:
-                # A missing id comes first among those of its hash.
-                later = row_id.isNotNull() if cut_id is None else F.coalesce(row_id > F.lit(cut_id), F.lit(False))
-                after = (h > cut_hash) | ((h == cut_hash) & later)
-                passed = passed + after.cast("int")
-            chain = chain.when(group == name, passed)
-        return hashed.withColumn(out, chain).drop("__h")
+        hashed = df.select("*", order_hash(row_id, self.seed).alias("__h"), _class(self.by).alias("grp"))
+        joined = lookup_join(hashed, self.table, ["grp"], self.small_rows)
+
+        def passed(cut: Column) -> Column:
+            # A missing id comes first among those of its hash.
+            later = F.when(cut["id"].isNull(), row_id.isNotNull()).otherwise(F.coalesce(row_id > cut["id"], F.lit(False)))
+            return (F.col("__h") > cut["h"]) | ((F.col("__h") == cut["h"]) & later)
+
+        part = F.size(F.filter("cuts", passed))
+        return joined.select(*[quoted(c) for c in df.columns], part.alias(out))
 
 
 def class_cells(df: DataFrame, id_column: str, by: str | None, seed: int) -> DataFrame:
-    """(grp, cell, n): rows per hash cell of each class; 65,536 cells at most."""
+    """(grp, cell, n): rows per hash cell of each class; 65,536 cells of a class at most."""
     keys = _keyed(df, id_column, by, seed)
     return settle(keys.groupBy("grp", "cell").agg(F.count("*").alias("n")))
 
 
-def class_sizes(cells: DataFrame) -> dict[str, int]:
-    found = cells.groupBy("grp").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return {r["grp"]: r["n"] for r in sorted(found)}
+def class_sizes(cells: DataFrame) -> DataFrame:
+    """(grp, n), stored."""
+    return settle(cells.groupBy("grp").agg(F.sum("n").alias("n")))
 
 
 def fit_boundaries(
-    df: DataFrame, cells: DataFrame, id_column: str, by: str | None, seed: int, ranks: dict[str, Sequence[int]]
+    df: DataFrame, cells: DataFrame, id_column: str, by: str | None, seed: int, ranks: DataFrame, small_rows: int = SMALL_ROWS
 ) -> Boundaries:
-    """Hashes of the rows at the given 1-based ranks of each class's order.
+    """Hashes of the rows at the 1-based ``ranks`` (grp, part, rank) of each class's order.
 
-    Rank 0 stands for "before the first row".
+    Rank 0 stands for "before the first row". Everything stays a table, however
+    many classes there are. Rows of one id are one entry with a count.
     """
-    wanted = [(g, r) for g, rs in ranks.items() for r in sorted(set(rs)) if r > 0]
-    found: dict[tuple[str, int], tuple[str, object]] = {}
-    if wanted:
-        upto = Window.partitionBy("grp").orderBy("cell")
-        ends = cells.withColumn("end", F.sum("n").over(upto))
-        targets = df.sparkSession.createDataFrame(wanted, "grp string, rank bigint")
-        # A handful of targets against at most 65,536 cells per class.
-        start = F.col("end") - F.col("n")
-        homes = (
-            ends.join(F.broadcast(targets), "grp")
-            .where((F.col("rank") <= F.col("end")) & (F.col("rank") > start))
-            .select("grp", "cell", "rank", (F.col("rank") - start).alias("local"))
-            .collect()
-        )
-        places = df.sparkSession.createDataFrame(
-            [tuple(r) for r in homes], "grp string, cell string, rank bigint, local bigint"
-        )
-        names = sorted({r["cell"] for r in homes})
-        inside = Window.partitionBy("grp", "cell").orderBy("h", "id")
-        keys = _keyed(df, id_column, by, seed)
-        near = keys.where(F.col("cell").isin(names)).withColumn("local", F.row_number().over(inside))
-        hits = near.join(F.broadcast(places), ["grp", "cell", "local"]).select("grp", "rank", "h", "id")
-        found = {(r["grp"], r["rank"]): (r["h"], r["id"]) for r in hits.collect()}
+    ranks = settle(ranks)
+    upto = Window.partitionBy("grp").orderBy("cell")
+    ends = cells.withColumn("end", F.sum("n").over(upto))
+    start = F.col("end") - F.col("n")
+    homes = settle(
+        ends.join(ranks, "grp")
+        .where((F.col("rank") <= F.col("end")) & (F.col("rank") > start))
+        .select("grp", "cell", "part", (F.col("rank") - start).alias("local"))
+    )
+    near = _keyed(df, id_column, by, seed).join(homes.select("grp", "cell").distinct(), ["grp", "cell"], "left_semi")
+    entries = near.groupBy("grp", "cell", "h", "id").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy("grp", "cell").orderBy("h", "id")
+    last = entries.withColumn("last", F.sum("n").over(inside))
+    hits = last.join(homes, ["grp", "cell"]).where(
+        (F.col("local") <= F.col("last")) & (F.col("local") > F.col("last") - F.col("n"))
+    )
     # Every hash is greater than the empty text, so rank 0 is passed by all rows.
-    before_all = ("", "" if df.schema[id_column].dataType.typeName() == "string" else 0)
-    cuts = {g: [found[(g, r)] if r > 0 else before_all for r in rs] for g, rs in ranks.items()}
-    return Boundaries(id_column, by, seed, cuts)
+    none = ranks.where("rank = 0").select("grp", "part", F.lit("").alias("h"), F.lit(None).cast(df.schema[id_column].dataType).alias("id"))
+    cuts = hits.select("grp", "part", "h", "id").unionByName(none)
+    table = cuts.groupBy("grp").agg(F.collect_list(F.struct("h", "id")).alias("cuts"))
+    return Boundaries(id_column, by, seed, settle(table), small_rows)
+
+
+def _whole_ranks(df: DataFrame, ranks: Sequence[int]) -> DataFrame:
+    rows = [("all", i, r) for i, r in enumerate(ranks)]
+    return df.sparkSession.createDataFrame(rows, "grp string, part int, rank long")
+
+
+def _size_of_all(cells: DataFrame) -> int:
+    return cells.agg(F.sum("n")).first()[0] or 0
 
 
 def split_by_share(df: DataFrame, id_column: str, train_share: float, seed: int = 42, out: str = "split") -> DataFrame:
     """The first ``floor(share * n)`` rows of the seeded order are train."""
     cells = class_cells(df, id_column, None, seed)
-    k = int(class_sizes(cells).get("all", 0) * Fraction(str(train_share)))
-    cut = fit_boundaries(df, cells, id_column, None, seed, {"all": [k]})
+    k = int(_size_of_all(cells) * Fraction(str(train_share)))
+    cut = fit_boundaries(df, cells, id_column, None, seed, _whole_ranks(df, [k]))
     return _tagged(cut.assign(df, out), out, "train", "test")
 
 
 def _tagged(df: DataFrame, out: str, first: str, second: str) -> DataFrame:
-    return df.withColumn(out, F.when(F.col(out) == 0, F.lit(first)).otherwise(F.lit(second)))
+    return df.withColumn(out, F.when(F.col(out) <= 0, F.lit(first)).otherwise(F.lit(second)))
 
 
-def class_quotas(sizes: dict[str, int], total: int) -> dict[str, int]:
-    """Share ``total`` out to classes by size, largest remainders first."""
-    n = max(sum(sizes.values()), 1)
-    exact = {g: Fraction(total * s, n) for g, s in sizes.items()}
-    quota = {g: int(e) for g, e in exact.items()}
-    by_remainder = sorted(sizes, key=lambda g: (quota[g] - exact[g], g))
-    for g in by_remainder[: total - sum(quota.values())]:
-        quota[g] += 1
-    return quota
+def class_quotas(sizes: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """(grp, quota): ``total`` shared out to classes (grp, n) by size, largest remainders first; exact."""
+    n = max(sizes.agg(F.sum("n")).first()[0] or 0, 1)
+    wide = F.col("n").cast("decimal(38,0)") * F.lit(total).cast("decimal(19,0)")
+    shares = settle(
+        sizes.select("grp", wide.alias("share")).select(
+            "grp", F.expr(f"share DIV {n}").cast("long").alias("base"), F.expr(f"share % {n}").alias("rest")
+        )
+    )
+    left = total - (shares.agg(F.sum("base")).first()[0] or 0)
+    ordered = prefix_sums(shares, [F.desc("rest"), F.col("grp")], F.lit(1), "before", small_rows)
+    return ordered.select("grp", (F.col("base") + (F.col("before") < left).cast("long")).alias("quota"))
 
 
 def stratified_split(
-    df: DataFrame, id_column: str, label: str, test_share: float = 0.20, seed: int = 42, out: str = "split"
+    df: DataFrame, id_column: str, label: str, test_share: float = 0.20, seed: int = 42, out: str = "split",
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Holdout of ``ceil(share * n)`` rows with the classes in proportion.
 
-    Rows without a label are dropped.
+    Rows without a label are dropped. Rows without id stay together in a class.
     """
     cells = class_cells(df, id_column, label, seed)
     sizes = class_sizes(cells)
-    n_test = math.ceil(sum(sizes.values()) * Fraction(str(test_share)))
-    quota = class_quotas(sizes, n_test)
-    cut = fit_boundaries(df, cells, id_column, label, seed, {g: [q] for g, q in quota.items()})
+    n_test = math.ceil(_size_of_all(sizes) * Fraction(str(test_share)))
+    ranks = class_quotas(sizes, n_test, small_rows).select("grp", F.lit(0).alias("part"), F.col("quota").alias("rank"))
+    cut = fit_boundaries(df, cells, id_column, label, seed, ranks, small_rows)
     return _tagged(cut.assign(df.where(quoted(label).isNotNull()), out), out, "test", "train")
 
 
-def _fold_sizes(n: int, k: int, skip: int = 0) -> list[int]:
-    """Sizes of k folds over n rows; larger folds start after ``skip`` folds."""
-    base, rest = divmod(n, k)
-    return [base + (1 if (i - skip) % k < rest else 0) for i in range(k)]
+def _fold_ends(n: Column, k: int, skip: Column) -> Column:
+    """Ranks at which the first k - 1 of k folds over n rows end; larger folds start after ``skip`` folds."""
+    ends = []
+    for i in range(k - 1):
+        larger = sum(((F.pmod(F.lit(j) - skip, F.lit(k)) < n % k).cast("long") for j in range(i + 1)), F.lit(0))
+        ends.append(F.floor(n / k) * (i + 1) + larger)
+    return F.posexplode(F.array(*ends)).alias("part", "rank")
 
 
-def _ends(sizes: Sequence[int]) -> list[int]:
-    total, ends = 0, []
-    for s in sizes[:-1]:
-        total += s
-        ends.append(total)
-    return ends
+def _folded(df: DataFrame, out: str) -> DataFrame:
+    return df.withColumn(out, F.greatest(F.col(out), F.lit(0)))
 
 
 def k_folds(df: DataFrame, id_column: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Folds 0..k-1: consecutive blocks of the seeded order."""
     cells = class_cells(df, id_column, None, seed)
-    n = class_sizes(cells).get("all", 0)
-    cut = fit_boundaries(df, cells, id_column, None, seed, {"all": _ends(_fold_sizes(n, k))})
-    return cut.assign(df, out)
+    if k == 1:
+        return df.withColumn(out, F.lit(0))
+    n = _size_of_all(cells)
+    ranks = df.sparkSession.createDataFrame([("all", n)], "grp string, n long").select("grp", _fold_ends(F.col("n"), k, F.lit(0)))
+    cut = fit_boundaries(df, cells, id_column, None, seed, ranks)
+    return _folded(cut.assign(df, out), out)
 
 
 def stratified_folds(
-    df: DataFrame, id_column: str, label: str, k: int = 5, seed: int = 42, out: str = "fold"
+    df: DataFrame, id_column: str, label: str, k: int = 5, seed: int = 42, out: str = "fold", small_rows: int = SMALL_ROWS
 ) -> DataFrame:
     """Folds with the classes in proportion; fold sizes differ by one row at most.
 
     Each class is cut into k consecutive blocks; the larger blocks of a class
-    follow on from those of the class before it. Rows without a label are dropped.
+    follow on from those of the class before it. Rows without a label are
+    dropped, rows without id stay together in a class.
     """
-    ranks, skip = {}, 0
+    labelled = df.where(quoted(label).isNotNull())
+    if k == 1:
+        return labelled.withColumn(out, F.lit(0))
     cells = class_cells(df, id_column, label, seed)
-    for g, n in class_sizes(cells).items():
-        ranks[g] = _ends(_fold_sizes(n, k, skip))
-        skip = (skip + n) % k
-    cut = fit_boundaries(df, cells, id_column, label, seed, ranks)
-    return cut.assign(df.where(quoted(label).isNotNull()), out)
+    before = prefix_sums(class_sizes(cells), [F.col("grp")], F.col("n"), "before", small_rows)
+    ranks = before.select("grp", _fold_ends(F.col("n"), k, F.col("before") % k))
+    cut = fit_boundaries(df, cells, id_column, label, seed, ranks, small_rows)
+    return _folded(cut.assign(labelled, out), out)
 
 
 def seeded_sample(df: DataFrame, id_column: str, n: int, seed: int = 42) -> DataFrame:

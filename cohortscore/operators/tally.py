@@ -64,7 +64,8 @@ def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int | None
     """Running class counts from the highest value down.
 
     Adds to each tally row ``tp`` and ``fp``, the positives and negatives at or
-    above ``x``, and the feature's totals. A global order cannot be summed in
+    above ``x``, the tally of the next lower value (``next_pos``, ``next_neg``,
+    missing at the lowest), and the feature's totals. A global order cannot be summed in
     one window task at scale, so the rows are placed in cells: a short running
     sum over the cell totals gives each cell its start, and the rows of each
     cell are summed where they are. ``bounded=True`` promises a tally that is
@@ -81,9 +82,11 @@ def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int | None
         F.min("x").alias("cell_min"),
         F.max("x").alias("cell_max"),
         F.count("x").alias("cell_rows"),
+        F.max_by(F.struct("pos", "neg"), "x").alias("cell_top"),
     )
     above = Window.partitionBy("feature").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
+    downwards = Window.partitionBy("feature").orderBy(F.desc("cell"))
     starts = cells.select(
         "feature",
         "cell",
@@ -94,6 +97,7 @@ def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int | None
         F.min("cell_min").over(whole).alias("x_min"),
         F.max("cell_max").over(whole).alias("x_max"),
         F.sum("cell_rows").over(whole).alias("n_distinct"),
+        F.lead("cell_top").over(downwards).alias("below"),
     )
     inside = (
         Window.partitionBy("feature", "cell").orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, 0)
@@ -106,6 +110,7 @@ def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int | None
         "neg",
         F.sum("pos").over(inside).alias("pos_here"),
         F.sum("neg").over(inside).alias("neg_here"),
+        F.lead(F.struct("pos", "neg")).over(Window.partitionBy("feature", "cell").orderBy(F.desc("x"))).alias("next"),
     )
     # ``starts`` has no more rows than there are cells and features together.
     return local.join(F.broadcast(starts), ["feature", "cell"]).select(
@@ -115,6 +120,8 @@ def ordered_points(t: DataFrame, *, bounded: bool = False, cell_rows: int | None
         "neg",
         (F.col("pos_here") + F.col("pos_above")).alias("tp"),
         (F.col("neg_here") + F.col("neg_above")).alias("fp"),
+        F.coalesce("next", "below")["pos"].alias("next_pos"),
+        F.coalesce("next", "below")["neg"].alias("next_neg"),
         "p_total",
         "n_total",
         "x_min",

@@ -56,8 +56,10 @@ def test_positions_are_a_permutation(spark):
         assert mine == list(range(1, len(mine) + 1))
 
 
-def test_quotas_share_out_everything():
-    assert class_quotas({"0": 174, "1": 29}, 41) == {"0": 35, "1": 6}
+def test_quotas_share_out_everything(spark):
+    sizes = spark.createDataFrame([("0", 174), ("1", 29)], "grp string, n long")
+    for small in (0, 10):
+        assert {r["grp"]: r["quota"] for r in class_quotas(sizes, 41, small).collect()} == {"0": 35, "1": 6}
 
 
 def test_one_hot(spark):
