@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortscore.llm import exact, language, mixing, packing, similar
+from cohortscore.llm import exact, language, mixing, packing, simhash
 from cohortscore.session import settle
 
 
@@ -24,8 +24,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that Jaccard 0.8 of five-word shingles holds together."""
-    return similar.drop_similar(docs)
+    """The smallest doc_id of each group whose fingerprints of four-word shingles link within four bits."""
+    return simhash.drop_near_copies(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: SQL has no compression, XXH64 or tokenizer; tests compare the stages with brute force.
+#: SQL has no compression, XXH64 or tokenizer; a test compares the whole run with brute force.
 ORACLE_SQL = None
 
 

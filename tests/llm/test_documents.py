@@ -13,7 +13,7 @@ import xxhash
 import corpus_pipeline
 from cases import awkward_rows, documents
 
-from cohortscore.llm import exact, language, licenses, mixing, packing, queries, simhash, similar, substrings
+from cohortscore.llm import exact, language, licenses, mixing, packing, queries, simhash, substrings
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -370,47 +370,67 @@ def test_simhash_of_an_empty_table(empty):
     assert simhash.near_groups(empty).count() == simhash.drop_near_copies(empty).count() == 0
 
 
-def five_words(text):
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+# The pipeline ----------------------------------------------------------------
 
 
-def jaccard(a, b):
-    return len(a & b) / len(a | b)
-
-
-@pytest.mark.parametrize("part", [1_000_000, 60])
-def test_similar_texts_are_dropped(spark, awkward, part):
-    dice = random.Random(8)
-    rows = []
-    for _ in range(12):
-        words = [f"w{dice.randrange(400)}" for _ in range(200)]
-        for changes in (0, 1, 2, 3, 4, 5, 8, 12):
-            text = list(words)
-            for at in dice.sample(range(200), changes):
-                text[at] = "other"
-            rows.append((len(rows) + 100, " ".join(text), "en", "a"))
-    sets = [five_words(t) for _, t, *_ in rows]
-    pairs = [(a, b) for a, b in combinations(range(len(rows)), 2) if jaccard(sets[a], sets[b]) >= 0.8]
-    far = [p for p in pairs if (fingerprint_by_hand(rows[p[0]][1]) ^ fingerprint_by_hand(rows[p[1]][1])).bit_count() > 4]
-    assert far, "pairs that the digest's radius does not link"
-    for given, table in ((rows, documents(spark, rows)), (awkward_rows(), awkward)):
-        want = reach([five_words(t) for _, t, *_ in given], [d for d, *_ in given], lambda a, b: jaccard(a, b) >= 0.8)
-        kept = similar.drop_similar(table, part_shingles=part)
-        assert kept.columns == table.columns
-        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, set(want)))
-
-
-def test_similar_texts_of_an_empty_table(empty):
-    assert similar.drop_similar(empty).count() == 0
-
+def pipeline_by_hand(rows, classifier):
+    """The pieces (doc_id, start, ids) that the five stages leave of (doc_id, text, lang, source) rows."""
+    rows = [r for r in rows if classifier.predict(r[1])[1] >= language.MARGIN]
+    last = {}
+    for r in rows:
+        if lowered(r[1]) not in last or last[lowered(r[1])][0] < r[0]:
+            last[lowered(r[1])] = r
+    rows = list(last.values())
+    prints = [fingerprint_by_hand(r[1]) for r in rows]
+    firsts = reach(prints, [r[0] for r in rows], lambda a, b: (a ^ b).bit_count() <= 4)
+    rows = [r for r, first in zip(rows, firsts) if r[0] == first]
+    _, total, target = mix_by_hand(rows)
+    texts = []
+    for source, size in total.items():
+        left, epochs = int(target[source]) % size if size else 0, int(target[source]) // size if size else 0
+        own = sorted((r for r in rows if r[3] == source), key=lambda r: hashlib.md5(f"mix:{r[0]}".encode()).hexdigest())
+        for doc, text, *_ in own:
+            words = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text)
+            part = min(len(words), left)
+            left -= part
+            texts += [(doc, text)] * epochs if words else []
+            texts += [(doc, text if part == len(words) else "".join(words[:part]))] if part else []
+    from tokenizers import Tokenizer
 
-def test_pipeline_stage_drops_what_is_similar(spark):
-    words = [f"w{k}" for k in range(100)]
-    other = words[:50] + ["other"] + words[51:]
-    more = words[:20] + ["more"] + words[21:]
-    docs = documents(spark, [(1, " ".join(words), "en", "a"), (2, " ".join(other), "en", "a"), (3, " ".join(more), "en", "a")])
-    assert [r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()] == [1]
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    found = Counter()
+    for doc, text in texts:
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        for at in range(0, len(ids), 1024):
+            found[doc, at, np.array(ids[at : at + 1024], dtype="<u4").tobytes()] += 1
+    return found
+
+
+def test_pipeline_equals_its_stages_by_hand(spark, small):
+    given = spark.read.parquet(f"{small}/documents.parquet")
+    classifier = language.Classifier(language.learn(given))
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in given.collect()]
+    got = corpus_pipeline.run(spark, small).collect()
+    assert Counter((r.doc_id, r.start, bytes(r.ids)) for r in got) == pipeline_by_hand(rows, classifier)
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for pieces in places.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+
+
+def test_pipeline_stage_drops_what_links_within_four_bits(spark):
+    words = [f"w{k}" for k in range(400)]
+    near = " ".join([*words[:200], "other", *words[201:]])
+    far = " ".join(f"v{k}" for k in range(400))
+    prints = [fingerprint_by_hand(t) for t in (" ".join(words), near, far)]
+    assert (prints[0] ^ prints[1]).bit_count() <= 4 < (prints[0] ^ prints[2]).bit_count()
+    docs = documents(spark, [(1, " ".join(words), "en", "a"), (2, near, "en", "a"), (3, far, "en", "a")])
+    assert sorted(r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()) == [1, 3]
 
 
 # Licenses --------------------------------------------------------------------

@@ -249,7 +249,7 @@ def test_query_equals_its_sql(spark, small, duck, name):
 
 
 def test_a_query_for_each_operator():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13
 
 
 def test_pipeline_stages(spark, small, awkward, empty):
