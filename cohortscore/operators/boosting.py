@@ -6,6 +6,9 @@ through the trees so far, adds up first and second derivatives of the logistic
 loss per (model, node, feature, bin), and Spark adds the partitions up. Splits
 are found on those sums, whose size depends on bins and nodes alone.
 
+Where the rows are few enough for one task, which is counted, each model of a
+search grows in a task of its own instead, by the same steps.
+
 Several models grow together, one job a level for all of them: the models of a
 cross validation differ in the fold that they leave out and may differ in their
 settings. The rows' scores under the trees so far are stored every few rounds,
@@ -38,6 +41,8 @@ MAX_BINS = 64
 MISSING = 255
 #: Rounds after which the rows' scores are stored anew, and whose prefixes are judged in one pass.
 BLOCK_ROUNDS = 16
+#: Rows up to which each model grows in one task, about a hundred bytes each.
+TASK_ROWS = 200_000
 #: Partitions whose sums the driver adds up itself; more are added up by Spark.
 FAN_IN = 64
 _SLICE = 16_384
@@ -178,33 +183,52 @@ def leaf_gain(g: np.ndarray, h: np.ndarray, s: Settings) -> np.ndarray:
     return -(2 * g * w + (h + s.reg_lambda) * w * w + 2 * s.reg_alpha * np.abs(w))
 
 
-def best_split(sums: np.ndarray, spans: np.ndarray, allowed: np.ndarray, s: Settings) -> tuple[float, int, int, bool] | None:
-    """gain, feature, last bin to the left, whether missing values go left; None if no split is worth it.
+def best_splits(
+    sums: np.ndarray, spans: np.ndarray, allowed: np.ndarray, s: Settings
+) -> list[tuple[float, int, int, bool] | None]:
+    """For each node of (nodes, bins, 2): gain, feature, last bin to the left, whether missing values go left.
 
-    Of equal gains the first feature and the lowest bin win, missing values going left before right.
+    None if no split is worth it. Of equal gains the first feature and the
+    lowest bin win, missing values going left before right.
     """
     first, last = spans[:-1], spans[1:] - 1
     feature = np.repeat(np.arange(len(first)), np.diff(spans))
-    running = np.cumsum(sums, axis=0)
-    before = np.where(first[:, None] > 0, running[first - 1], 0.0)
-    missing = sums[last]
-    whole = (running[last] - before)[0]
-    below = running - before[feature]
-    parent = leaf_gain(whole[:1], whole[1:], s)[0]
-    best = None
+    running = np.cumsum(sums, axis=1)
+    before = np.where(first[None, :, None] > 0, running[:, first - 1], 0.0)
+    missing = sums[:, last]
+    whole = (running[:, last] - before)[:, :1]
+    below = running - before[:, feature]
+    parent = leaf_gain(whole[..., 0], whole[..., 1], s)
+    barred = ~allowed[feature]
+    barred[last] = True
+    best: list[tuple[float, int, int, bool] | None] = [None] * len(sums)
     for missing_left in (True, False):
-        left = below + (missing[feature] if missing_left else 0.0)
+        left = below + missing[:, feature] if missing_left else below
         right = whole - left
-        gain = leaf_gain(left[:, 0], left[:, 1], s) + leaf_gain(right[:, 0], right[:, 1], s) - parent
-        heavy = np.minimum(left[:, 1], right[:, 1]) >= max(s.min_child_weight, 1e-12)
-        gain[~heavy | ~allowed[feature]] = -np.inf
-        gain[last] = -np.inf
-        at = int(np.argmax(gain))
-        if gain[at] > max(_LEAST_GAIN, s.gamma) and (best is None or gain[at] > best[0] + 1e-12):
-            best = (float(gain[at]), int(feature[at]), int(at - first[feature[at]]), missing_left)
+        gain = leaf_gain(left[..., 0], left[..., 1], s) + leaf_gain(right[..., 0], right[..., 1], s) - parent
+        light = np.minimum(left[..., 1], right[..., 1]) < max(s.min_child_weight, 1e-12)
+        gain[light | barred] = -np.inf
+        for node, at in enumerate(np.argmax(gain, axis=1).tolist()):
+            own = float(gain[node, at])
+            if own > max(_LEAST_GAIN, s.gamma) and (best[node] is None or own > best[node][0] + 1e-12):
+                best[node] = (own, int(feature[at]), int(at - first[feature[at]]), missing_left)
     return best
 
 
+def open_level(tree: Tree, nodes: list[int], sums: np.ndarray, spans: np.ndarray, allowed: np.ndarray, s: Settings, depth: int) -> list[int]:
+    """Values of the open ``nodes`` from their sums, and the nodes that their splits open."""
+    whole = sums[:, : spans[1]].sum(axis=1)
+    for node, value in zip(nodes, leaf_value(whole[:, 0], whole[:, 1], s).tolist()):
+        tree.value[node] = s.eta * value
+    opened = []
+    if depth < s.max_depth:
+        for node, found in zip(nodes, best_splits(sums, spans, allowed, s)):
+            if found:
+                gain, feature, cut, missing_left = found
+                opened += tree.split(node, feature, cut, missing_left, gain)
+    return opened
+
+
 # ---- growing ---------------------------------------------------------------
 
 
@@ -226,7 +250,6 @@ class Model:
     seed: int
     trees: list[Tree] = field(default_factory=list)
     areas: list[float | None] = field(default_factory=list)
-    done: bool = False
 
     def salt(self) -> int:
         return (self.seed * 1_000_003 + self.number) * 1_000_003 + len(self.trees)
@@ -239,14 +262,19 @@ class Model:
         return allowed
 
     def best_round(self) -> int:
-        """The number of trees of the prefix with the largest area, the shortest of equals; all without areas."""
-        judged = [(a, -i) for i, a in enumerate(self.areas) if a is not None]
-        return -max(judged)[1] + 1 if judged else len(self.trees)
+        """The prefix with the largest area before patience ends, the shortest of equals; all trees without areas."""
+        best, at, patience = None, len(self.trees), self.settings.patience
+        for n, area in enumerate(self.areas, 1):
+            if patience is not None and best is not None and n - 1 - at >= patience:
+                break
+            if area is not None and (best is None or area > best):
+                best, at = area, n
+        return at
 
     def finished(self) -> bool:
         s = self.settings
         stale = s.patience is not None and len(self.areas) - self.best_round() >= s.patience
-        return self.done or stale or len(self.trees) >= s.rounds
+        return stale or len(self.trees) >= s.rounds
 
 
 def read_rows(batch: pa.RecordBatch, n_features: int, n_models: int) -> tuple[np.ndarray, ...]:
@@ -342,14 +370,7 @@ def grow_round(rows: DataFrame, models: Sequence[Model], since: list[int], spans
         sums = grow_level(rows, models, growing, since, spans, fan_in)
         further = {}
         for m, (tree, nodes) in growing.items():
-            s, opened = models[m].settings, []
-            for node, own in zip(nodes, sums[m]):
-                whole = own[: spans[1]].sum(axis=0)
-                tree.value[node] = s.eta * float(leaf_value(whole[:1], whole[1:], s)[0])
-                found = best_split(own, spans, allowed[m], s) if depth < s.max_depth else None
-                if found:
-                    gain, feature, cut, missing_left = found
-                    opened += tree.split(node, feature, cut, missing_left, gain)
+            opened = open_level(tree, nodes, sums[m], spans, allowed[m], models[m].settings, depth)
             if opened:
                 further[m] = (tree, opened)
         growing, depth = further, depth + 1
@@ -385,6 +406,65 @@ def judge_prefixes(rows: DataFrame, models: Sequence[Model], since: list[int], n
         m.areas.append(areas.get(name))
 
 
+# ---- in one task -----------------------------------------------------------
+
+
+def average_precision(y: np.ndarray, score: np.ndarray) -> float | None:
+    """Step-wise area of precision over recall, ties as one step; None with one class."""
+    positives = y.sum()
+    if not len(y) or positives in (0, len(y)):
+        return None
+    order = np.argsort(-score, kind="stable")
+    ends = np.flatnonzero(np.append(np.diff(score[order]) != 0, True))
+    hits = np.cumsum(y[order])[ends]
+    return float(np.sum(np.diff(hits, prepend=0.0) / positives * hits / (ends + 1)))
+
+
+def grow_alone(model: Model, key: np.ndarray, y: np.ndarray, fold: np.ndarray, bins: np.ndarray, spans: np.ndarray) -> None:
+    """All trees of one model from rows in memory, as ``grow_round`` and ``judge_prefixes`` give them."""
+    s = model.settings
+    margin = np.zeros(len(y))
+    mine = np.ones(len(y), dtype=bool) if model.leaves_out is None else fold != model.leaves_out
+    weight = np.where(y == 1, s.scale_pos_weight, 1.0)
+    while not model.finished():
+        taken = mine & (uniform(key, model.salt()) < s.subsample) if s.subsample < 1.0 else mine
+        own = bins[taken]
+        p = 1.0 / (1.0 + np.exp(-margin[taken]))
+        grad, hess = weight[taken] * (p - y[taken]), weight[taken] * p * (1 - p)
+        tree, nodes, depth, allowed = Tree(), [0], 0, model.columns(len(spans) - 1)
+        while nodes:
+            slot = np.full(len(tree.feature), -1)
+            slot[nodes] = np.arange(len(nodes))
+            sums = level_sums(own, slot[tree.nodes(own)], grad, hess, len(nodes), spans)
+            nodes, depth = open_level(tree, nodes, sums, spans, allowed, s, depth), depth + 1
+        model.trees.append(tree)
+        margin = margin + tree.scores(bins)
+        if s.patience is not None:
+            model.areas.append(average_precision(y[~mine], margin[~mine]))
+
+
+def grow_in_tasks(rows: DataFrame, models: Sequence[Model], spans: np.ndarray) -> None:
+    """Each model in a task of its own; ``rows`` are few, and go to all tasks."""
+    spark, n_features = rows.sparkSession, len(spans) - 1
+    table = rows.select("key", "y", "fold", "bins").orderBy("key").toArrow().combine_chunks()
+    held = spark.sparkContext.broadcast((read_rows(table.to_batches()[0], n_features, 1)[:4], list(models)))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (key, y, fold, bins), all_models = held.value
+            for number in batch.column(0).to_pylist():
+                model = all_models[number]
+                grow_alone(model, key, y, fold, bins, spans)
+                text = json.dumps({"trees": [asdict(t) for t in model.trees], "areas": model.areas})
+                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([text])], names=["number", "text"])
+
+    numbers = spark.createDataFrame([(m.number,) for m in models], "number long").repartition(len(models), "number")
+    for row in numbers.mapInArrow(task, "number long, text string").collect():
+        found = json.loads(row["text"])
+        models[row["number"]].trees = [Tree(**t) for t in found["trees"]]
+        models[row["number"]].areas = found["areas"]
+
+
 @dataclass
 class BoostedModel:
     """A fitted model: features, the cuts of their bins, trees up to the best prefix, and how it was judged."""
@@ -443,16 +523,20 @@ class BoostedModel:
 
 
 def fit_many(
-    df: DataFrame, features: Sequence[str], label: str, id_column: str, settings: Sequence[Settings],
+    df: DataFrame, features: Sequence[str], label: str, id_column: str | None, settings: Sequence[Settings],
     leaves_out: Sequence[int | None], fold: str | None = None, seed: int = 42, max_bins: int = MAX_BINS,
-    block_rounds: int = BLOCK_ROUNDS, fan_in: int = FAN_IN,
+    task_rows: int = TASK_ROWS, block_rounds: int = BLOCK_ROUNDS, fan_in: int = FAN_IN,
 ) -> list[BoostedModel]:
     """Models of ``settings`` that grow together, each without the rows of the fold that it leaves out.
 
+    Up to ``task_rows`` rows, which are counted, each model grows in a task of
+    its own, so that a search with many models is as parallel as they are many.
+    More rows stay where they are and all models grow level by level.
+
     Rows without a label are not used. Missing values go to the side of each
     split that gains more. Rows are sampled by a hash of their id, so a rerun
     gives the same trees up to the order of sums. Bins are fitted on all
-    labelled rows, label not seen. A model with a patience needs a fold to
+    labelled rows, label not seen. Without an id column the whole row is the id. A model with a patience needs a fold to
     leave out. An empty table gives models without trees.
     """
     models = [Model(i, s, out, seed) for i, (s, out) in enumerate(zip(settings, leaves_out))]
@@ -461,15 +545,19 @@ def fit_many(
     y = to_double(df, label)
     known = df.where(y.isNotNull())
     cuts = fit_cuts(known, features, max_bins)
+    identity = [id_column] if id_column else df.columns
     keep = {
-        "key": F.xxhash64(quoted(id_column).cast("string")), "y": (to_double(known, label) > 0).cast("double"),
+        "key": F.xxhash64(*[quoted(c).cast("string") for c in identity]), "y": (to_double(known, label) > 0).cast("double"),
         "fold": (quoted(fold) if fold else F.lit(-1)).cast("int"),
     }
     rows = settle(binned_rows(known, features, cuts, keep))
     spans = np.concatenate(([0], np.cumsum([len(c) + 2 for c in cuts])))
     since = [0] * len(models)
-    if rows.isEmpty():
+    n = rows.count()
+    if not n:
         return [BoostedModel(list(features), cuts, [], m.settings) for m in models]
+    if n <= task_rows:
+        grow_in_tasks(rows, models, spans)
     while not all(m.finished() for m in models):
         for _ in range(block_rounds):
             grow_round(rows, models, since, spans, fan_in)
@@ -481,7 +569,7 @@ def fit_many(
 
 
 def fit(
-    df: DataFrame, features: Sequence[str], label: str, id_column: str, settings: Settings = Settings(),
+    df: DataFrame, features: Sequence[str], label: str, id_column: str | None = None, settings: Settings = Settings(),
     held: str | None = None, seed: int = 42, **options,
 ) -> BoostedModel:
     """One model; rows whose boolean ``held`` is true only decide where its trees end."""

@@ -72,16 +72,19 @@ def close(a, b):
     return not isinstance(b, tuple) and abs(a - b) < 1e-7
 
 
+#: Rows stay where they are, or each model grows in a task.
+WAYS = [0, 10_000]
 PLAIN = {"rounds": 3, "max_depth": 3, "subsample": 1.0, "colsample": 1.0}
 
 
+@pytest.mark.parametrize("task_rows", WAYS)
 @pytest.mark.parametrize(
     "extra",
     [{}, {"reg_lambda": 7.0, "reg_alpha": 3.0}, {"gamma": 6.0}, {"min_child_weight": 40.0}, {"max_delta_step": 0.2, "reg_alpha": 1.0}],
 )
-def test_trees_equal_a_plain_search(rows, extra):
+def test_trees_equal_a_plain_search(rows, extra, task_rows):
     s = Settings(**{**PLAIN, **extra})
-    model = fit(rows, FEATURES, "y", "id", s)
+    model = fit(rows, FEATURES, "y", "id", s, task_rows=task_rows)
     got = {r["id"]: r for r in rows.collect()}
     x = np.array([[np.nan if got[i][f] is None else got[i][f] for f in FEATURES] for i in sorted(got)], dtype=float)
     y = np.array([got[i]["y"] for i in sorted(got)], dtype=float)
@@ -96,16 +99,17 @@ def test_trees_equal_a_plain_search(rows, extra):
 
 def test_sums_by_the_driver_and_by_spark_are_the_same(rows):
     s = Settings(rounds=3, max_depth=3)
-    one, two = (fit(rows, FEATURES, "y", "id", s, fan_in=n) for n in (64, 0))
+    one, two = (fit(rows, FEATURES, "y", "id", s, task_rows=0, fan_in=n) for n in (64, 0))
     assert [t.feature for t in one.trees] == [t.feature for t in two.trees]
     assert np.allclose(one.trees[-1].value, two.trees[-1].value)
 
 
 def test_trees_do_not_depend_on_partitions_or_blocks(rows):
     s = Settings(rounds=5, max_depth=3)
-    one, two = fit(rows, FEATURES, "y", "id", s), fit(rows.repartition(5), FEATURES, "y", "id", s, block_rounds=2)
-    assert [t.feature for t in one.trees] == [t.feature for t in two.trees]
-    assert np.allclose(one.trees[-1].value, two.trees[-1].value)
+    one = fit(rows, FEATURES, "y", "id", s)
+    for other in (fit(rows.repartition(5), FEATURES, "y", "id", s, task_rows=0, block_rounds=2), fit(rows, FEATURES, "y", "id", s, task_rows=0)):
+        assert [t.feature for t in one.trees] == [t.feature for t in other.trees]
+        assert np.allclose(one.trees[-1].value, other.trees[-1].value)
 
 
 def average_precision(y, p):
@@ -119,10 +123,11 @@ def average_precision(y, p):
     return area
 
 
-def test_early_stopping_keeps_the_best_prefix(rows):
+@pytest.mark.parametrize("task_rows", WAYS)
+def test_early_stopping_keeps_the_best_prefix(rows, task_rows):
     tagged = rows.withColumn("held", F.col("id") % 3 == 0)
     s = Settings(rounds=40, max_depth=4, eta=0.6, patience=5)
-    model = fit(tagged, FEATURES, "y", "id", s, held="held", block_rounds=4)
+    model = fit(tagged, FEATURES, "y", "id", s, held="held", task_rows=task_rows, block_rounds=4)
     grown = len(model.areas)
     held = tagged.where("held")
     y = np.array([r["y"] for r in held.orderBy("id").collect()], dtype=float)
@@ -131,9 +136,11 @@ def test_early_stopping_keeps_the_best_prefix(rows):
     table = model.score(held, "p", prefixes).orderBy("id").toPandas()
     areas = [average_precision(y, table[f"p_{k}"].to_numpy()) for k in prefixes]
     assert np.allclose(areas, model.areas[: len(areas)])
-    best = max(range(grown), key=lambda i: (model.areas[i], -i)) + 1
-    assert len(model.trees) == best and grown < s.rounds
-    assert grown - best >= s.patience and grown - best < s.patience + 4  # the block in which patience ran out
+    best = 0
+    while best < grown and any(a > model.areas[best] for a in model.areas[best + 1 : best + 1 + s.patience]):
+        best = next(i for i in range(best + 1, grown) if model.areas[i] > model.areas[best])
+    assert len(model.trees) == best + 1 and grown < s.rounds
+    assert 0 <= grown - (best + 1) - s.patience < 4  # the block in which patience ran out
 
 
 def test_models_of_folds_grow_together(rows):
