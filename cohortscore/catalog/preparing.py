@@ -26,14 +26,15 @@ from cohortscore.operators.columns import (
     keep_unless, lookup, move_to_front, non_finite_count, prepare_frame, range_lookup, rename_columns, schema_diff,
     select_numeric, select_ranked,
 )
-from cohortscore.operators.encode import cast_all_int, fit_one_hot, int_residue
+from cohortscore.operators.encode import cast_all_int, fit_category_table, fit_one_hot, int_residue
 from cohortscore.operators.profile import (
     best_jobs, class_balance, class_weights, correlations, describe_numeric, describe_text, distinct_over,
-    long_values, modes, null_counts, profile_counts, top_categories, value_counts, weight_bounds,
+    full_profile, long_values, modes, null_counts, profile_counts, top_categories, value_counts, weight_bounds,
 )
 from cohortscore.operators.scale import column_means, fit_mean_fill, fit_scaler
 from cohortscore.operators.select import (
-    average_importances, keep_share, largest_p_value, rank_features, select_cumulative, select_features, select_top,
+    average_importances, keep_share, largest_p_value, moments, rank_features, select_cumulative, select_features, select_top,
+    single_fits,
 )
 from cohortscore.operators.split import (
     k_folds, seeded_positions, seeded_sample, split_by_share, stratified_folds, stratified_split,
@@ -51,7 +52,7 @@ from cohortscore.sources.reports import (
     read_summary_json, summary_json, write_json, write_metric_tables,
 )
 from cohortscore.sources.tables import (
-    COUNT_COLUMNS, DIAGNOSES, RARE_MEDICATIONS, UNUSED_COLUMNS, compact_predictions, encounter_schema, fold_pair,
+    ADMISSION_COLUMNS, COUNT_COLUMNS, DIAGNOSES, MEDICATIONS, RARE_MEDICATIONS, UNUSED_COLUMNS, compact_predictions, encounter_schema, fold_pair,
     read_encounters, read_many, read_table_any, with_predictions, write_folds, write_label_first, write_table,
     write_vectors, write_with_predictions,
 )
@@ -118,16 +119,28 @@ def enc(spark, d):
 # ---- sources and sinks --------------------------------------------------------
 
 
-@query("S1_read_encounters", with_encounters("""
-SELECT encounter_id, readmitted, diag_1, diag_2, A1Cresult, age, admission_source_id, time_in_hospital,
-  "glyburide.metformin" AS glyburide_metformin, NULL::VARCHAR AS weight FROM encounters"""))
+# The columns of the encounters.
+ENC_COLUMNS = [
+    "encounter_id", "patient_nbr", *COUNT_COLUMNS, "repaglinide", "glyburide.metformin", "payer_code", "readmitted",
+    "metformin", "glipizide", "glyburide", "insulin", "change", "diabetesMed", *DIAGNOSES, "age", "admission_type_id",
+    "discharge_disposition_id", "admission_source_id", "race", "gender", "A1Cresult", "max_glu_serum",
+]
+
+
+def conformed_sql(absent=()):
+    """All columns of the encounter schema, in its order; what the encounters lack is NULL."""
+    kinds = {"string": "VARCHAR", "integer": "INTEGER", "long": "BIGINT"}
+    columns = []
+    for f in encounter_schema().fields:
+        given = f'"{f.name}"' if f.name in ENC_COLUMNS and f.name not in absent else "NULL"
+        columns.append(f'CAST({given} AS {kinds[f.dataType.typeName()]}) AS "{f.name}"')
+    return f"SELECT {', '.join(columns)} FROM encounters"
+
+
+@query("S1_read_encounters", with_encounters(conformed_sql(["insulin"])))
 def _(spark, d):
     path = write_table(enc(spark, d).drop("insulin"), run_folder(spark, "enc") + ".csv")
-    raw = read_encounters(spark, path)
-    return raw.select(
-        "encounter_id", "readmitted", "diag_1", "diag_2", "A1Cresult", "age", "admission_source_id", "time_in_hospital",
-        quoted("glyburide.metformin").alias("glyburide_metformin"), "weight",
-    )
+    return read_encounters(spark, path)
 
 
 @query("S1_none_as_null", with_encounters("""
@@ -373,13 +386,9 @@ def _(spark, d):
 # ---- projections and filters ---------------------------------------------------
 
 
-@query("P1_conform_columns", with_encounters("""
-SELECT encounter_id, time_in_hospital, readmitted, NULL::VARCHAR AS weight, NULL::VARCHAR AS acarbose, diag_1, 50 AS n_columns FROM encounters"""))
+@query("P1_conform_columns", with_encounters(conformed_sql()))
 def _(spark, d):
-    conformed = conform_columns(enc(spark, d), encounter_schema())
-    return conformed.select(
-        "encounter_id", "time_in_hospital", "readmitted", "weight", "acarbose", "diag_1", F.lit(len(conformed.columns)).alias("n_columns")
-    )
+    return conform_columns(enc(spark, d), encounter_schema())
 
 
 def names_sql(names: str) -> str:
@@ -391,21 +400,18 @@ def names_of_frame(df):
     return df.select(F.explode(every).alias("name")).groupBy("name").agg(F.count("*").alias("n_rows"))
 
 
-ENC_COLUMNS = [
-    "encounter_id", "patient_nbr", *COUNT_COLUMNS, "repaglinide", "glyburide.metformin", "payer_code", "readmitted",
-    "metformin", "glipizide", "glyburide", "insulin", "change", "diabetesMed", *DIAGNOSES, "age", "admission_type_id",
-    "discharge_disposition_id", "admission_source_id", "race", "gender", "A1Cresult", "max_glu_serum",
-]
+def without_sql(dropped):
+    return f"SELECT {', '.join(f'{chr(34)}{f.name}{chr(34)}' for f in encounter_schema().fields if f.name not in dropped)} FROM ({conformed_sql()})"
 
 
-@query("P2_drop_rare_medications", with_encounters(names_sql(sql_list([c for c in ENC_COLUMNS if c not in RARE_MEDICATIONS]))))
+@query("P2_drop_rare_medications", with_encounters(without_sql(RARE_MEDICATIONS)))
 def _(spark, d):
-    return names_of_frame(drop_columns(enc(spark, d), RARE_MEDICATIONS))
+    return drop_columns(conform_columns(enc(spark, d), encounter_schema()), RARE_MEDICATIONS)
 
 
-@query("P3_drop_unused", with_encounters(names_sql(sql_list([c for c in ENC_COLUMNS if c not in UNUSED_COLUMNS]))))
+@query("P3_drop_unused", with_encounters(without_sql(UNUSED_COLUMNS)))
 def _(spark, d):
-    return names_of_frame(drop_columns(enc(spark, d), UNUSED_COLUMNS))
+    return drop_columns(conform_columns(enc(spark, d), encounter_schema()), UNUSED_COLUMNS)
 
 
 @query("P4_rename_medications", with_encounters("""
@@ -458,9 +464,9 @@ def _(spark, d):
 
 
 @query("P11_select_numeric", """
-SELECT l_orderkey, l_quantity, l_extendedprice, l_linenumber, l_tax FROM lineitem""")
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem""")
 def _(spark, d):
-    return select_numeric(table(spark, d, "lineitem").drop("l_discount", "l_partkey", "l_suppkey"))
+    return select_numeric(table(spark, d, "lineitem"))
 
 
 @query("P12_apply_selected", with_encounters("""
@@ -757,6 +763,19 @@ def _(spark, d):
     return range_lookup(rows, code, range_table(spark), "chapter").select("encounter_id", "chapter")
 
 
+@query("J3_wide_ranges", """
+WITH ranges AS (SELECT p_partkey * 20000 AS low, p_partkey * 20000 + p_size * 1000000 AS high, p_brand AS label, p_size AS priority FROM part)
+SELECT o_orderkey, (SELECT label FROM ranges WHERE low <= code AND code < high ORDER BY priority, label LIMIT 1) AS brand
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS code FROM orders)""")
+def _(spark, d):
+    cents = F.when(F.col("o_orderkey") % 3 > 0, F.round(F.col("o_totalprice") * 100).cast("long"))
+    low = F.col("p_partkey") * 20000
+    ranges = table(spark, d, "part").select(
+        low.alias("low"), (low + F.col("p_size").cast("long") * 1000000).alias("high"), F.col("p_brand").alias("label"), F.col("p_size").alias("priority")
+    )
+    return range_lookup(table(spark, d, "orders"), cents, ranges, "brand").select("o_orderkey", "brand")
+
+
 @query("J4_code_lookup", "SELECT c_custkey, n_name, n_regionkey FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey")
 def _(spark, d):
     codes = table(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
@@ -819,13 +838,28 @@ def _(spark, d):
     return null_counts(enc(spark, d))
 
 
-PROFILED = ["race", "gender", "age", "A1Cresult", "admission_source_id"]
+NUMERIC_ENC = [c for c in ENC_COLUMNS if c in (*COUNT_COLUMNS, "encounter_id", "patient_nbr", *ADMISSION_COLUMNS)]
 
 
 @query("A5_profile", with_encounters("SELECT c AS \"column\", v AS value, count(*) AS n FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM encounters" for c in PROFILED) + ") GROUP BY c, v"))
+    f"SELECT '{c}' AS c, CAST(\"{c}\" AS VARCHAR) AS v FROM encounters" for c in ENC_COLUMNS) + ") GROUP BY c, v"))
+def _(spark, d):
+    return profile_counts(enc(spark, d), ENC_COLUMNS)
+
+
+def profile_sql(c):
+    q, numeric = f'"{c}"', c in NUMERIC_ENC
+    figures = [f"round(avg({q}), 6)", f"round(stddev_samp({q}), 6)", f"min({q})::DOUBLE"]
+    figures += [f"round(quantile_cont({q}, {x}), 6)" for x in (0.25, 0.5, 0.75)] + [f"max({q})::DOUBLE"]
+    names = ["mean", "std", "min", "q25", "q50", "q75", "max"]
+    return f"""SELECT '{c}' AS "column", count(*) AS n, count(*) - count({q}) AS n_null, count(DISTINCT {q}) AS n_distinct,
+  (SELECT CAST({q} AS VARCHAR) FROM encounters WHERE {q} IS NOT NULL GROUP BY {q} ORDER BY count(*) DESC, CAST({q} AS VARCHAR) LIMIT 1) AS mode,
+  {', '.join(f"{x if numeric else 'NULL::DOUBLE'} AS {n}" for x, n in zip(figures, names))} FROM encounters"""
+
+
+@query("A5_full_profile", with_encounters(" UNION ALL ".join(profile_sql(c) for c in ENC_COLUMNS)))
 def _(spark, d):
-    return profile_counts(enc(spark, d), PROFILED)
+    return rounded(full_profile(enc(spark, d)))
 
 
 @query("A6_distinct_diagnoses", with_encounters(CLEAN + LONG3 + "SELECT DISTINCT v AS value FROM three WHERE v IS NOT NULL"))
@@ -889,12 +923,17 @@ def _(spark, d):
     return rounded(filled.select("id", "q", "nothing"))
 
 
-@query("A31_correlations", with_encounters(CLEAN + "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(abs(corr({c}, readmitted)), 6) AS correlation FROM cleaned" for c in COUNT_COLUMNS)
-    + " UNION ALL SELECT 'flat', NULL FROM cleaned WHERE encounter_id = (SELECT min(encounter_id) FROM cleaned))"))
+NUMERIC_CLEAN = [
+    *COUNT_COLUMNS, *[f"medication_{c}" for c in MEDICATIONS], "change", "any_medication", "age", "admission_type_id", "admission_source_id",
+]
+CORRELATED = CLEAN + ", corrs AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs(corr({c}, readmitted)) AS correlation, count({c}) AS n FROM cleaned" for c in NUMERIC_CLEAN) + ")\n"
+
+
+@query("A31_correlations", with_encounters(CORRELATED + "SELECT feature, round(correlation, 6) AS correlation FROM corrs UNION ALL SELECT 'flat', NULL"))
 def _(spark, d):
     rows = clean_encounters(enc(spark, d)).withColumn("flat", F.lit(3))
-    return rounded(correlations(rows, "readmitted", [*COUNT_COLUMNS, "flat"]))
+    return rounded(correlations(rows, "readmitted", [*NUMERIC_CLEAN, "flat"]))
 
 
 @query("A33_average_importances", """
@@ -961,11 +1000,14 @@ def _(spark, d):
     return select_cumulative(rank_features(gains(spark, d)), 0.8)
 
 
-@query("T4_keep_by_correlation", GAINS + "SELECT feature, position FROM ranking WHERE position <= (SELECT (0.80 * (count(*) + 1))::INT - CASE WHEN (0.80 * (count(*) + 1))::INT > 0.80 * (count(*) + 1) THEN 1 ELSE 0 END FROM g)")
+KEPT_BY_CORRELATION = int(0.80 * (len(NUMERIC_CLEAN) + 1))
+
+
+@query("T4_keep_by_correlation", with_encounters(CORRELATED + f"""SELECT feature, position FROM (
+  SELECT feature, row_number() OVER (ORDER BY correlation DESC NULLS LAST, feature)::INT AS position FROM corrs) WHERE position <= {KEPT_BY_CORRELATION}"""))
 def _(spark, d):
-    g = gains(spark, d)
-    k = int(0.80 * (g.count() + 1))
-    return keep_share(g, "gain_cv", k).select("feature", "position")
+    found = correlations(clean_encounters(enc(spark, d)), "readmitted", NUMERIC_CLEAN)
+    return keep_share(found, "correlation", KEPT_BY_CORRELATION).select("feature", "position")
 
 
 @query("T9_seeded_sample", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 3")
@@ -973,10 +1015,13 @@ def _(spark, d):
     return seeded_sample(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 3)
 
 
-@query("T10_largest_p_value", "SELECT p_brand AS feature, avg(p_size) / 50 AS p_value FROM part GROUP BY 1 ORDER BY p_value DESC, feature LIMIT 1")
+@query("T10_largest_p_value", with_encounters(CLEAN + ", corrs AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs(corr({c}, readmitted)) AS r, count({c}) AS n FROM cleaned" for c in COUNT_COLUMNS) + """)
+SELECT feature, round(r * sqrt((n - 2) / (1 - r * r)), 6) AS t_value FROM corrs ORDER BY t_value, feature LIMIT 1"""))
 def _(spark, d):
-    rows = table(spark, d, "part").groupBy(F.col("p_brand").alias("feature")).agg((F.avg("p_size") / 50).alias("p_value"))
-    return largest_p_value(rows)
+    fits = single_fits(moments(clean_encounters(enc(spark, d)), COUNT_COLUMNS, "readmitted"))
+    table = spark.createDataFrame(fits, "feature string, t_value double, p_value double")
+    return rounded(largest_p_value(table).select("feature", "t_value"))
 
 
 @query("M3_rank_and_select", GAINS + "SELECT feature AS selected_features, position, 'top' AS method FROM ranking WHERE position <= 5 UNION ALL SELECT feature, position, 'share' FROM ranking WHERE cum_importance <= 0.5")
@@ -1016,6 +1061,17 @@ HOT8 = LONG8 + MODES8 + """, hot8 AS (SELECT encounter_id, string_agg(c || '_' |
 """
 
 
+@query("E2_sparse_rows", with_encounters(CLEAN + LONG8 + LONG3 + MODES8 + f"""
+, names AS (SELECT DISTINCT 0 AS place, 'diagnosis' AS c, v FROM three WHERE v IS NOT NULL
+  UNION ALL SELECT DISTINCT list_position({sql_list(DUMMY_COLUMNS)}, c), c, v FROM eight WHERE v IS NOT NULL AND (c, v) NOT IN (SELECT (c, v) FROM mode8))
+, dictionary AS (SELECT c, v, row_number() OVER (ORDER BY place, v) - 1 AS index FROM names)
+SELECT DISTINCT encounter_id, index FROM (SELECT encounter_id, 'diagnosis' AS c, v FROM three UNION ALL SELECT * FROM eight) JOIN dictionary USING (c, v)"""))
+def _(spark, d):
+    cleaned = clean_encounters(enc(spark, d), ["encounter_id"])
+    dictionary = fit_category_table(cleaned, DUMMY_COLUMNS, {"diagnosis": DIAGNOSES})
+    return dictionary.encode(cleaned).select("encounter_id", F.explode("indices").alias("index"))
+
+
 @query("E2_one_hot_drop_mode", with_encounters(CLEAN + HOT8 + """
 SELECT cleaned.encounter_id, coalesce(active, '') AS active FROM cleaned LEFT JOIN hot8 USING (encounter_id)"""))
 def _(spark, d):

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
@@ -19,29 +20,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscore.functions.numeric import finite_or_zero, quoted, to_double
+from cohortscore.operators.boosting import BoostedModel, Settings, fit, fit_many
 from cohortscore.operators.metrics import ranking_metrics
-from cohortscore.operators.profile import class_balance
+from cohortscore.operators.profile import class_balance, weight_bounds
 from cohortscore.operators.scale import MeanFill, Scaler, fit_mean_fill, fit_scaler
 from cohortscore.operators.split import order_hash, stratified_folds
 from cohortscore.operators.tally import ordered_points, tally
 from cohortscore.session import settle
 
-# Default boosted-tree settings of the feature ranking.
-RANKING_TREES = {
-    "maxIter": 400, "maxDepth": 6, "stepSize": 0.1,
-    "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
-}
 FOREST = {"numTrees": 200, "maxDepth": 30, "featureSubsetStrategy": "sqrt", "minInstancesPerNode": 1}
-# Search ranges (low, high, whole numbers only).
+# Search ranges (low, high, whole numbers only), or the values to choose from.
 TREE_SPACE = {
-    "stepSize": (0.01, 0.3, False), "maxIter": (200, 1500, True), "maxDepth": (3, 10, True),
-    "minInstancesPerNode": (1, 10, True), "minInfoGain": (0.0, 5.0, False),
-    "subsamplingRate": (0.5, 1.0, False), "featureSubsetStrategy": (0.5, 1.0, False),
+    "eta": (0.01, 0.3, False), "rounds": (200, 1500, True), "max_depth": (3, 10, True),
+    "min_child_weight": (1.0, 10.0, False), "gamma": (0.0, 5.0, False),
+    "subsample": (0.5, 1.0, False), "colsample": (0.5, 1.0, False),
+    "reg_lambda": (0.0, 10.0, False), "reg_alpha": (0.0, 10.0, False), "max_delta_step": (0.0, 10.0, False),
 }
 NETWORK_SPACE = {
-    "hidden": (64, 1024, True), "depth": (1, 6, True), "blockSize": (128, 1024, True),
-    "stepSize": (0.0001, 0.01, False),
+    "hidden": (64, 1024, True), "depth": (1, 6, True), "blockSize": [64, 128, 256, 512],
+    "stepSize": (0.00001, 0.003, False), "standardize": [0, 1],
 }
+#: Rounds without a larger area after which boosting ends.
+PATIENCE = 50
 LINEAR_SPACE = {
     "regParam": (0.0001, 0.1, False), "elasticNetParam": (0.0, 1.0, False), "fitIntercept": (0, 1, True),
 }
@@ -96,6 +96,8 @@ class Scorer:
 
     def score(self, df: DataFrame, out: str = "predicted_proba") -> DataFrame:
         """Add the probability of the positive class; rows keep their columns."""
+        if isinstance(self.model, BoostedModel):
+            return self.model.score(df, out)
         ready = df.withColumn("__features", feature_vector(df, self.features, self.scaler, self.fill))
         scored = _positive(self.model, ready, "__features", "__positive")
         kept = [quoted(c) for c in df.columns if c != out]
@@ -128,21 +130,20 @@ def score_models(df: DataFrame, scorers: Mapping[str, Scorer | None], mode: str
 
 def fit_boosted(
     df: DataFrame, features: Sequence[str], label: str, params: Mapping | None = None,
-    validation: str | None = None, weighted: bool = True, seed: int = 42, name: str = "xgb",
+    validation: str | None = None, weighted: bool = True, seed: int = 42, name: str = "xgb", id_column: str | None = None,
 ) -> Scorer:
-    """Boosted trees on weighted classes.
+    """Boosted trees; positives weigh neg / pos of the rows they are fitted on.
 
-    With a boolean ``validation`` column, rows marked true only decide when to
-    stop adding trees.
+    With a boolean ``validation`` column, rows marked true only decide where
+    the trees end: after the prefix with the largest precision-recall area,
+    once ``PATIENCE`` rounds (or those of ``params``) have not raised it.
     """
-    params = dict(params or {})
-    train = training_frame(df, features, label, [validation] if validation else [])
-    trees = GBTClassifier(labelCol="label", featuresCol="features", seed=seed, **params)
-    if weighted:
-        trees.setWeightCol("weight")
-    if validation:
-        trees.setValidationIndicatorCol(validation)
-    return Scorer(name, list(features), trees.fit(train), None, params)
+    params = {"patience": PATIENCE, **dict(params or {})}
+    if weighted and "scale_pos_weight" not in params:
+        rows = df.where(~F.coalesce(quoted(validation), F.lit(False))) if validation else df
+        params["scale_pos_weight"] = float(class_balance(rows, to_double(rows, label)).first()["scale_pos_weight"])
+    model = fit(df, features, label, id_column, Settings(**params), validation, seed)
+    return Scorer(name, list(features), model, None, params)
 
 
 def fit_linear(
@@ -175,15 +176,17 @@ def repeat_positives(df: DataFrame, label: str, id_column: str, weight: float, s
 def fit_network(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, hidden: int = 128, depth: int = 2,
     scaler: str = "standard", balance: bool = True, params: Mapping | None = None, seed: int = 42, name: str = "nn",
+    pos_weight: float | None = None,
 ) -> Scorer:
     """Multilayer perceptron on scaled features, classes balanced by repetition.
 
-    Missing values take the mean of the training rows.
+    Missing values take the mean of the training rows. Positives weigh neg /
+    pos, or ``pos_weight``.
     """
     fill = fit_mean_fill(df, features)
     fitted = fit_scaler(fill.transform(df), features, scaler)
     if balance:
-        weight = class_balance(df, to_double(df, label)).first()["scale_pos_weight"]
+        weight = pos_weight or class_balance(df, to_double(df, label)).first()["scale_pos_weight"]
         df = repeat_positives(df, label, id_column, max(1.0, weight), seed)
     train = training_frame(df, features, label, scaler=fitted, fill=fill)
     layers = [len(features), *[hidden] * depth, 2]
@@ -197,34 +200,24 @@ def fit_network(
 # ---- importances -----------------------------------------------------------
 
 
-def _importance_frame(spark, features: Sequence[str], importances, **extra) -> DataFrame:
-    rows = [(f, float(v), *extra.values()) for f, v in zip(features, importances.toArray())]
-    return spark.createDataFrame(rows, ["feature", "gain", *extra])
-
-
 def boosted_importance(
     df: DataFrame, features: Sequence[str], label: str, params: Mapping | None = None, seed: int = 42
 ) -> DataFrame:
-    """(feature, gain) of one boosted-tree fit."""
-    fit = fit_boosted(df, features, label, {**RANKING_TREES, **dict(params or {})}, weighted=False, seed=seed)
-    return _importance_frame(df.sparkSession, features, fit.model.featureImportances)
+    """(feature, gain) of one boosted-tree fit: the mean gain of the feature's splits."""
+    fitted = fit(df, features, label, None, Settings(**dict(params or {})), seed=seed)
+    return df.sparkSession.createDataFrame(list(fitted.importances().items()), "feature string, gain double")
 
 
 def boosted_importance_cv(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, folds: int = 5,
     params: Mapping | None = None, seed: int = 42,
 ) -> DataFrame:
-    """(feature, gain, fold) of one fit per stratified fold, on the other folds."""
-    folded = settle(stratified_folds(df, id_column, label, folds, seed))
-    out = None
-    for k in range(folds):
-        fit = fit_boosted(
-            folded.where(F.col("fold") != k), features, label,
-            {**RANKING_TREES, **dict(params or {})}, weighted=False, seed=seed,
-        )
-        part = _importance_frame(df.sparkSession, features, fit.model.featureImportances, fold=k)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(feature, gain, fold) of one fit per stratified fold, on the other folds; all of them grow together."""
+    folded = stratified_folds(df, id_column, label, folds, seed, "__fold")
+    s = Settings(**dict(params or {}))
+    fitted = fit_many(folded, features, label, id_column, [s] * folds, list(range(folds)), "__fold", seed)
+    rows = [(f, gain, k) for k, model in enumerate(fitted) for f, gain in model.importances().items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, gain double, fold int")
 
 
 def forest_importance(
@@ -235,7 +228,8 @@ def forest_importance(
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", seed=seed, **{**FOREST, **dict(params or {})}
     ).fit(train)
-    return _importance_frame(df.sparkSession, features, forest.featureImportances)
+    rows = list(zip(features, map(float, forest.featureImportances.toArray())))
+    return df.sparkSession.createDataFrame(rows, "feature string, gain double")
 
 
 # ---- tuning ----------------------------------------------------------------
@@ -247,7 +241,11 @@ def random_settings(space: Mapping[str, tuple], jobs: int, seed: int = 42) -> li
     settings = []
     for _ in range(jobs):
         one = {}
-        for key, (low, high, whole) in space.items():
+        for key, span in space.items():
+            if isinstance(span, list):
+                one[key] = draw.choice(span)
+                continue
+            low, high, whole = span
             one[key] = draw.randint(low, high) if whole else round(draw.uniform(low, high), 6)
         settings.append(one)
     return settings
@@ -258,8 +256,6 @@ def _param_maps(estimator, settings: Sequence[Mapping]) -> list[dict]:
     for one in settings:
         converted = {}
         for key, value in one.items():
-            if key == "featureSubsetStrategy":
-                value = str(value)
             if key == "fitIntercept":
                 value = bool(value)
             converted[estimator.getParam(key)] = value
@@ -267,40 +263,46 @@ def _param_maps(estimator, settings: Sequence[Mapping]) -> list[dict]:
     return maps
 
 
+def _jobs(settings: Sequence[Mapping], areas: Sequence[Sequence[float | None]]) -> list[dict]:
+    """Each job's objective is the mean of its areas; a fold with one class counts for none."""
+    results = []
+    for i, (one, own) in enumerate(zip(settings, areas)):
+        known = [a for a in own if a is not None]
+        objective = sum(known) / len(known) if known else None
+        results.append({"job_name": f"job-{i:03d}", "objective": objective, "params": {k: str(v) for k, v in one.items()}})
+    return results
+
+
+def _held_areas(scored: DataFrame, names: Sequence[str]) -> dict[str, float | None]:
+    found = ranking_metrics(ordered_points(tally(scored, "label", names))).collect()  # a row per setting
+    return {row["feature"]: row["pr_auc"] for row in found}
+
+
 def _cross_validate(
-    estimator, folded: DataFrame, features: Sequence[str], label: str, id_column: str, settings: Sequence[Mapping],
-    maps, parallelism: int, network: bool = False,
+    estimator, folded: DataFrame, features: Sequence[str], label: str, settings: Sequence[Mapping], maps, parallelism: int
 ) -> list[dict]:
     """Fold-averaged precision-recall area of each setting, exact from a tally.
 
-    Means, scaling and class balance are learned on each fold's training rows.
-    All settings of a fold are judged in one pass; nothing is fitted but what
-    is judged. A fold with one class counts for no setting.
+    Vectors are stored once for all folds; the class balance is that of each
+    fold's training rows. All settings of a fold are judged in one pass;
+    nothing is fitted but what is judged.
     """
-    areas: list[list[float]] = [[] for _ in settings]
+    areas: list[list[float | None]] = [[] for _ in settings]
     names = [f"p{i}" for i in range(len(settings))]
-    for k in range(folded.select(F.max("fold")).first()[0] + 1):
-        train, held = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
-        fill = scaler = None
-        if network:
-            fill = fit_mean_fill(train, features)
-            scaler = fit_scaler(fill.transform(train), features)
-            weight = class_balance(train, to_double(train, label)).first()["scale_pos_weight"]
-            train = repeat_positives(train, label, id_column, max(1.0, weight))
-        frame = settle(training_frame(train, features, label, scaler=scaler, fill=fill))
+    y = to_double(folded, label)
+    stored = settle(folded.where(y.isNotNull()).select(y.alias("label"), feature_vector(folded, features).alias("features"), "fold"))
+    for k in range(stored.select(F.max("fold")).first()[0] + 1):
+        train, scored = stored.where(F.col("fold") != k), stored.where(F.col("fold") == k)
+        weight = float(class_balance(train, F.col("label")).first()["scale_pos_weight"])
+        frame = train.withColumn("weight", F.when(F.col("label") == 1, F.lit(weight)).otherwise(1.0))
         with ThreadPool(parallelism) as pool:
             models = pool.map(lambda chosen: estimator.fit(frame, chosen), maps)  # noqa: B023
-        scored = training_frame(held, features, label, scaler=scaler, fill=fill)
         for name, model in zip(names, models):
             scored = _positive(model, scored, "features", name)
-        found = ranking_metrics(ordered_points(tally(scored, "label", names))).collect()
-        for row in found:
-            if row["pr_auc"] is not None:
-                areas[names.index(row["feature"])].append(row["pr_auc"])
-    return [
-        {"job_name": f"job-{i:03d}", "objective": sum(a) / len(a) if a else None, "params": {k: str(v) for k, v in one.items()}}
-        for i, (a, one) in enumerate(zip(areas, settings))
-    ]
+        found = _held_areas(scored, names)
+        for name, own in zip(names, areas):
+            own.append(found.get(name))
+    return _jobs(settings, areas)
 
 
 def results_frame(spark, results: Sequence[Mapping]) -> DataFrame:
@@ -310,16 +312,21 @@ def results_frame(spark, results: Sequence[Mapping]) -> DataFrame:
 
 def tune_boosted(
     df: DataFrame, features: Sequence[str], label: str, id_column: str, space: Mapping = TREE_SPACE,
-    jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42,
+    jobs: int = 20, folds: int = 5, seed: int = 42, patience: int = PATIENCE,
 ) -> DataFrame:
-    """(job_name, objective, params): fold-averaged precision-recall area of each drawn setting."""
-    folded = settle(stratified_folds(df, id_column, label, folds, seed))
+    """(job_name, objective, params): fold-averaged best precision-recall area of each drawn setting.
+
+    Every setting grows on every fold's other rows until its area on the fold
+    has not risen for ``patience`` rounds; ``jobs`` x ``folds`` models grow
+    side by side. Positives weigh neg / pos of all labelled rows.
+    """
+    folded = settle(stratified_folds(df, id_column, label, folds, seed, "__fold"))
+    weight = float(class_balance(folded, to_double(folded, label)).first()["scale_pos_weight"])
     settings = random_settings(space, jobs, seed)
-    trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", seed=seed)
-    results = _cross_validate(
-        trees, folded, features, label, id_column, settings, _param_maps(trees, settings), parallelism
-    )
-    return results_frame(df.sparkSession, results)
+    each = [Settings(**one, scale_pos_weight=weight, patience=patience) for one in settings for _ in range(folds)]
+    fitted = fit_many(folded, features, label, id_column, each, list(range(folds)) * jobs, "__fold", seed)
+    best = [max((a for a in model.areas if a is not None), default=None) for model in fitted]
+    return results_frame(df.sparkSession, _jobs(settings, [best[i * folds : (i + 1) * folds] for i in range(jobs)]))
 
 
 def tune_linear(
@@ -329,32 +336,48 @@ def tune_linear(
     folded = settle(stratified_folds(df, id_column, label, folds, seed))
     settings = random_settings(space, jobs, seed)
     linear = LogisticRegression(labelCol="label", featuresCol="features", weightCol="weight", maxIter=15)
-    results = _cross_validate(
-        linear, folded, features, label, id_column, settings, _param_maps(linear, settings), parallelism
+    return results_frame(
+        df.sparkSession, _cross_validate(linear, folded, features, label, settings, _param_maps(linear, settings), parallelism)
     )
-    return results_frame(df.sparkSession, results)
+
+
+def network_space(df: DataFrame, label: str, space: Mapping = NETWORK_SPACE) -> dict:
+    """``space`` with the range of the positive weight that the classes suggest."""
+    bounds = weight_bounds(class_balance(df, to_double(df, label))).first()
+    return {**space, "pos_weight": (float(bounds["low"]), float(bounds["high"]), False)}
 
 
 def tune_network(
-    df: DataFrame, features: Sequence[str], label: str, id_column: str, space: Mapping = NETWORK_SPACE,
+    df: DataFrame, features: Sequence[str], label: str, id_column: str, space: Mapping | None = None,
     jobs: int = 20, folds: int = 5, parallelism: int = 4, seed: int = 42, max_iter: int = 100,
 ) -> DataFrame:
+    """(job_name, objective, params) of networks; unless given, the space is that of ``network_space``.
+
+    Means and scaling are learned on each fold's training rows, and a setting's
+    positive weight repeats those rows.
+    """
     folded = settle(stratified_folds(df, id_column, label, folds, seed))
-    settings = random_settings(space, jobs, seed)
-    network = MultilayerPerceptronClassifier(
-        labelCol="label", featuresCol="features", layers=[len(features), 2], seed=seed,
-        solver="gd", maxIter=max_iter,
-    )
-    maps = []
-    for one in settings:
-        layers = [len(features), *[int(one["hidden"])] * int(one["depth"]), 2]
-        chosen = {network.layers: layers, network.blockSize: int(one["blockSize"])}
-        chosen[network.stepSize] = float(one["stepSize"])
-        maps.append(chosen)
-    results = _cross_validate(
-        network, folded, features, label, id_column, settings, maps, parallelism, network=True
-    )
-    return results_frame(df.sparkSession, results)
+    settings = random_settings(network_space(df, label) if space is None else space, jobs, seed)
+    areas: list[list[float | None]] = [[] for _ in settings]
+    for k in range(folds):
+        train, held = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
+
+        def one(setting: Mapping) -> Scorer:
+            return fit_network(
+                train, features, label, id_column, int(setting["hidden"]), int(setting["depth"]),  # noqa: B023
+                "standard" if setting.get("standardize", 1) else "none", pos_weight=setting.get("pos_weight"), seed=seed,
+                params={"blockSize": int(setting["blockSize"]), "stepSize": float(setting["stepSize"]), "solver": "gd", "maxIter": max_iter},
+            )
+
+        with ThreadPool(parallelism) as pool:
+            scorers = pool.map(one, settings)
+        scored = held.withColumn("label", to_double(held, label))
+        for i, scorer in enumerate(scorers):
+            scored = scorer.score(scored, f"p{i}")
+        found = _held_areas(scored, [f"p{i}" for i in range(jobs)])
+        for i, own in enumerate(areas):
+            own.append(found.get(f"p{i}"))
+    return results_frame(df.sparkSession, _jobs(settings, areas))
 
 
 def best_settings(results: DataFrame) -> dict:
@@ -362,9 +385,6 @@ def best_settings(results: DataFrame) -> dict:
     best = results.orderBy(F.desc_nulls_last("objective"), "job_name").first()
     out = {}
     for key, text in best["params"].items():
-        if key == "featureSubsetStrategy":
-            out[key] = text
-            continue
         number = float(text)
         out[key] = int(number) if "." not in text and "e" not in text else number
         if key == "fitIntercept":
@@ -387,3 +407,31 @@ def describe_fit(scorer: Scorer, metrics: Mapping[str, float], weights: Mapping
             "hyperparams": {k: str(v) for k, v in scorer.params.items()},
         }
     )
+
+
+#: Kinds of stored models, by the class that reads each.
+_READERS = {"linear": LogisticRegressionModel, "network": MultilayerPerceptronClassificationModel}
+
+
+def save_scorer(spark, scorer: Scorer, folder: str) -> str:
+    """All that a scorer needs, under ``folder``: its description as JSON lines, and the model beside it."""
+    kind = "boosted" if isinstance(scorer.model, BoostedModel) else next(k for k, c in _READERS.items() if isinstance(scorer.model, c))
+    described = {
+        "kind": kind, "name": scorer.name, "features": scorer.features, "params": scorer.params,
+        "scaler": scorer.scaler.to_json() if scorer.scaler else None, "fill": asdict(scorer.fill) if scorer.fill else None,
+        "boosted": scorer.model.to_json() if kind == "boosted" else None,
+    }
+    if kind != "boosted":
+        scorer.model.write().overwrite().save(f"{folder}/model")
+    spark.createDataFrame([(json.dumps(described),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/scorer")
+    return folder
+
+
+def load_scorer(spark, folder: str) -> Scorer:
+    """The scorer that ``save_scorer`` wrote, in any session that reaches the folder."""
+    read = json.loads(spark.read.text(f"{folder}/scorer").first()["value"])
+    model = BoostedModel.from_json(read["boosted"]) if read["kind"] == "boosted" else _READERS[read["kind"]].load(f"{folder}/model")
+    return Scorer(
+        read["name"], read["features"], model, Scaler.from_json(read["scaler"]) if read["scaler"] else None,
+        read["params"], MeanFill(**read["fill"]) if read["fill"] else None,
+    )

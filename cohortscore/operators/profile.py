@@ -7,10 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortscore.functions.numeric import quoted, to_double
 from cohortscore.functions.scores import looks_like_probability
 from cohortscore.operators.tally import long_scores, ordered_points, quantile_grid, value_tally
+from cohortscore.session import settle
 
 # Label names tried in this order.
 LABEL_NAMES = ["label", "target", "readmitted", "y", "y_true", "is_readmitted", "Readmitted", "READMITTED"]
@@ -38,6 +40,35 @@ def profile_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return long_values(df, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def full_profile(df: DataFrame) -> DataFrame:
+    """One row per column: n, n_null, n_distinct, mode, and for numbers mean, std, min, q25, q50, q75, max.
+
+    The table is read once, into counts per column and value; everything else
+    comes from those. Means and squares are sums over distinct values, squares
+    from the mean, so nothing is lost to cancellation. Quartiles are exact and
+    interpolated. The mode is the most frequent value, of equals the first.
+    """
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    counts = settle(profile_counts(df, df.columns))
+    value, n = F.col("value"), F.col("n")
+    facts = counts.groupBy("column").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("n_null"),
+        F.count("value").alias("n_distinct"), F.min(F.when(value.isNotNull(), F.struct((-n).alias("k"), "value")))["value"].alias("mode"),
+    )
+    numbers = counts.where(F.col("column").isin(numeric)).select("column", value.cast("double").alias("x"), "n").where(F.col("x").isNotNull())
+    means = numbers.groupBy("column").agg((F.sum(F.col("x") * n) / F.sum("n")).alias("mean"))  # a row per column
+    away = numbers.join(F.broadcast(means), "column").withColumn("d", F.col("x") - F.col("mean"))
+    spread = F.sqrt(F.sum(F.col("d") * F.col("d") * n) / F.nullif(F.sum("n") - 1, F.lit(0)))
+    moments = away.groupBy("column").agg(F.first("mean").alias("mean"), spread.alias("std"))
+    tallied = numbers.select(F.col("column").alias("feature"), "x", n.alias("pos"), F.lit(0).cast("long").alias("neg"))
+    grid = quantile_grid(ordered_points(tallied), 4)
+    marks = grid.groupBy(F.col("feature").alias("column")).agg(
+        *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(name) for k, name in enumerate(["min", "q25", "q50", "q75", "max"])]
+    )
+    # One row per column on every side.
+    return facts.join(F.broadcast(moments), "column", "left").join(F.broadcast(marks), "column", "left")
+
+
 def modes(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(column, mode, n): most frequent value, lowest text of ties."""
     counts = profile_counts(df, names).where(F.col("value").isNotNull())

@@ -94,11 +94,38 @@ def moments(df: DataFrame, features: Sequence[str], label: str) -> Moments:
     return Moments(row["count"], list(features), cross)
 
 
+def regularised_beta(a: float, b: float, x: float) -> float:
+    """The incomplete beta integral I_x(a, b), by its continued fraction."""
+    if not 0.0 < x < 1.0:
+        return min(max(x, 0.0), 1.0)
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - regularised_beta(b, a, 1.0 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    # Of the fraction's terms the one at 2m and the one at 2m + 1 go together.
+    upper, lower = 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1))
+    value = lower
+    for m in range(1, 10_000):
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        for term in (even, odd):
+            upper, lower = 1.0 + term / upper, 1.0 / (1.0 + term * lower)
+            value *= upper * lower
+        if abs(1.0 - upper * lower) < 1e-15:
+            break
+    return front * value
+
+
+def student_tail(t: float, freedom: float) -> float:
+    """The probability that a Student's t value is at least as far from 0 as ``t``."""
+    return regularised_beta(freedom / 2, 0.5, freedom / (freedom + t * t)) if freedom > 0 else 1.0
+
+
 @dataclass
 class LinearFit:
     features: list[str]
     rss: float
     t_values: dict[str, float]
+    p_values: dict[str, float]
     criterion: float
 
 
@@ -119,7 +146,13 @@ def fit_least_squares(m: Moments, features: Sequence[str], criterion: str = "aic
     t = {f: float(abs(b) / e) if e > 0 else 0.0 for f, b, e in zip(features, slopes, errors)}
     log_likelihood = -m.n / 2 * (math.log(2 * math.pi) + math.log(rss / m.n) + 1)
     score = -2 * log_likelihood + TRAIN_BUDGET[criterion](m.n, rank + 1)
-    return LinearFit(list(features), rss, t, score)
+    return LinearFit(list(features), rss, t, {f: student_tail(v, freedom) for f, v in t.items()}, score)
+
+
+def single_fits(m: Moments) -> list[tuple[str, float, float]]:
+    """(feature, absolute t, p-value) of each feature as the only one of a model."""
+    fits = [fit_least_squares(m, [f]) for f in m.features]
+    return [(f, fit.t_values[f], fit.p_values[f]) for f, fit in zip(m.features, fits)]
 
 
 def backward_elimination(
@@ -127,7 +160,8 @@ def backward_elimination(
 ) -> list[dict]:
     """Drop the least significant feature per round; (round, removed, criterion).
 
-    With equal degrees of freedom the largest p-value is the smallest |t|.
+    That is the one with the largest p-value; with equal degrees of freedom,
+    and where p-values vanish, the smallest |t|.
     Stops when the criterion moves by less than ``tolerance``.
     """
     kept, steps = list(m.features), []

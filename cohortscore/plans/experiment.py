@@ -68,7 +68,10 @@ class Tuned:
 
 def tune_and_fit_boosted(train, features, label, id_column, **search) -> Tuned:
     results = settle(tune_boosted(train, features, label, id_column, **search))
-    return Tuned(fit_boosted(train, features, label, best_settings(results)), results)
+    # Rows of the training part decide where the final trees end.
+    stopping = stratified_split(train, id_column, label, seed=43, out="__part").withColumn("__held", F.col("__part") == "test")
+    scorer = fit_boosted(stopping, features, label, best_settings(results), validation="__held", id_column=id_column)
+    return Tuned(scorer, results)
 
 
 def tune_and_fit_network(train, features, label, id_column, **search) -> Tuned:
@@ -77,6 +80,7 @@ def tune_and_fit_network(train, features, label, id_column, **search) -> Tuned:
     best = best_settings(results)
     scorer = fit_network(
         train, features, label, id_column, best["hidden"], best["depth"],
+        "standard" if best.get("standardize", 1) else "none", pos_weight=best.get("pos_weight"),
         params={"blockSize": best["blockSize"], "stepSize": best["stepSize"], "solver": "gd", "maxIter": max_iter},
     )
     return Tuned(scorer, results)
@@ -131,14 +135,15 @@ class Study:
     by_correlation: DataFrame
     by_forest: DataFrame
     steps: list[dict]
+    bic_steps: list[dict]
     pca: list[tuple[str, float]]
 
 
 def selection_study(
     table: DataFrame, label: str, id_column: str, forest: Mapping | None = None,
-    drops: Sequence[str] = NAMED_DROPS, criterion: str = "aic", seed: int = 42,
+    drops: Sequence[str] = NAMED_DROPS, seed: int = 42,
 ) -> Study:
-    """Correlation, forest, stepwise and component checks, then an 85/15 split."""
+    """Correlation, forest, stepwise (by both criteria) and component checks, then an 85/15 split."""
     names = [c for c in table.columns if c not in (label, id_column)]
     corr = settle(correlations(table, quoted(label), names))
     kept = keep_share(corr, "correlation", int(0.80 * (len(names) + 1))).orderBy("position")
@@ -146,11 +151,12 @@ def selection_study(
     gains = settle(forest_importance(table, first, label, forest, seed))
     kept = keep_share(gains, "gain", int(0.85 * len(first))).orderBy("position")
     second = [r["feature"] for r in kept.collect()]
-    steps = backward_elimination(moments(table, second, label), criterion)
+    cross = moments(table, second, label)
+    steps, bic_steps = (backward_elimination(cross, criterion) for criterion in ("aic", "bic"))
     third = [c for c in second if c not in set(drops)]
     components = pca_scores(table, third)
     reduced = select_ranked(table, [id_column, label, *third])
-    return Study(third, split_by_share(reduced, id_column, 0.85, seed), corr, gains, steps, components)
+    return Study(third, split_by_share(reduced, id_column, 0.85, seed), corr, gains, steps, bic_steps, components)
 
 
 def smoke_scores(scorer: Scorer, rows: DataFrame) -> DataFrame:
