@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortscore.functions.numeric import quoted, text_to_double
 from cohortscore.operators.columns import id_columns, require_columns
+from cohortscore.operators.keys import lookup_join
 from cohortscore.operators.models import feature_vector
-
-log = logging.getLogger(__name__)
+from cohortscore.session import settle
 
 # Text that stands for a missing value in a CSV file.
 MISSING_TOKENS = [
@@ -92,51 +90,54 @@ def read_table_any(spark: SparkSession, path: str, schema: T.StructType | str |
     return spark.read.format(ending if ending in ("json", "orc") else "parquet").load(path)
 
 
-def _headers(spark: SparkSession, folder: str, pattern: str) -> dict[str, str]:
-    """The first line that is not blank of each file, by file name; one scan for all files."""
-    lines = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True).text(folder)
-    starts = lines.select(
+def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Lines that are not blank, with the file and their place in the scan."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    return lines.select(
         "value",
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
-    ).where((F.col("block") == 0) & (F.trim("value") != ""))
-    found = starts.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect()
-    return {r["file"]: r["header"] for r in found}
+    ).where(F.trim("value") != "")
+
+
+def _fields(line: Column, width: int) -> Column:
+    """The first ``width`` fields of a CSV line as an array."""
+    names = [f"c{i}" for i in range(width)]
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names))
+    return F.array(*[parsed[n] for n in names])
 
 
 def read_many(spark: SparkSession, folder: str, same_header: bool = False) -> DataFrame:
     """All ``*.csv`` files of a folder as one table of text columns.
 
-    The header lines of all files come from one scan; files are read together
-    per distinct header and the groups united by column name.
-    ``same_header=True`` skips looking at the headers. Files that cannot be
-    read, or have no header line, are left out with a warning; a file that
-    breaks off later stops the job.
+    Headers are a table with a row per file: its first line that is not blank,
+    cut into names, and where each column of the result stands in the file.
+    Every line meets its file's header and is parsed with it, so the number of
+    jobs depends neither on the files nor on their headers, and the driver
+    learns the columns only. Columns come in the order of the files by path,
+    then of their headers; those that a file lacks are NULL there, of a name
+    that a header has twice the first counts. Files without a line have no
+    rows; one that cannot be read stops the job. ``same_header=True`` skips
+    looking at the headers.
     """
     pattern = "*.csv"
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    paths = sorted(r["path"] for r in listing.select("path").collect())
-    if not paths:
-        raise FileNotFoundError(f"no CSV files in {folder}")
     if same_header:
         return spark.read.option("header", True).option("pathGlobFilter", pattern).csv(folder)
-    headers = _headers(spark, folder, pattern)
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        name = path.rsplit("/", 1)[-1]
-        header = headers.get(name, headers.get(quote(name)))
-        if header is None:
-            log.warning("skipping unreadable file %s", path)
-        else:
-            groups.setdefault(header, []).append(path)
-    if not groups:
-        raise FileNotFoundError(f"no readable CSV files in {folder}")
-    tables = [spark.read.option("header", True).csv(files) for files in groups.values()]
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table, allowMissingColumns=True)
-    return out
+    lines = _lines(spark, folder, pattern)
+    first = lines.where("block = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("h"))
+    headers = settle(first.select("file", F.col("h.at").alias("header_at"), F.col("h.value").alias("header")))
+    width = headers.agg(F.max(F.regexp_count("header", F.lit(",")) + 1)).first()[0]
+    if width is None:
+        raise FileNotFoundError(f"no CSV files with a header in {folder}")
+    named = headers.select("file", "header_at", F.filter(_fields(F.col("header"), width), lambda name: name.isNotNull()).alias("names"))
+    order = named.select("file", F.posexplode("names").alias("pos", "name")).groupBy("name").agg(F.min(F.struct("file", "pos")).alias("o"))
+    columns = [r["name"] for r in order.orderBy("o").collect()]  # the columns of the result
+    places = F.array(*[F.array_position("names", c).cast("int") for c in columns])
+    table = settle(named.select("file", "header_at", places.alias("places")))
+    rows = lookup_join(lines, table, ["file"]).where("at <> header_at").select("places", _fields(F.col("value"), width).alias("f"))
+    found = [F.when(F.col("places")[i] > 0, F.get("f", F.col("places")[i] - 1)).alias(c) for i, c in enumerate(columns)]
+    return rows.select(*found)
 
 
 def write_table(df: DataFrame, path: str, header: bool = True) -> str:
