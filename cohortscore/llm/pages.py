@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from cohortscore.session import settle
 # Fixed values of HTML: elements without content, elements whose content is not
 # markup, and elements that stand as a block of their own.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe xmp svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section summary table "
@@ -42,6 +44,19 @@ BOILERPLATE_WORDS = frozenset(
     "modal nav navbar navigation newsletter notice notices pagination popup privacy promo promotion promoted related "
     "replies reply search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that may stand beside those: places, shapes and what they hold.
+QUALIFIERS = frozenset(
+    "site main page global top bottom left right primary secondary mobile desktop wrap wrapper container inner outer box block "
+    "area bar section panel list lists link links slot unit sticky fixed content group module form posts articles stories items".split()
+)
+#: Words of reader comments, which may be longer than the article.
+COMMENT_WORDS = frozenset("comment comments disqus replies reply".split())
+#: Elements that no class or id makes boilerplate: the page, articles, and headings, whose ids are anchors.
+NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: The share of all text outside links that a marked element holds if it is the article after all, and its least length.
+MOST_OF_PAGE, LEAST_ARTICLE = 0.9, 200
+#: Elements that one of the same name closes.
+REPEATED = frozenset("li tr td th dt dd option".split())
 #: Containers that may hold the article.
 CONTAINERS = frozenset("article main section div td body".split())
 
@@ -56,138 +71,188 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 
 
-def class_words(attributes: str) -> tuple[list[str], bool]:
-    """Words of class, id and role without their numbers, and whether the element is hidden."""
-    words, hidden = [], False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values)
-        if name in ("class", "id", "role"):
-            words += [w.lower() for w in _WORDS.findall(value)]
-        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            hidden = True
-        elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            hidden = True
-    return words, hidden
+def names_boilerplate(token: str) -> bool:
+    """Whether a class, id or role names boilerplate: such a word, with nothing but words of place and shape beside it.
+
+    ``site-header`` and ``cookie-banner`` do, ``has-sidebar``, ``no-header``, ``post-header`` and ``search-tips`` do not.
+    """
+    words = [w.lower() for w in _WORDS.findall(token)]
+    return not BOILERPLATE_WORDS.isdisjoint(words) and all(w in BOILERPLATE_WORDS or w in QUALIFIERS for w in words)
 
 
 class Element:
-    __slots__ = ("name", "path", "boilerplate", "link")
+    """An element; ``path`` is a number for the tags and class words from the root down to it."""
+
+    __slots__ = ("container", "link", "mark", "marked", "may_hold_all", "name", "parent", "path", "plain", "score", "visible")
 
     def __init__(self, name: str, parent: Element | None, attributes: str):
-        words, hidden = class_words(attributes) if attributes else ([], False)
-        step = name + "".join("." + w for w in sorted(set(words)))
-        self.name = name
-        self.path = f"{parent.path}>{step}" if parent else step
-        self.boilerplate = (
-            (parent is not None and parent.boilerplate)
-            or name in BOILERPLATE
-            or hidden
-            or (name not in ("html", "body", "article", "main") and not BOILERPLATE_WORDS.isdisjoint(words))
-        )
+        words: set[str] = set()
+        named = hidden = comments = False
+        for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+            key, value = key.lower(), "".join(values)
+            if key in ("class", "id", "role"):
+                for token in value.split():
+                    own = {w.lower() for w in _WORDS.findall(token)}
+                    words |= own
+                    if names_boilerplate(token):
+                        named, comments = True, comments or not COMMENT_WORDS.isdisjoint(own)
+            elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+                hidden = True
+            elif key == "style" and re.search(r"display\s*:\s*none", value, re.I):
+                hidden = True
+        self.name, self.parent = name, parent
+        step = ".".join([name, *sorted(words)]).encode("utf-8", "surrogatepass")
+        self.path = xxhash.xxh64_intdigest(step, parent.path if parent else 0) >> 1  # fits a signed long
+        self.marked = name in BOILERPLATE or hidden or (named and name not in NEVER_NAMED)
+        # A form around the page, or a class that only sounds like boilerplate, may hold all that there is.
+        self.may_hold_all = self.marked and not hidden and not comments and (name == "form" or name not in BOILERPLATE)
+        self.mark = self if self.marked else (parent.mark if parent else None)
+        self.container = self if name in CONTAINERS else (parent.container if parent else None)
         self.link = name == "a" or (parent is not None and parent.link)
+        self.plain, self.score, self.visible = 0, 0.0, True
 
 
-def read_blocks(page: str | None) -> Iterator[tuple[list[str], str, bool]]:
-    """Blocks of a page in order: paths of the containers around it, outermost first, the text, if it is a link.
+class Page:
+    """Blocks of a page in order: text, if it is all link, and the innermost container around it.
 
     Boilerplate is left out. Tags that are never closed, cut off or out of
     order are borne; white space in a block is one space, references are
-    decoded after the markup is gone.
-    """
-    page = page or ""
-    stack: list[Element] = []
-    parts: list[str] = []
-    state = {"paths": [], "linked": True}
-
-    def flush():
-        text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
-        parts.clear()
-        linked, state["linked"] = state["linked"], True
-        if text:
-            return [(state["paths"], text, linked)]
-        return []
-
-    def say(text: str):
-        top = stack[-1] if stack else None
-        if top and top.boilerplate:
-            return
-        if not parts or not state["paths"]:
-            state["paths"] = [e.path for e in stack if e.name in CONTAINERS]
-        parts.append(text)
-        if text.strip() and not (top and top.link):
-            state["linked"] = False
-
-    at, n = 0, len(page)
-    while at < n:
-        found = _TOKEN.search(page, at)
-        if not found:
-            say(page[at:])
-            break
-        if found.start() > at:
-            say(page[at : found.start()])
-        at = found.end()
-        name = found["name"]
-        if not name:
-            continue
-        name = name.lower()
-        if name in BLOCK:
-            yield from flush()
-        if found["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
-                if stack[i].name in SCOPES and name not in SCOPES:
-                    break  # a stray end tag does not close what is around
-            continue
-        attributes = found["attrs"]
-        if name in VOID:
-            continue
-        if name in BLOCK:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name in CLOSED_BY_BLOCK or (name == stack[i].name and name in ("li", "tr", "td", "th", "dt", "dd", "option")):
-                    del stack[i:]
-                    break
-                if stack[i].name in SCOPES:
-                    break
-        if attributes.endswith("/") and name not in BLOCK and name not in RAW:
-            continue
-        if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
-            continue
-        stack.append(Element(name, stack[-1] if stack else None, attributes))
-    yield from flush()
-
-
-def score_containers(page: str | None) -> dict[str, int]:
-    """Score by container path: code points of text outside links, less those in links.
-
-    A block counts fully for the container it stands in and three quarters of
-    that for each one further out, so that the innermost that holds most wins.
+    decoded after the markup is gone. Work and memory are linear in the page,
+    however deep it is nested.
     """
-    scores: dict[str, float] = {}
-    for paths, text, linked in read_blocks(page):
-        weight = float(-len(text) if linked else len(text))
-        for path in reversed(paths):
-            scores[path] = scores.get(path, 0.0) + weight
-            weight *= 0.75
-    return {path: int(s) for path, s in scores.items() if s >= 1}
-
 
-def best_container(scores: dict[str, int]) -> str | None:
-    """The path with the largest score, the first by name of equals."""
+    def __init__(self, page: str | None):
+        self.elements: list[Element] = []
+        raw: list[list[tuple[Element | None, str]]] = [[]]
+        self._parse(page or "", raw)
+        self._show(raw)
+        self.blocks: list[tuple[str, bool, Element | None]] = []
+        for pieces in raw:
+            seen = [(e, t) for e, t in pieces if e is None or e.visible]
+            text = _SPACE.sub(" ", entities.unescape("".join([t for _, t in seen]))).strip()
+            if text:
+                linked = all(e is not None and e.link for e, t in seen if t.strip())
+                self.blocks.append((text, linked, next((e.container for e, _ in seen if e and e.container), None)))
+
+    def _parse(self, page: str, raw: list[list[tuple[Element | None, str]]]) -> None:
+        """Elements, parents before children, and of each block its pieces of text with the elements they are in."""
+        stack: list[Element] = []
+        open_names: Counter[str] = Counter()
+
+        def say(text: str) -> None:
+            raw[-1].append((stack[-1] if stack else None, text))
+
+        def close(to: int) -> None:
+            open_names.subtract(e.name for e in stack[to:])
+            del stack[to:]
+
+        at, n = 0, len(page)
+        while at < n:
+            found = _TOKEN.search(page, at)
+            if not found:
+                say(page[at:])
+                break
+            if found.start() > at:
+                say(page[at : found.start()])
+            at = found.end()
+            name = found["name"]
+            if not name:
+                continue
+            name = name.lower()
+            if name in BLOCK and raw[-1]:
+                raw.append([])
+            if found["end"]:
+                for i in range(len(stack) - 1, -1, -1) if open_names[name] > 0 else ():
+                    if stack[i].name == name:
+                        close(i)
+                        break
+                    if stack[i].name in SCOPES and name not in SCOPES:
+                        break  # a stray end tag does not close what is around
+                continue
+            attributes = found["attrs"]
+            if name in VOID:
+                continue
+            if name in BLOCK:
+                closes = {*CLOSED_BY_BLOCK, *({name} & REPEATED)}
+                for i in range(len(stack) - 1, -1, -1) if any(open_names[c] > 0 for c in closes) else ():
+                    if stack[i].name in closes:
+                        close(i)
+                        break
+                    if stack[i].name in SCOPES:
+                        break
+            if attributes.endswith("/") and name not in BLOCK and name not in RAW:
+                continue
+            if name in RAW:
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                at = end.end() if end else n
+                continue
+            stack.append(Element(name, stack[-1] if stack else None, attributes))
+            self.elements.append(stack[-1])
+            open_names[name] += 1
+
+    def _show(self, raw: list[list[tuple[Element | None, str]]]) -> None:
+        """Which elements are not boilerplate: unmarked, or marked but holding nearly all text that is neither link nor marked."""
+        free = 0
+        for pieces in raw:
+            for element, text in pieces:
+                size = len(text.strip())
+                if size and element is not None and element.mark is not None:
+                    element.mark.plain += 0 if element.link else size
+                elif size and not (element is not None and element.link):
+                    free += size
+        for e in self.elements:
+            least = 0 if e.name == "form" else LEAST_ARTICLE
+            spared = e.may_hold_all and e.plain > least and e.plain >= MOST_OF_PAGE * (e.plain + free)
+            e.visible = (e.parent is None or e.parent.visible) and (not e.marked or spared)
+
+    def scores(self) -> dict[int, int]:
+        """Score by container path: code points of text outside links, less those in links.
+
+        A block counts fully for the container it stands in and three quarters of
+        that for each one further out, so that the innermost that holds most wins.
+        """
+        for e in self.elements:
+            e.score = 0.0
+        for text, linked, container in self.blocks:
+            if container is not None:
+                container.score += -len(text) if linked else len(text)
+        sums: dict[int, float] = {}
+        for e in reversed(self.elements):
+            if e.container is e:
+                sums[e.path] = sums.get(e.path, 0.0) + e.score
+                outer = e.parent.container if e.parent else None
+                if outer is not None:
+                    outer.score += 0.75 * e.score
+        return {path: int(s) for path, s in sums.items() if s >= 1}
+
+    def text(self, path: int | None) -> str:
+        """Blocks under ``path``, or under the page's own best container if it has none there, joined by line breaks."""
+        kept = self._under(path)
+        if not kept and self.blocks:
+            own = best_container(self.scores())
+            kept = self._under(own) if own is not None else [text for text, linked, _ in self.blocks if not linked]
+        return "\n".join(kept)
+
+    def _under(self, path: int | None) -> list[str]:
+        inside: set[int] = set()
+        for e in self.elements:  # parents first
+            outer = e.parent.container if e.parent else None
+            if e.container is e and (e.path == path or (outer is not None and id(outer) in inside)):
+                inside.add(id(e))
+        return [text for text, _, container in self.blocks if container is not None and id(container) in inside]
+
+
+def score_containers(page: str | None) -> dict[int, int]:
+    return Page(page).scores()
+
+
+def best_container(scores: dict[int, int]) -> int | None:
+    """The path with the largest score, the least number of equals."""
     return min(scores, key=lambda path: (-scores[path], path), default=None)
 
 
-def main_text(page: str | None, path: str | None) -> str:
-    """Blocks under ``path``, or under the page's own best container if it has none there, joined by line breaks."""
-    blocks = list(read_blocks(page))
-    kept = [text for paths, text, _ in blocks if path in paths]
-    if not kept and blocks:
-        own = best_container(score_containers(page))
-        kept = [text for paths, text, linked in blocks if (own in paths if own else not linked)]
-    return "\n".join(kept)
+def main_text(page: str | None, path: int | None) -> str:
+    return Page(page).text(path)
 
 
 def host_of(url: Column) -> Column:
@@ -197,7 +262,7 @@ def host_of(url: Column) -> Column:
 
 def _vote_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums: dict[tuple[str, str], list[int]] = {}
+        sums: dict[tuple[str, int], list[int]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             scores = score_containers(page)
             path = best_container(scores)
@@ -207,14 +272,14 @@ def _vote_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 both[1] += scores[path]
         rows = [(host, path, n, s) for (host, path), (n, s) in sums.items()]
         columns = zip(*rows) if rows else [()] * 4
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "path", "votes", "score"])
 
 
 def winning_paths(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """host, path, votes, score: the path with most votes of each host; of equals by score, then by name."""
+    """host, path, votes, score: the path with most votes of each host; of equals by score, then by number."""
     rows = pages.select(host_of(F.col(f"`{url_column}`")).alias("host"), F.col(f"`{html_column}`").alias("html"))
-    voted = rows.mapInArrow(_vote_task, "host string, path string, votes long, score long")
+    voted = rows.mapInArrow(_vote_task, "host string, path long, votes long, score long")
     sums = voted.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
     best = F.min(F.struct((-F.col("votes")).alias("n"), (-F.col("score")).alias("s"), "path"))
     return sums.groupBy("host").agg(best.alias("b")).select(

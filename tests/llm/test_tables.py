@@ -229,6 +229,62 @@ def test_broken_markup_is_borne():
         assert pages.main_text(page, None) == text, page[:50]
 
 
+def test_words_of_modifiers_and_forms_lose_no_article():
+    long_text = " ".join(["long text"] * 60)
+    for page, text in {
+        '<div id="page" class="site has-sidebar"><article><p>words here</article></div>': "words here",
+        '<body class="no-header with-banner"><article>a</article><div class="cookie-banner">we use</div>': "a",
+        "<form><article><p>words here</article></form>": "words here",
+        '<article><div class="post-header"><h1>Title</h1></div><p>text</article>': "Title\ntext",
+        '<article><h2 id="related">Related work</h2><p class="search-tips">tips</article>': "Related work\ntips",
+        "<article><p>so <math><mi>x</mi></math> is</article>": "so x is",
+        f'<div class="promo"><p>{long_text}</div>': long_text,
+        f'<div class="comments"><p>{long_text}</div><article>a': "a",
+        '<div class="site-header">top</div><div class="nav-menu">menu</div><article>a</article><div class="sidebar-left">s</div>': "a",
+    }.items():
+        assert pages.main_text(page, None) == text, page[:60]
+
+
+def test_names_of_boilerplate():
+    for token in ("ad", "site-header", "cookieBanner", "comments-list", "sidebar-2", "related-posts"):
+        assert pages.names_boilerplate(token), token
+    for token in ("has-sidebar", "no-header", "post-header", "search-tips", "article", "content", "adventure"):
+        assert not pages.names_boilerplate(token), token
+
+
+def test_scores_equal_a_plain_sum():
+    """Each block counts for all containers around it, three quarters less far with each further out."""
+    dice = random.Random(6)
+    for _ in range(60):
+        parts = []
+        for _ in range(30):
+            parts.append(dice.choice(["<div>", "<div class='a b'>", "<section>", "<span>", "</div>", "</section>", "<p>", "word ", "<a>link</a>", "<nav>menu</nav>"]))
+        page = pages.Page("".join(parts))
+        want = defaultdict(float)
+        for text, linked, container in page.blocks:
+            weight, at = float(-len(text) if linked else len(text)), container
+            while at is not None:
+                want[at.path] += weight
+                weight *= 0.75
+                at = at.parent.container if at.parent else None
+        assert page.scores() == pytest.approx({k: int(v) for k, v in want.items() if v >= 1}, abs=1)
+
+
+def test_deep_and_wide_pages_take_little_memory():
+    import tracemalloc
+
+    def peak(n):
+        tracemalloc.start()
+        assert pages.main_text('<div class="post">' * n + "deep" + "</div>" * n, None) == "deep"
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return used
+
+    assert peak(100_000) < 14 * peak(10_000)  # ten times the elements
+    assert pages.main_text("<b>" * 30_000 + "<p>x" * 30_000, None).count("x") == 30_000
+    pages.main_text("<div>x" * 30_000 + "</section>" * 30_000, None)
+
+
 # Queries and the pipeline ----------------------------------------------------
 
 
