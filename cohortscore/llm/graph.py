@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscore.operators.keys import lookup_join
 from cohortscore.session import settle
 
 
@@ -15,8 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     links with a null end are ignored. Large-star hangs a node's larger
     neighbours on its smallest, small-star the smaller ones; rounds grow with
     the logarithm of the longest path. Each round is stored in the shared
-    folder, which also ends its lineage. Minima are pre-aggregated, so a node
-    that everything links to costs one row per task.
+    folder, which also ends its lineage. Minima are pre-aggregated and stored,
+    and those of nodes with very many links are broadcast, so that a node that
+    everything links to costs one row per task and never fills one.
     """
     ends = links.where(F.col("a").isNotNull() & F.col("b").isNotNull())
     stored = settle(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -28,10 +30,11 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = seen
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        upper = lookup_join(both.where("v > u"), least, ["u"])
+        large = settle(upper.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = settle(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = lookup_join(large, least, ["u"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = settle(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from cohortscore.llm.common import packed, unpacked
 from cohortscore.llm.graph import components
+from cohortscore.operators.keys import lookup_join
 from cohortscore.session import settle
 
 SHINGLE_WORDS = 4
@@ -177,11 +178,14 @@ def class_groups(prints: DataFrame, links: DataFrame) -> DataFrame:
     """fingerprint, component_id (smallest doc_id reachable) of rows (doc_id, fingerprint) by links of fingerprints."""
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     roots = components(links)
-    placed = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
+    placed = settle(
+        classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+            "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
+        )
     )
-    least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return placed.join(least, "component").select("fingerprint", "component_id")
+    # One component may hold very many fingerprints.
+    least = settle(placed.groupBy("component").agg(F.min("first_id").alias("component_id")))
+    return lookup_join(placed, least, ["component"]).select("fingerprint", "component_id")
 
 
 def _groups(prints: DataFrame, radius: int, blocks: int, tree_size: int) -> DataFrame:
