@@ -1,10 +1,13 @@
 """License scans by conditional compression.
 
-Sentences around licensing words are candidate blocks. A block is compressed
-alone and with each template as a zstandard dictionary of raw content;
-templates are ranked by how much smaller that makes it. The winner is the best
-ranked one whose wording differs little word by word, and in none of the words
-that tell licenses apart.
+Sentences around licensing words are candidate blocks; a sentence may be
+wrapped over lines, but ends with its paragraph. A block is compressed alone and
+with each template as a zstandard dictionary of raw content; templates are
+ranked by how much smaller that makes it. The winner is the best ranked one
+whose wording, aligned with the part of the block that is most like it, differs
+little word by word, and in none of the words that tell licenses apart. What
+stands before and after that part, such as copyright lines with their years, is
+set aside, unless it names a license too.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -29,6 +33,10 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
         "of the Software.",
@@ -39,6 +47,8 @@ TEMPLATES = {
         "This work is licensed under the Apache License, Version 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+        "with the License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
         "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
     "GPL-2.0": (
@@ -64,11 +74,34 @@ TEMPLATES = {
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
     ),
+    # The first sentences of both are the same and confirm neither.
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
+        "Licensed under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met:",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Unlicense": (
+        "SPDX-License-Identifier: Unlicense",
+        "This is free and unencumbered software released into the public domain.",
+    ),
+    "Zlib": (
+        "SPDX-License-Identifier: Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions:",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -99,7 +132,7 @@ TEMPLATES = {
 #: Words that tell licenses apart, besides all words with a digit: none may be missing or added.
 TELLING = frozenset(
     "mit apache gnu gpl lgpl agpl lesser affero bsd mozilla mpl cc by nc nd sa zero attribution noncommercial "
-    "noderivatives sharealike commons clause".split()
+    "noderivatives sharealike commons clause isc unlicense zlib".split()
 )
 #: Where a candidate block may be; the same pattern runs in Spark and here.
 ANCHOR = r"(?i)licen[cs]|spdx|copyright|creative commons|public domain|permission is hereby|redistribut|free software"
@@ -110,7 +143,10 @@ MIN_REDUCTION, MAX_DIFFERENCE = 0.1, 0.25
 LEVEL = 19
 
 _ANCHOR = re.compile(ANCHOR)
-_SENTENCE = re.compile(r"[^\n]+?(?:[.!?:](?=\s|\Z)|(?=\n)|\Z)")
+#: A sentence ends at a mark before white space, or with its paragraph; comment signs begin a wrapped line.
+_SENTENCE = re.compile(r"\S(?:[^\n]|\n(?![^\S\n]*(?:\n|\Z)))*?(?:[.!?:](?=\s|\Z)|(?=\n[^\S\n]*(?:\n|\Z))|\Z)")
+#: Lines of a sentence that is wrapped; longer ones are no notice, and fall into their lines.
+_WRAPPED_LINES = 40
 _WORD = re.compile(r"\w+(?:\.\w+)*")
 
 
@@ -118,31 +154,61 @@ def words(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+def sentences(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the sentences with an anchor, and of the others as they come."""
+    for found in _SENTENCE.finditer(text):
+        if found[0].count("\n") <= _WRAPPED_LINES:
+            yield found.span()
+            continue
+        at = found.start()
+        for line in found[0].split("\n"):
+            if line.strip():
+                yield at + len(line) - len(line.lstrip()), at + len(line)
+            at += len(line) + 1
+
+
 def candidate_blocks(text: str) -> list[tuple[int, int]]:
-    """Spans of code points: runs of sentences from an anchor to the last one near it."""
+    """Spans of code points: runs of sentences from an anchor to the last one near it, up to a line that a sentence ended."""
     spans: list[list[int]] = []
     last = -GAP_SENTENCES - 2
-    for number, sentence in enumerate(_SENTENCE.finditer(text)):
-        if not _ANCHOR.search(sentence[0]):
+    for number, (start, end) in enumerate(sentences(text)):
+        if not _ANCHOR.search(text, start, end):
             continue
-        start = sentence.start() + len(sentence[0]) - len(sentence[0].lstrip())
         line_between = spans and "\n" in text[spans[-1][1] : start]
         if spans and number - last <= GAP_SENTENCES + 1 and not line_between:
-            spans[-1][1] = sentence.end()
+            spans[-1][1] = end
         else:
-            spans.append([start, sentence.end()])
+            spans.append([start, end])
         last = number
     return [(a, b) for a, b in spans]
 
 
-def differences(block: list[str], template: list[str]) -> tuple[list[str], list[str]]:
-    """Words of the template that are missing in the block, and words added, in order."""
+def nearest_part(block: list[str], template: list[str]) -> tuple[int, int]:
+    """The span of the block that holds most of the template's words, of twice its length; blocks may be very long."""
+    width = 2 * len(template) + 20
+    if len(block) <= width:
+        return 0, len(block)
+    known = set(template)
+    held = [0, *accumulate(w in known for w in block)]
+    at = max(range(len(block) - width + 1), key=lambda i: held[i + width] - held[i])
+    return at, at + width
+
+
+def aligned(block: list[str], template: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """Words of the template that are missing, words added inside the aligned part, and words around it, in order."""
+    start, end = nearest_part(block, template)
+    part = block[start:end]
+    codes = SequenceMatcher(None, template, part, autojunk=False).get_opcodes()
+    same = [c for c in codes if c[0] == "equal"]
+    if not same:
+        return list(template), [], list(block)
+    first, last = same[0][3], same[-1][4]
     missing, added = [], []
-    for kind, i, j, k, m in SequenceMatcher(None, template, block, autojunk=False).get_opcodes():
+    for kind, i, j, k, m in codes:
         if kind != "equal":
             missing += template[i:j]
-            added += block[k:m]
-    return missing, added
+            added += part[max(k, first) : min(m, last)]
+    return missing, added, block[: start + first] + block[start + last :]
 
 
 def telling(word: str) -> bool:
@@ -186,12 +252,12 @@ class Scanner:
         for reduction, name, text in ranked:
             if reduction < MIN_REDUCTION:
                 break
-            missing, added = differences(own, text)
-            changed = any(map(telling, missing)) or any(map(telling, added))
+            missing, added, around = aligned(own, text)
+            changed = any(map(telling, missing)) or any(map(telling, added)) or not TELLING.isdisjoint(around)
             if not changed and len(missing) + len(added) <= MAX_DIFFERENCE * len(text):
                 return name, name, reduction, missing, added
         reduction, name, text = ranked[0]
-        return (None, name, reduction, *differences(own, text))
+        return (None, name, reduction, *aligned(own, text)[:2])
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

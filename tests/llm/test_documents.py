@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -448,6 +449,50 @@ def test_licenses_of_known_wordings():
     assert scanner.identify("Licensed under Apache License, Version 2.0.")[3] == ["the"]
 
 
+@pytest.mark.parametrize("width", [60, 72, 78, 80, 100])
+@pytest.mark.parametrize("sign", ["", " * ", "# ", "// "])
+def test_wrapped_notices(width, sign):
+    grant, header = licenses.TEMPLATES["MIT"][-1], licenses.TEMPLATES["Apache-2.0"][-1]
+    for notice, name in ((grant, "MIT"), (header, "Apache-2.0"), (licenses.TEMPLATES["GPL-3.0"][-1], "GPL-3.0")):
+        text = "Some prose before it.\n\n" + textwrap.fill(notice, width, initial_indent=sign, subsequent_indent=sign) + "\n\nSome prose after."
+        found = [licenses.Scanner().identify(text[a:b])[0] for a, b in licenses.candidate_blocks(text)]
+        assert name in found and set(found) <= {name, None}, text
+
+
+def test_notices_with_copyright_lines_and_more_words():
+    scanner = licenses.Scanner()
+    for text, name in {
+        "Copyright 2020 Acme. Licensed under the MIT License.": "MIT",
+        "Copyright (c) 2011-2024 The Authors.\nReleased under the ISC License.": "ISC",
+        "This project is licensed under the MIT License - see the LICENSE file for details.": "MIT",
+        "Licensed under the BSD 2-Clause License.": "BSD-2-Clause",
+        "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:": None,
+        "Licensed under the MIT License or the Apache License.": None,
+        "word " * 20_000 + "licensed under the MIT License": "MIT",
+    }.items():
+        found = {scanner.identify(text[a:b])[0] for a, b in licenses.candidate_blocks(text)} - {None}
+        assert found == ({name} if name else set()), text[:80]
+
+
+def test_ranking_and_confirmation_by_plain_search():
+    """The confirmed template is the first by reduction that passes, whatever the order they are tried in."""
+    scanner, dice = licenses.Scanner(), random.Random(9)
+    every = [(name, t) for name, texts in licenses.TEMPLATES.items() for t in texts]
+    for _ in range(120):
+        own = dice.choice(every)[1].split()
+        for _ in range(dice.randrange(4)):
+            own[dice.randrange(len(own))] = dice.choice(["the", "software", "2.0", "mit", "other"])
+        block = " ".join(own)
+        passing = []
+        for reduction, name, template in scanner.ranked(block):
+            missing, added, around = licenses.aligned(licenses.words(block), template)
+            told = [w for w in missing + added if w in licenses.TELLING or re.search(r"\d", w)] + [w for w in around if w in licenses.TELLING]
+            if reduction >= licenses.MIN_REDUCTION and not told and len(missing + added) <= licenses.MAX_DIFFERENCE * len(template):
+                passing.append((-reduction, name))
+        assert scanner.identify(block)[0] == (min(passing)[1] if passing else None)
+
+
 def test_license_blocks_in_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     lines = {
