@@ -692,8 +692,8 @@ def _(spark, d):
     return rounded(evaluate(scored(spark, d), "readmitted").points)
 
 
-@query("L6_evaluator_curves", with_scored(LONG + POINTS + """
-, roc AS (SELECT m, x AS threshold, fp / q AS fpr, tp / p AS tpr FROM pts
+@query("L6_evaluator_curves", with_scored(LONG + POINTS + f""", corners AS ({CORNERS})
+, roc AS (SELECT m, x AS threshold, fp / q AS fpr, tp / p AS tpr FROM corners WHERE stays
   UNION ALL SELECT DISTINCT m, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM pts)
 SELECT CASE m WHEN 'xgb_prob' THEN 'xgb' WHEN 'nn_prob' THEN 'nn' ELSE 'ensemble_avg' END AS feature,
   round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc"""))
