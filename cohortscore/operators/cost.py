@@ -31,6 +31,7 @@ def cost_columns(
     prevented = round_half_even(success_rate * F.col("tp").cast("double"))
     saved = round_half_even(prevented * readmission_cost, 2)
     net = saved - total
+    # The names of the columns, as readers of the tables know them.
     return counts.withColumns(
         {
             "total_cost_of_implimenting_program": total,

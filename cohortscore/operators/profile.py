@@ -247,6 +247,7 @@ def detect_score(df: DataFrame, tag: str) -> str | None:
     """The column that holds the scores of model ``tag``, by name and range."""
     ranges = looks_like_probability(df, df.columns).collect()  # one row per column
     likely = {r["column"] for r in ranges if r["is_probability"]}
+    # Shapes of score names, tried in this order.
     shapes = [
         rf"^{tag}.*(proba|prob|score|pred_prob|pred_proba)$",
         rf"^(proba|prob|score)_{tag}$",
