@@ -10,7 +10,6 @@ pieces that only its last windows are not full.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +27,12 @@ WINDOW = 1024
 #: Short pieces of a block, on average.
 BLOCK_PIECES = 4096
 #: Encoded words that a worker keeps.
-CACHED_WORDS = 1_100_000
+CACHED_WORDS = 500_000
+#: UTF-8 bytes of the texts that are encoded at a time, about; one longer text goes alone.
+BATCH_BYTES = 2_000_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def default_tokenizer() -> str:
@@ -40,13 +41,22 @@ def default_tokenizer() -> str:
     return path("byte_bpe_50k.json")
 
 
+#: Cuts a text into words; texts that have it go whole.
+_CUT = "\x1f"
+#: The splitting pattern always cuts between a letter and a mark or digit; those of ASCII and Latin are enough here.
+_WORD_END = r"([A-Za-zÀ-ÖØ-öø-ɏ])([!-@\[-`{-~])"
+#: White space other than single spaces and line breaks between other characters.
+_ODD = r"  |\n\n| \n|\n |^[ \n]|[ \n]$"
+
+
 class WordEncoder:
-    """Token ids of texts as little-endian 32-bit bytes, word by word.
+    """Token ids of many texts at a time, word by word.
 
     A byte-level BPE with the usual splitting pattern never merges over a space
     that stands between two other characters, nor over a single line break
-    there. So a text falls into words that are encoded once and kept. Texts
-    with other white space are encoded whole.
+    there, nor between letters and the marks behind them. So texts fall into
+    words, with the space before them, marks and line breaks; each distinct one of a batch is looked up once, and encoded once
+    while it is kept. Texts with other white space are encoded whole.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -57,18 +67,14 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        #: Codes of words that begin a line, and of words after a space.
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        #: Codes of what follows a word's letters.
-        self.tails: dict[str, bytes] = {}
+        #: Codes of words asked for lately, and of those before them.
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _encode_words(self, known: dict[str, bytes], words: set[str], before: str) -> None:
+    def _encode_words(self, known: dict[str, bytes], words: list[str]) -> None:
         # Many words a call, a line break between them, as calls cost more than words.
-        words = list(words)
         groups = [words[at : at + 256] for at in range(0, len(words), 256)]
-        joined = ["\n".join([before + w for w in group]) for group in groups]
-        for group, code in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+        for group, code in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(code.ids, dtype="<u4")
             ends = [*np.flatnonzero(ids == self.line_break).tolist(), len(ids)]
             start, data = 0, ids.tobytes()
@@ -76,47 +82,51 @@ class WordEncoder:
                 known[word] = data[4 * start : 4 * end]
                 start = end + 1
 
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        new = words - known.keys()
-        if len(known) + len(new) > self.cached:
-            known.clear()
-            new = set(words)
-        if len(self.tails) > self.cached // 8:
-            self.tails.clear()
-        # The splitting pattern always cuts after the letters that begin a word.
-        letters = {w: m.end() for w in new if (m := _LETTERS.match(w)) and m.end() < len(w) and m[0].isalpha()}
-        whole = new - letters.keys() | {w[:n] for w, n in letters.items()}
-        self._encode_words(known, whole - known.keys(), before)
-        self._encode_words(self.tails, {w[n:] for w, n in letters.items()} - self.tails.keys(), "")
-        for word, n in letters.items():
-            known[word] = known[word[:n]] + self.tails[word[n:]]
+    def codes(self, words: list[str]) -> list[bytes]:
+        """Codes of distinct words."""
+        found = list(map(self.new.get, words))
+        lost = [w for w, code in zip(words, found) if code is None]
+        if not lost:
+            return found
+        if len(self.new) + len(lost) > self.cached // 2:
+            # What was not asked for since the last turn is forgotten.
+            self.old, self.new = self.new, {}
+        again = list(map(self.old.get, lost))
+        fresh = dict(zip(lost, again))
+        special = {"": b"", "\n": int(self.line_break).to_bytes(4, "little")}
+        fresh |= {w: c for w, c in special.items() if w in fresh}
+        self._encode_words(fresh, [w for w, code in zip(lost, again) if code is None and w not in special])
+        self.new |= fresh
+        return [fresh[w] if code is None else code for w, code in zip(words, found)]
+
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin and the last one's end; a null text is empty."""
+        texts = pc.fill_null(texts, "")
+        printable = pc.utf8_is_printable(pc.replace_substring(texts, "\n", ""))
+        odd = pc.or_(pc.match_substring_regex(texts, _ODD), pc.invert(printable))
+        alone = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        whole = self.tokenizer.encode_batch_fast([texts[i].as_py() for i in alone.tolist()], add_special_tokens=False)
+        marked = pc.replace_substring_regex(pc.if_else(odd, "", texts), _WORD_END, rf"\1{_CUT}\2")
+        marked = pc.replace_substring(pc.replace_substring(marked, " ", _CUT + " "), "\n", f"{_CUT}\n{_CUT}")
+        split = pc.split_pattern(marked, _CUT)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known = self.codes(distinct) + [np.array(c.ids, dtype="<u4").tobytes() for c in whole]
+        pool = np.frombuffer(b"".join(known), dtype="<u4")
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        starts = np.cumsum(lengths) - lengths
+        # The texts that were encoded whole come as one word each, in their places.
+        which = words.indices.to_numpy().astype(np.int64)
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        which[offsets[alone]] = np.arange(len(distinct), len(known))
+        taken = lengths[which]
+        ends = np.cumsum(taken)
+        ids = pool[np.repeat(starts[which] - (ends - taken), taken) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return ids, np.concatenate(([0], ends))[offsets]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split, whole = [], []
-        first: set[str] = set()
-        later: set[str] = set()
-        for text in texts:
-            lines = [line.split(" ") for line in text.split("\n")]
-            # Printable characters have no white space among them but the space.
-            if any("" in words for words in lines) or not text.replace("\n", "").isprintable():
-                split.append(None)
-                whole.append(text)
-                continue
-            split.append(lines)
-            for words in lines:
-                later.update(words)
-                first.add(words[0])
-        self._learn(self.first, first, "")
-        self._learn(self.later, later, " ")
-        codes = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        line_break = int(self.line_break).to_bytes(4, "little")
-        get = self.later.__getitem__
-        return [
-            np.array(next(codes).ids, dtype="<u4").tobytes()
-            if lines is None
-            else line_break.join([self.first[words[0]] + b"".join(map(get, words[1:])) for words in lines])
-            for lines in split
-        ]
+        ids, ends = self.encode_many(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 @lru_cache(maxsize=1)
@@ -141,26 +151,42 @@ def cut_pieces(
     little-endian unsigned 32-bit, null unless ``with_ids``; ``ids_crc32`` is
     their checksum.
     """
-    end = int(end_id).to_bytes(4, "little")
-    step = 4 * window
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
+    )
+
+    def pieces(encoder: WordEncoder, part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, ends = encoder.encode_many(part.column(1))
+        counts = np.diff(ends) + 1  # with the end id
+        data = np.empty(len(ids) + len(counts), dtype="<u4")
+        last = np.cumsum(counts) - 1
+        data[last] = end_id
+        data[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts - 1)] = ids
+        # Pieces lie one after the other in the data: their column shares its bytes.
+        n = -(-counts // window)
+        doc = np.repeat(np.arange(len(counts)), n)
+        start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * window
+        length = np.minimum(counts[doc] - start, window)
+        bounds = np.concatenate(([0], np.cumsum(length))).astype(np.int32) * 4
+        view = memoryview(data).cast("B")
+        crc = [zlib.crc32(view[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        binary = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        columns = [
+            part.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), binary if with_ids else pa.nulls(len(doc), pa.binary()),
+            pa.array(crc, pa.int64()), pa.array(counts[doc]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
-        )
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, code in zip(part.column(0).to_pylist(), encoder.encode(texts)):
-                    code += end
-                    for start in range(0, len(code), step):
-                        ids = code[start : start + step]
-                        rows.append((doc, start // 4, len(ids) // 4, ids if with_ids else None, zlib.crc32(ids), len(code) // 4))
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                before = int(sizes[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(sizes, before + BATCH_BYTES, side="right")))
+                yield pieces(encoder, batch.slice(at, to - at))
+                at = to
 
     narrow = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
     return narrow.mapInArrow(cut, _PIECES)
