@@ -27,7 +27,7 @@ WINDOW = 1024
 #: Short pieces of a block, on average.
 BLOCK_PIECES = 4096
 #: Encoded words that a worker keeps.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 600_000
 #: UTF-8 bytes of the texts that are encoded at a time, about; one longer text goes alone.
 BATCH_BYTES = 2_000_000
 
@@ -55,8 +55,9 @@ class WordEncoder:
     A byte-level BPE with the usual splitting pattern never merges over a space
     that stands between two other characters, nor over a single line break
     there, nor between letters and the marks behind them. So texts fall into
-    words, with the space before them, marks and line breaks; each distinct one of a batch is looked up once, and encoded once
-    while it is kept. Texts with other white space are encoded whole.
+    words, with the space before them, marks and line breaks; each distinct one
+    of a batch is looked up once, and encoded once while it is kept. Texts with other white space, or with one of the
+    tokenizer's added tokens, are encoded whole.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -67,6 +68,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        #: Strings that are one token wherever they stand.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Codes of words asked for lately, and of those before them.
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -104,6 +107,8 @@ class WordEncoder:
         texts = pc.fill_null(texts, "")
         printable = pc.utf8_is_printable(pc.replace_substring(texts, "\n", ""))
         odd = pc.or_(pc.match_substring_regex(texts, _ODD), pc.invert(printable))
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
         alone = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         whole = self.tokenizer.encode_batch_fast([texts[i].as_py() for i in alone.tolist()], add_special_tokens=False)
         marked = pc.replace_substring_regex(pc.if_else(odd, "", texts), _WORD_END, rf"\1{_CUT}\2")
@@ -113,16 +118,18 @@ class WordEncoder:
         distinct = words.dictionary.to_pylist()
         known = self.codes(distinct) + [np.array(c.ids, dtype="<u4").tobytes() for c in whole]
         pool = np.frombuffer(b"".join(known), dtype="<u4")
-        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
-        starts = np.cumsum(lengths) - lengths
+        # A batch, or one text, has far fewer ids than 32 bits count.
+        lengths = np.fromiter(map(len, known), dtype=np.int32, count=len(known)) // 4
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
         # The texts that were encoded whole come as one word each, in their places.
-        which = words.indices.to_numpy().astype(np.int64)
-        offsets = split.offsets.to_numpy().astype(np.int64)
+        which = words.indices.to_numpy().copy()
+        offsets = split.offsets.to_numpy()
         which[offsets[alone]] = np.arange(len(distinct), len(known))
         taken = lengths[which]
-        ends = np.cumsum(taken)
-        ids = pool[np.repeat(starts[which] - (ends - taken), taken) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        return ids, np.concatenate(([0], ends))[offsets]
+        ends = np.cumsum(taken, dtype=np.int32)
+        at = np.repeat(starts[which] - (ends - taken), taken)
+        at += np.arange(len(at), dtype=np.int32)
+        return pool[at], np.concatenate(([0], ends)).astype(np.int64)[offsets]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         ids, ends = self.encode_many(pa.array(texts, pa.string()))
