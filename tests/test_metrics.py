@@ -15,6 +15,7 @@ from cohortscore.operators.metrics import (
 from cohortscore.operators.profile import histogram, quantiles
 from cohortscore.operators.sweep import threshold_sweep
 from cohortscore.operators.tally import ordered_points, tally
+from cohortscore.plans.evaluation import evaluate
 
 # Published counts (threshold, tn, fp, fn, tp) and what was derived from them.
 PUBLISHED = [
@@ -258,3 +259,10 @@ def test_baselines_count_patients_without_a_score(spark):
     table = cutoff_table(df, "y", {"p": "p"}, [0.4, 0.5])
     everyone = table.where("Type_of_assessment = 'all_prediction'").first()
     assert list(everyone.asDict().values()).count(2) == 2  # true and false positives
+
+
+def test_evaluator_curves_have_every_score(spark):
+    """Scores in a straight line of equal steps are points of the evaluator's curve, too."""
+    rows = spark.createDataFrame([(i % 2, i // 2 / 10, i // 2 / 20) for i in range(20)], "readmitted int, xgb_prob double, nn_prob double")
+    found = evaluate(rows, "readmitted").roc
+    assert {r["feature"]: r["count"] for r in found.groupBy("feature").count().collect()} == {"xgb": 11, "nn": 11, "ensemble_avg": 11}
