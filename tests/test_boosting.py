@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortscore.operators import boosting
+from cohortscore.operators import boosting, packed
 from cohortscore.operators.boosting import BoostedModel, Settings, Tree, fit, fit_cuts, fit_many
 
 FEATURES = ["a", "b", "c", "d"]
@@ -176,3 +176,36 @@ def test_awkward_tables(spark, rows):
     assert fit(blank, FEATURES, "y", "id", s).importances()["c"] == 0
     with pytest.raises(ValueError):
         fit_many(rows, FEATURES, "y", "id", [Settings(patience=3)], [None])
+
+
+@pytest.mark.parametrize("patience", [None, 5])
+def test_packed_rows_give_the_same_trees(rows, patience):
+    folded = rows.withColumn("fold", (F.col("id") % 5).cast("int"))
+    s = Settings(rounds=10, max_depth=4, eta=0.5, min_child_weight=3.0, patience=patience)
+    several = [s] * 5, list(range(5)), "fold", 42
+    slow = fit_many(folded, FEATURES, "y", "id", *several, task_rows=0)
+    fast = fit_many(folded, FEATURES, "y", "id", *several, plain_rows=0)
+    for a, b in zip(slow, fast):
+        shapes = [[(t.feature, t.cut, t.missing_left, t.left) for t in m.trees] for m in (a, b)]
+        assert shapes[0] == shapes[1]
+        assert np.allclose(a.trees[-1].value, b.trees[-1].value)
+        assert np.allclose(a.areas[: len(b.trees)], b.areas[: len(b.trees)])
+
+
+def test_a_model_of_many_rows_takes_no_job_a_level(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "grow_level", None)
+    rows = spark.range(210_000).selectExpr("id", "id % 7 AS a", "id % 11 AS b", "int(id % 7 > 3 OR id % 11 > 8) AS y")
+    assert len(fit(rows, ["a", "b"], "y", "id", Settings(rounds=3, max_depth=3)).trees) == 3
+
+
+def test_features_share_bytes():
+    draw = np.random.default_rng(1)
+    cards = [2] * 9 + [64, 5, 200]
+    bins = np.stack([draw.integers(0, c, 3000) for c in cards], axis=1).astype(np.uint8)
+    bins[draw.random(3000) < 0.1, 9] = boosting.MISSING
+    spans = np.concatenate(([0], np.cumsum([c + 1 for c in cards])))
+    held = packed.Held(np.arange(3000), np.zeros(3000), np.zeros(3000), bins, spans, packed.empty_bins(bins))
+    assert len(held.columns) == 4
+    grad, hess, slot = draw.normal(size=3000), draw.random(3000), draw.integers(0, 3, 3000)
+    want = boosting.level_sums(bins, slot, grad, hess, 3, spans)
+    assert np.allclose(held.sums(slot, np.arange(3000), grad, hess, 3), want)
