@@ -10,7 +10,7 @@ from cohortscore.operators.boosting import Settings
 from cohortscore.operators.models import (
     best_settings, fit_boosted, fit_linear, fit_network, load_scorer, network_space, random_settings, save_scorer, tune_boosted, tune_linear,
 )
-from cohortscore.operators.select import fit_least_squares, moments, single_fits, student_tail
+from cohortscore.operators.select import _cross_products, fit_least_squares, moments, single_fits, student_tail
 from cohortscore.session import run_folder
 
 FEATURES = ["a", "b", "c"]
@@ -93,3 +93,16 @@ def test_network_searches_take_the_weight_from_the_classes(rows):
     drawn = random_settings(space, 40)
     assert {s["standardize"] for s in drawn} == {0, 1} and {s["blockSize"] for s in drawn} == {64, 128, 256, 512}
     assert all(0.00001 <= s["stepSize"] <= 0.003 for s in drawn)
+
+
+def test_cross_products_of_one_pass_equal_numpy(spark):
+    """Around far means, with incomplete rows and tasks without rows."""
+    draw = np.random.default_rng(7)
+    x = draw.normal(size=(500, 3)) * [1.0, 10.0, 0.1] + [1e7, 0.0, -1e5]
+    table = [(*map(float, row[:2]), None if i % 9 == 0 else float(row[2])) for i, row in enumerate(x)]
+    df = spark.createDataFrame(table, "a double, b double, c double").repartition(3).union(spark.createDataFrame([], "a double, b double, c double"))
+    n, mean, cross = _cross_products(df, ["a", "b", "c"])
+    known = np.delete(x, np.arange(0, 500, 9), axis=0)
+    assert n == len(known) and np.allclose(mean, known.mean(axis=0), rtol=1e-12)
+    centred = known - known.mean(axis=0)
+    assert np.allclose(cross, centred.T @ centred, rtol=1e-6, atol=1e-4)
