@@ -195,3 +195,19 @@ def test_collinear_points_are_left_out(spark, cell_rows):
         got = {(r["threshold"], r["fpr"], r["tpr"]) for r in roc_curve(points).where(F.col("feature") == name).collect()}
         assert got == want
         assert roc_curve(points, drop_collinear=False).where(F.col("feature") == name).count() == len(steps) + 1 >= len(want)
+
+
+def test_ranges_beyond_all_codes_are_not_cut(spark, monkeypatch):
+    """What is stored of the ranges depends on the codes' span, clipped ranges keep their answers."""
+    from cohortscore.operators import columns
+
+    stored, plain = [], columns.settle
+    monkeypatch.setattr(columns, "settle", lambda df: stored.append(plain(df)) or stored[-1])
+    far = [(10**6 + i * 1000, 10**6 + i * 1000 + 999, f"far{i}", 0) for i in range(200)]
+    ranges = spark.createDataFrame([*far, (-(10**9), 15, "low", 2), (15, 10**9, "high", 2), (12, 17, "mid", 1), (9, 5, "empty", 0)], "low long, high long, label string, priority int")
+    df = spark.createDataFrame([(i, c) for i, c in enumerate([10, 12, 14, 16, 17, 20, None])], "id int, code long")
+    got = {r["code"]: r["label"] for r in columns.range_lookup(df, F.col("code"), ranges).collect()}
+    assert got == {10: "low", 12: "mid", 14: "mid", 16: "mid", 17: "high", 20: "high", None: None}
+    assert next(t for t in stored if "block" in t.columns).count() < 40
+    nothing = columns.range_lookup(df.where("code IS NULL"), F.col("code"), ranges).collect()
+    assert [r["label"] for r in nothing] == [None]
