@@ -266,3 +266,15 @@ def test_evaluator_curves_have_every_score(spark):
     rows = spark.createDataFrame([(i % 2, i // 2 / 10, i // 2 / 20) for i in range(20)], "readmitted int, xgb_prob double, nn_prob double")
     found = evaluate(rows, "readmitted").roc
     assert {r["feature"]: r["count"] for r in found.groupBy("feature").count().collect()} == {"xgb": 11, "nn": 11, "ensemble_avg": 11}
+
+
+def test_small_cells_need_no_partitions_of_their_own(spark):
+    """The files of a placed tally are those of the shuffle's partitions, however small its cells are."""
+    from cohortscore.operators.tally import placed
+
+    df = spark.range(4000).select((F.col("id") % 3 == 0).cast("int").alias("y"), F.col("id").cast("double").alias("a"))
+    stored = placed(tally(df, "y", ["a"]), cell_rows=5)
+    assert stored.select("cell").distinct().count() >= 800 and stored.groupBy("cell").count().agg({"count": "max"}).first()[0] <= 5
+    assert len(stored.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spans = [tuple(r) for r in stored.groupBy("cell").agg(F.min("x"), F.max("x")).orderBy("cell").select("min(x)", "max(x)").collect()]
+    assert all(high < low for (_, high), (low, _) in zip(spans, spans[1:]))
