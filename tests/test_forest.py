@@ -1,8 +1,11 @@
 """Forests grown in tasks."""
 
+import uuid
+
 import numpy as np
 import pytest
 
+from cohortscore.operators import forest
 from cohortscore.operators.forest import impurity, tree_gains, tried_features
 from cohortscore.operators.models import forest_importance
 
@@ -70,3 +73,15 @@ def test_importances_in_tasks_are_near_spark_ml(rows):
 def test_reruns_give_the_same_forest(rows):
     once, again = (forest_importance(part, FEATURES, "y", {"numTrees": 5}).collect() for part in (rows, rows))
     assert once == again
+
+
+def test_each_tree_grows_once(rows, tmp_path, monkeypatch):
+    folder, width = str(tmp_path), len(FEATURES)
+
+    def marked(*given):
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        return np.ones(width) / width
+
+    monkeypatch.setattr(forest, "tree_gains", marked)
+    forest_importance(rows, FEATURES, "y", {"numTrees": 3}).collect()
+    assert len(list(tmp_path.iterdir())) == 3

@@ -106,3 +106,13 @@ def test_cross_products_of_one_pass_equal_numpy(spark):
     assert n == len(known) and np.allclose(mean, known.mean(axis=0), rtol=1e-12)
     centred = known - known.mean(axis=0)
     assert np.allclose(cross, centred.T @ centred, rtol=1e-6, atol=1e-4)
+
+
+def test_cross_products_come_from_one_job_of_all_tasks(spark):
+    """Not from a job per partition, one after the other."""
+    df = spark.range(400).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b")).repartition(6)
+    spark.sparkContext.setJobGroup("cross-products", "")
+    _cross_products(df, ["a", "b"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("cross-products")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 1 <= len(jobs) <= 2
