@@ -85,3 +85,22 @@ def test_each_tree_grows_once(rows, tmp_path, monkeypatch):
     monkeypatch.setattr(forest, "tree_gains", marked)
     forest_importance(rows, FEATURES, "y", {"numTrees": 3}).collect()
     assert len(list(tmp_path.iterdir())) == 3
+
+
+def test_packed_bins_give_the_same_tree():
+    draw = np.random.default_rng(3)
+    cards = np.array([32, 7, *[2] * 9, 5])
+    bins = np.stack([draw.integers(0, c, 3000) for c in cards], axis=1).astype(np.uint8)
+    y = (bins[:, 0] + 8 * bins[:, 5] + 6 * draw.normal(size=3000) > 18).astype(np.uint8)
+    layout = forest.bin_layout(cards)
+    packed = forest.PackedBins.of(layout, forest.row_codes(layout, bins))
+    assert packed.codes.shape == (3000, 4)
+    plain, other = (tree_gains(b, y, cards, 4, 30, np.random.default_rng(6)) for b in (bins, packed))
+    assert plain.tolist() == other.tolist()
+
+
+def test_a_forest_of_more_than_a_million_rows_grows_in_tasks(spark, monkeypatch):
+    monkeypatch.setattr("cohortscore.operators.models.RandomForestClassifier", None)
+    many = spark.range(1_100_000).selectExpr("id % 7 AS a", "id % 11 AS b", "int(id % 7 > 3 OR id % 11 > 8) AS y")
+    found = {r["feature"]: r["gain"] for r in forest_importance(many, ["a", "b"], "y", {"numTrees": 2, "maxDepth": 4}).collect()}
+    assert sum(found.values()) == pytest.approx(1.0) and found["a"] > found["b"] > 0
